@@ -1,0 +1,59 @@
+"""Seed rows of the four dimensions of the reference network."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from quaymaster import schemas
+from quaymaster.sources.tables import replace_table
+
+# Regions.
+REGIONS = [
+    ("PK-SINDH", "Sindh Province", 2.0, 0.35),
+    ("PK-PUNJAB-NORTH", "Punjab North", 1.6, 0.28),
+    ("PK-PUNJAB-SOUTH", "Punjab South", 1.2, 0.25),
+    ("PK-CAPITAL", "Capital Region", 1.4, 0.22),
+]
+
+# Distribution centers.
+DCS = [
+    ("DC-KHI", "Karachi Central Warehouse", "PK-SINDH", 75000, 25000, 12000.0),
+    ("DC-LHE", "Lahore Distribution Hub", "PK-PUNJAB-NORTH", 60000, 20000, 10000.0),
+    ("DC-ISB", "Islamabad Regional Center", "PK-CAPITAL", 45000, 15000, 8500.0),
+    ("DC-FSD", "Faisalabad Warehouse", "PK-PUNJAB-NORTH", 40000, 12000, 7000.0),
+    ("DC-MUL", "Multan Distribution Point", "PK-PUNJAB-SOUTH", 35000, 10000, 6000.0),
+]
+
+# Products.
+SKUS = [
+    ("SKU-STAPLE-001", "Atta (Wheat Flour) - 10kg", "Staples", 850.0, 0.015, 80, 3, 45),
+    ("SKU-STAPLE-002", "Basmati Rice - 5kg", "Staples", 950.0, 0.010, 70, 4, 40),
+    ("SKU-STAPLE-003", "Cooking Oil - 5L", "Staples", 1450.0, 0.008, 65, 5, 35),
+    ("SKU-STAPLE-004", "Sugar - 5kg", "Staples", 550.0, 0.012, 60, 3, 40),
+    ("SKU-DAIRY-001", "Fresh Milk - 1L", "Dairy", 220.0, 0.002, 120, 1, 3),
+    ("SKU-DAIRY-002", "Yogurt - 400g", "Dairy", 150.0, 0.001, 90, 1, 4),
+    ("SKU-SNACK-001", "Chips Family Pack", "Snacks", 180.0, 0.004, 50, 3, 20),
+    ("SKU-BEV-001", "Soft Drink - 1.5L", "Beverages", 150.0, 0.003, 75, 2, 15),
+    ("SKU-CLEAN-001", "Detergent - 3kg", "Cleaning", 650.0, 0.006, 35, 5, 30),
+    ("SKU-CLEAN-002", "Dishwashing Liquid - 1L", "Cleaning", 280.0, 0.002, 40, 4, 25),
+]
+
+# Suppliers.
+SUPPLIERS = [
+    ("SUP-LOCAL-001", "National Foods (Pvt) Ltd", 0.96, 2.0, 0.5, "local_fmcg"),
+    ("SUP-LOCAL-002", "Nestle Pakistan", 0.94, 2.0, 0.6, "local_fmcg"),
+    ("SUP-REGIONAL-001", "Punjab Oil Mills", 0.88, 4.0, 1.2, "regional"),
+    ("SUP-IMPORT-001", "Global Trading Corp", 0.82, 7.0, 2.5, "import"),
+]
+
+SEED = {"regions_dim": REGIONS, "dcs_dim": DCS, "skus_dim": SKUS, "suppliers_dim": SUPPLIERS}
+
+
+def seed_dimension(spark: SparkSession, table: str) -> DataFrame:
+    return spark.createDataFrame(SEED[table], schemas.TABLES[table])
+
+
+def seed_dimensions(spark: SparkSession, base: str) -> None:
+    """Replace all dimension tables below ``base`` with the seed rows."""
+    for table in SEED:
+        replace_table(seed_dimension(spark, table), f"{base}/{table}", schemas.TABLES[table])
