@@ -84,11 +84,16 @@ def thousands(value: Column, digits: int = 0) -> Column:
     return F.format_number(value, digits)
 
 
+def fixed(value: Column, digits: int) -> Column:
+    """A fixed number of decimals, without separators."""
+    return F.call_function("format_number", value, F.lit("0." + "0" * digits))
+
+
 def compact_number(value: Column) -> Column:
     """Millions as ``1.23M``, thousands as ``1.2K``, otherwise a whole number."""
     return (
-        F.when(value >= 1_000_000, F.concat(F.format_number(value / 1_000_000, "0.00"), F.lit("M")))
-        .when(value >= 1_000, F.concat(F.format_number(value / 1_000, "0.0"), F.lit("K")))
+        F.when(value >= 1_000_000, F.concat(fixed(value / 1_000_000, 2), F.lit("M")))
+        .when(value >= 1_000, F.concat(fixed(value / 1_000, 1), F.lit("K")))
         .otherwise(F.format_number(value, 0))
     )
 
@@ -96,12 +101,12 @@ def compact_number(value: Column) -> Column:
 def money_card(value: Column) -> Column:
     """Revenue card: thousands below one million, millions from it on."""
     return F.when(
-        value < 1_000_000, F.concat(F.lit("$"), F.format_number(value / 1_000, "0.0"), F.lit("K"))
-    ).otherwise(F.concat(F.lit("$"), F.format_number(value / 1_000_000, "0.00"), F.lit("M")))
+        value < 1_000_000, F.concat(F.lit("$"), fixed(value / 1_000, 1), F.lit("K"))
+    ).otherwise(F.concat(F.lit("$"), fixed(value / 1_000_000, 2), F.lit("M")))
 
 
 def percent_text(percent: Column) -> Column:
-    return F.concat(F.format_number(percent, "0.0"), F.lit("%"))
+    return F.concat(fixed(percent, 1), F.lit("%"))
 
 
 def to_number(column: Column, default: float = 0.0) -> Column:

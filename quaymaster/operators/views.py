@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quaymaster.functions import bands
 from quaymaster.functions.scalars import (
-    compact_number, first_present, money_card, percent_text, ratio, thousands, to_number,
+    compact_number, first_present, fixed, money_card, percent_text, ratio, thousands, to_number,
 )
 
 # Synonyms of each field, in order of preference.
@@ -116,7 +116,7 @@ def executive_cards(totals: DataFrame) -> DataFrame:
         thousands(F.col("total_inventory")).alias("total_inventory"),
         F.col("stockout_count").cast("string").alias("stockout_alerts"),
         bands.traffic_light(F.col("stockout_count"), bands.ALERTS_DANGER, bands.ALERTS_WARNING).alias("stockout_colour"),
-        F.format_number("avg_lead_time_days", "0.0").alias("avg_lead_time"),
+        fixed(F.col("avg_lead_time_days"), 1).alias("avg_lead_time"),
         percent_text(F.col("avg_utilization_pct")).alias("dc_utilization"),
         bands.traffic_light(
             F.col("avg_utilization_pct"), bands.DASHBOARD_CRITICAL_PCT, bands.DASHBOARD_HIGH_PCT
@@ -210,7 +210,7 @@ def stockout_alert_view(alerts: DataFrame) -> DataFrame:
             thousands(F.col("stock_level")).alias("current_stock"),
             thousands(F.col("safety_stock_level")).alias("safety_stock"),
             compact_number(F.col("demand_rate_per_day")).alias("demand_per_day"),
-            F.format_number(days, "0.00").alias("days_left"),
+            fixed(days, 2).alias("days_left"),
             bands.alert_band(days).alias("severity"),
             days,
         )

@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """Schema from ``name type`` pairs, without needing a session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
 ORDERS_FACT = _struct(
@@ -45,8 +58,8 @@ INVENTORY_STATE = _struct(
 ARCHIVE_PARTS = _struct(
     "event_date date, event_year int, event_month int, event_day int, event_hour int"
 )
-ARCHIVE_STATS = _struct(
-    "collection string, record_count bigint, size_mb double, date_range struct<min:string,max:string>"
+ARCHIVE_STATS = _struct("collection string, record_count bigint, size_mb double").add(
+    "date_range", _struct("min string, max string")
 )
 SERVING = _struct(
     "kpi_key string, position bigint, payload string, updated_at timestamp, expires_at timestamp"

@@ -68,13 +68,13 @@ def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
     """
     spark = table.rows.sparkSession
     path = f"{base}/{table.name}"
-    due = with_date_parts(due_rows(table, cutoff).dropDuplicates([table.event_id]), table.ts)
+    due = with_date_parts(due_rows(table, cutoff), table.ts)
+    if due.isEmpty():
+        return None
     known = read_archive(spark, path, table.rows.schema.fields)
     if known is not None:
         before = known.where(F.col("event_date") <= F.lit(cutoff.date())).select(*PARTITION_COLUMNS, table.event_id)
         due = due.join(before, [*PARTITION_COLUMNS, table.event_id], "left_anti").select(*due.columns)
-    if due.isEmpty():
-        return None
     seen = Observation(f"archive-{table.name}")
     (
         due.hint("rebalance", *PARTITION_COLUMNS)
@@ -85,6 +85,8 @@ def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
         .write.mode("append").partitionBy(*PARTITION_COLUMNS).option("compression", "snappy").parquet(path)
     )
     stats = seen.get
+    if stats["records"] == 0:
+        return None
     return {
         "collection": table.name,
         "record_count": stats["records"],

@@ -2,7 +2,8 @@
 
 Surrogates, where the benchmark tables have no such column: a distribution
 center is a nation with a capacity of 50 m3 plus its key; stock snapshots are
-order lines at the supplier's nation; a line fulfils at most 40 units.
+order lines at the supplier's nation; a line fulfils at most 40 units. Order values
+are decimals, so that their totals do not depend on the order of addition.
 """
 
 from __future__ import annotations
@@ -94,7 +95,7 @@ class RetailViews:
             lost.alias("lost_sales_qty"),
             requested.alias("quantity"),
             (lost > 0).alias("lost_sale_flag"),
-            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("order_value"),
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("order_value"),
             priority_level(F.col("o_orderpriority")).alias("priority_level"),
             F.col("o_orderdate").alias("order_ts"),
         )

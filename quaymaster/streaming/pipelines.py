@@ -86,18 +86,11 @@ def to_files(df: DataFrame, path: str, checkpoint: str, partitions: list[str] |
 def to_archive(df: DataFrame, ts: str, path: str, checkpoint: str) -> StreamingQuery:
     """Streaming archive in the layout of the batch archive.
 
-    The rebalance spreads a busy hour over several tasks within each micro-batch.
+    Every task writes the rows it read into their partitions; nothing is shuffled, so a
+    busy hour is as parallel as its input.
     """
     parted = event_time(df, ts).withColumns(date_parts(F.col(ts)))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(
-            f"{path}/batch={batch_id}"
-        )
-
-    return (
-        parted.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return to_files(parted, path, checkpoint, PARTITION_COLUMNS)
 
 
 def publish_each_batch(df: DataFrame, publish: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
