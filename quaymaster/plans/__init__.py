@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-TOPICS = ["q_kpis"]
+TOPICS = ["q_kpis", "q_views", "q_sources", "q_accounting", "q_quality", "q_tiers", "q_streams"]
 
 
 def all_queries():

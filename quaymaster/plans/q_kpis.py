@@ -142,8 +142,8 @@ USAGE = """SELECT dc_id, dc_name, capacity_m3, vol AS occupied_volume_m3, vol /
   WHEN vol / nullif(capacity_m3, 0) >= 0.50 THEN 'NORMAL' ELSE 'LOW' END AS status
 FROM (SELECT dc_id, sum(on_hand_qty * storage_m3) AS vol FROM {source} LEFT JOIN skus USING (sku_id) GROUP BY ALL) a
 LEFT JOIN dcs USING (dc_id)"""
-SHOW_USAGE = """SELECT dc_id, dc_name, capacity_m3, round(occupied_volume_m3, 6) AS occupied_volume_m3,
- round(utilization_rate, 6) AS utilization_rate, status FROM usage"""
+SHOW_USAGE = """SELECT dc_id, dc_name, capacity_m3, round(occupied_volume_m3, 9) AS occupied_volume_m3,
+ round(utilization_rate, 9) AS utilization_rate, status FROM usage"""
 NEWEST = """SELECT sku_id, dc_id, arg_max(on_hand_qty, {'t': inventory_ts, 'q': on_hand_qty}) AS on_hand_qty
 FROM wi GROUP BY ALL"""
 RATES = ("occupied_volume_m3", "utilization_rate")
@@ -152,13 +152,13 @@ RATES = ("occupied_volume_m3", "utilization_rate")
 @query("kpi_dc_utilization", "F4 D6 E5 D2 C5",
        with_views("inventory_fact skus dcs", SHOW_USAGE, wi=WI, usage=USAGE.format(source="wi")))
 def dc_utilization(v):
-    return rounded(kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs()), 6, *RATES)
+    return rounded(kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs()), 9, *RATES)
 
 
 @query("kpi_dc_utilization_latest", "F4",
        with_views("inventory_fact skus dcs", SHOW_USAGE, wi=WI, newest=NEWEST, usage=USAGE.format(source="newest")))
 def dc_utilization_latest(v):
-    return rounded(kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs(), mode="latest"), 6, *RATES)
+    return rounded(kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs(), mode="latest"), 9, *RATES)
 
 
 @query("overloaded_dc_count", "E9 C3", with_views(
@@ -169,12 +169,12 @@ def overloaded_dc_count(v):
 
 
 @query("capacity_alerts", "F17", with_views(
-    "inventory_fact skus dcs", """SELECT dc_id, dc_name, round(utilization_rate, 6) AS utilization_rate,
+    "inventory_fact skus dcs", """SELECT dc_id, dc_name, round(utilization_rate, 9) AS utilization_rate,
  CASE WHEN utilization_rate > 0.90 THEN 'CRITICAL' WHEN utilization_rate > 0.75 THEN 'ABOVE_TARGET' ELSE 'OK' END AS capacity_alert
 FROM usage""", wi=WI, usage=USAGE.format(source="wi")))
 def capacity_alerts(v):
     usage = kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs())
-    return rounded(kpis.capacity_alerts(usage), 6, "utilization_rate")
+    return rounded(kpis.capacity_alerts(usage), 9, "utilization_rate")
 
 
 # Regions and revenue -----------------------------------------------------------------------
@@ -269,7 +269,7 @@ def unified_supplier_performance(v):
 @query("unified_dc_utilization", "F12 G1 F4",
        with_views("inventory_fact skus dcs", SHOW_USAGE, usage=USAGE.format(source="inventory_fact")))
 def unified_dc_utilization(v):
-    return rounded(kpis.dc_utilization(history_inventory(v), v.skus(), v.dcs()), 6, *RATES)
+    return rounded(kpis.dc_utilization(history_inventory(v), v.skus(), v.dcs()), 9, *RATES)
 
 
 @query("unified_regional_performance", "F12 G1 F5",
@@ -338,33 +338,31 @@ def _history_cover(v):
 
 
 @query("inventory_rebalance", "F16", with_views("inventory_fact orders_fact", """
-SELECT sku_id, dc_id, role, row_number() OVER (PARTITION BY sku_id, role ORDER BY abs(current_stock - ms) DESC, dc_id)::INT AS "rank",
- round(current_stock, 6) AS current_stock, round(units_per_day, 6) AS units_per_day, round(abs(current_stock - ms), 6) AS gap_units
+SELECT sku_id, dc_id, role, row_number() OVER (PARTITION BY sku_id, role ORDER BY abs(surplus) DESC, dc_id)::INT AS "rank",
+ round(current_stock, 9) AS current_stock, round(units_per_day, 9) AS units_per_day, abs(surplus) AS gap_units
 FROM (SELECT *, count(*) FILTER (role = 'donor') OVER (PARTITION BY sku_id) AS dn,
   count(*) FILTER (role = 'receiver') OVER (PARTITION BY sku_id) AS rc
- FROM (SELECT *, CASE WHEN current_stock > ms AND units_per_day < mv THEN 'donor'
-   WHEN current_stock < ms AND units_per_day > mv THEN 'receiver' END AS role
-  FROM (SELECT *, avg(current_stock) OVER (PARTITION BY sku_id) AS ms, avg(units_per_day) OVER (PARTITION BY sku_id) AS mv FROM cover)))
-WHERE role IS NOT NULL AND dn > 0 AND rc > 0""", cover="""
-SELECT sku_id, dc_id, round(current_stock, 6) AS current_stock, round(units_per_day, 9) AS units_per_day FROM cover0""",
-    ).replace("cover AS (", f"cover0 AS ({HISTORY_COVER}),\ncover AS ("))
+ FROM (SELECT *, CASE WHEN surplus > 0 AND haste < 0 THEN 'donor' WHEN surplus < 0 AND haste > 0 THEN 'receiver' END AS role
+  FROM (SELECT *, round(current_stock - avg(current_stock) OVER (PARTITION BY sku_id), 9) AS surplus,
+   round(units_per_day - avg(units_per_day) OVER (PARTITION BY sku_id), 9) AS haste FROM cover)))
+WHERE role IS NOT NULL AND dn > 0 AND rc > 0""", cover=HISTORY_COVER))
 def inventory_rebalance(v):
     out = kpis.inventory_rebalance(
         kpis.inventory_rollup(v.inventory_fact()), kpis.demand_rollup(v.orders_fact()), history_days(v)
     )
-    return rounded(out, 6, "current_stock", "units_per_day", "gap_units")
+    return rounded(out, 9, "current_stock", "units_per_day", "gap_units")
 
 
 @query("overloaded_transfers", "F16 F4", with_views("inventory_fact skus dcs", """
-SELECT sku_id, dc_id, product_name, dc_name, round(utilization_rate, 6) AS utilization_rate,
- round(units * storage_m3, 6) AS volume_m3
+SELECT sku_id, dc_id, product_name, dc_name, round(utilization_rate, 9) AS utilization_rate,
+ round(units * storage_m3, 9) AS volume_m3
 FROM (SELECT sku_id, dc_id, sum(on_hand_qty) AS units FROM wi GROUP BY ALL) a LEFT JOIN skus USING (sku_id)
 JOIN (SELECT dc_id, dc_name, utilization_rate FROM usage
  WHERE status = 'OVERLOADED' AND (SELECT count(*) FROM usage WHERE status = 'LOW') > 0) u USING (dc_id)""",
     wi=WI, usage=USAGE.format(source="wi")))
 def overloaded_transfers(v):
     out = kpis.overloaded_transfers(kpis.inventory_rollup(window_inventory(v)), v.skus(), v.dcs())
-    return rounded(out, 6, "utilization_rate", "volume_m3")
+    return rounded(out, 9, "utilization_rate", "volume_m3")
 
 
 @query("coverage_alerts", "F17 F2b", with_views("inventory_fact orders_fact", """
