@@ -22,6 +22,9 @@ from quaymaster.sources.tables import older_than
 OLDER_THAN_MINUTES = 120
 PARTITION_COLUMNS = ["event_date", "event_hour"]
 
+# A run up to this size is written without evening out its files.
+SMALL_RUN_ROWS = 5_000_000
+
 
 @dataclass(frozen=True)
 class ArchiveTable:
@@ -57,19 +60,32 @@ def read_archive(spark: SparkSession, path: str, columns) -> DataFrame | None:
         raise
 
 
+def spread(due: DataFrame, rows: int) -> DataFrame:
+    """Group rows by partition for the write.
+
+    In a large run adaptive execution evens out the files and splits a partition that is
+    too large for one task. In a small run it would merge everything into a single task that
+    opens one file after the other, so there the partitions go to all tasks.
+    """
+    if rows > SMALL_RUN_ROWS:
+        return due.hint("rebalance", *PARTITION_COLUMNS)
+    tasks = int(due.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return due.repartition(tasks, *PARTITION_COLUMNS)
+
+
 def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
     """Append the due rows that are not archived yet; their statistics, or None if there are none.
 
     The date of a row follows from its time, so ids are compared within a date:
     the join key spreads by date, and the archive is pruned to dates up to the cutoff.
-    The rebalance groups rows by partition into files of an even size and splits a
-    partition that holds too many rows for one task. It comes before the observation, so
-    the statistics are taken in the task that writes, once per written row.
+    The rows are spread before the observation, so the statistics are taken in the task
+    that writes, once per written row.
     """
     spark = table.rows.sparkSession
     path = f"{base}/{table.name}"
     due = with_date_parts(due_rows(table, cutoff), table.ts)
-    if due.isEmpty():
+    found = due.count()
+    if found == 0:
         return None
     known = read_archive(spark, path, table.rows.schema.fields)
     if known is not None:
@@ -77,7 +93,7 @@ def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
         due = due.join(before, [*PARTITION_COLUMNS, table.event_id], "left_anti").select(*due.columns)
     seen = Observation(f"archive-{table.name}")
     (
-        due.hint("rebalance", *PARTITION_COLUMNS)
+        spread(due, found)
         .observe(
             seen, F.count("*").alias("records"), F.min(table.ts).cast("string").alias("first"),
             F.max(table.ts).cast("string").alias("last"),
