@@ -41,12 +41,14 @@ def test_archive_is_idempotent_and_excludes_the_cutoff(spark):
     assert (str(row["event_date"]), row["event_hour"], row["event_year"], row["event_month"], row["event_day"]) == ("2025-02-28", 2, 2025, 2, 28)
 
 
-def test_archive_scan_prunes_partitions(spark):
+def test_archive_scan_prunes_partitions(spark, capsys):
     base = scratch_path(spark, "t")
     archive.append_new(table(sold(spark, [121, 200, 2000])), base, CUTOFF)
     picked = scan_archive(spark, base, "orders_fact", data.minutes_ago(1000), data.minutes_ago(150))
     assert ids(picked) == ["o200"]
-    plan = picked._jdf.queryExecution().toString()
+    capsys.readouterr()
+    picked.explain("formatted")
+    plan = capsys.readouterr().out
     assert "PartitionFilters: [isnotnull(event_date" in plan and "PushedFilters: [IsNotNull(order_ts)" in plan
 
 
