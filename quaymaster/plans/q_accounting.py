@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quaymaster.operators import accounting, kpis
 from quaymaster.plans.registry import DAYS, INVENTORY_AS_OF, ORDERS_AS_OF, query, rounded, sql_time, text_time
 from quaymaster.plans.sql import with_views
+from quaymaster.session import materialise
 from quaymaster.sources.retail_views import RetailViews
 
 # Shipments that arrive after this many days before the newest snapshot are still open,
@@ -114,9 +115,12 @@ LEDGER = dict(requests=REQUESTS, fulfilled=FULFILLED, open_shipments=OPEN, moves
 
 
 def moves(v: RetailViews):
-    fulfilled = accounting.fulfil_orders(order_requests(v), v.inventory_state())
+    """Each input is written once, as the balance reads its movements twice."""
+    opening = materialise(v.inventory_state(), "opening-state")
+    requests = materialise(order_requests(v), "order-requests")
+    fulfilled = materialise(accounting.fulfil_orders(requests, opening), "fulfilled")
     received = open_shipments(v).where(F.col("actual_arrival_ts").isNotNull())
-    return accounting.movements(v.inventory_state(), fulfilled, received)
+    return accounting.movements(opening, fulfilled, received)
 
 
 @query("inventory_balance", "I3", with_views("orders_fact shipments_fact inventory_state", """

@@ -18,16 +18,7 @@ from quaymaster.session import scratch_path
 from quaymaster.sources import tables
 from quaymaster.sources.tables import Period, recent
 
-EVENTS = schemas.T.StructType(
-    [
-        schemas.T.StructField("event_id", schemas.T.LongType()),
-        schemas.T.StructField("ts", schemas.T.TimestampNTZType()),
-        schemas.T.StructField("user_id", schemas.T.LongType()),
-        schemas.T.StructField("event_type", schemas.T.StringType()),
-        schemas.T.StructField("value", schemas.T.DoubleType()),
-        schemas.T.StructField("props", schemas.T.StringType()),
-    ]
-)
+EVENTS = schemas.BENCHMARK["events"]
 
 
 @query("scan_with_schema", "A1", f"SELECT event_id, {sql_time('ts')}, user_id, event_type, value, props FROM events")

@@ -6,6 +6,11 @@ ROW_ID = (
     "(substr(h,1,8)||'-'||substr(h,9,4)||'-'||substr(h,13,4)||'-'||substr(h,17,4)||'-'||substr(h,21,12))"
 )
 
+LINE_HASH = (
+    "sha256(l_orderkey||'|'||l_linenumber||'|'||l_partkey||'|'||l_suppkey||'|'||l_quantity::INT"
+    "||'|'||strftime(l_shipdate, '%Y-%m-%d'))"
+)
+
 VIEWS = {
     "regions": "SELECT r_regionkey AS region_id, r_name AS region_name FROM region",
     "dcs": "SELECT n_nationkey AS dc_id, n_name AS dc_name, n_regionkey AS region_id, "
@@ -16,7 +21,7 @@ VIEWS = {
     "suppliers": "SELECT s_suppkey AS supplier_id, s_name AS supplier_name, "
     "(80 + s_suppkey % 20)::DOUBLE / 100 AS reliability_score, "
     "(1 + s_suppkey % 7)::DOUBLE AS avg_lead_time_days FROM supplier",
-    "order_lines": "SELECT *, sha256(l_orderkey||'|'||l_linenumber||'|'||l_partkey||'|'||l_suppkey) AS h "
+    "order_lines": f"SELECT *, {LINE_HASH} AS h "
     "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey",
     "orders_fact": f"SELECT {ROW_ID} AS order_line_id, l_orderkey AS order_id, l_partkey AS sku_id, c_nationkey AS dc_id, "
     "l_quantity::INT AS requested_qty, least(l_quantity::INT, 40) AS fulfilled_qty, "
@@ -31,7 +36,7 @@ VIEWS = {
     "date_diff('day', o_orderdate, l_shipdate)::DOUBLE AS lead_time_days FROM order_lines WHERE l_shipdate > o_orderdate",
     "inventory_fact": f"SELECT {ROW_ID} AS inventory_event_id, l_partkey AS sku_id, s_nationkey AS dc_id, "
     "l_quantity::INT AS on_hand_qty, p_size % 20 AS safety_stock, p_size % 20 + 10 AS reorder_point, "
-    "l_shipdate AS inventory_ts FROM (SELECT *, sha256(l_orderkey||'|'||l_linenumber||'|'||l_partkey||'|'||l_suppkey) AS h "
+    f"l_shipdate AS inventory_ts FROM (SELECT *, {LINE_HASH} AS h "
     "FROM lineitem) JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey",
     "inventory_state": "SELECT sku_id, dc_id, on_hand_qty, safety_stock, reorder_point, inventory_ts AS last_updated "
     "FROM (SELECT *, row_number() OVER (PARTITION BY sku_id, dc_id ORDER BY inventory_ts DESC, on_hand_qty DESC) AS rn "

@@ -13,6 +13,7 @@ TYPES = {
     "boolean": T.BooleanType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
 }
 
 
@@ -76,6 +77,31 @@ TABLES = {
     "inventory_state": INVENTORY_STATE,
 }
 
+# The benchmark tables from which the domain views are derived.
+BENCHMARK = {
+    "region": _struct("r_regionkey int, r_name string"),
+    "nation": _struct("n_nationkey int, n_name string, n_regionkey int"),
+    "customer": _struct(
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": _struct("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+    "part": _struct(
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "orders": _struct(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": _struct(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": _struct(
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
+
 FACT_TIME = {
     "orders_fact": "order_ts",
     "shipments_fact": "shipment_ts",

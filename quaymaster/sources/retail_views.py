@@ -13,8 +13,9 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from quaymaster import schemas
 from quaymaster.functions.scalars import ratio, stable_id
-from quaymaster.sources.tables import newest_time
+from quaymaster.sources.tables import newest_time, scan
 
 LINE_LIMIT = 40
 
@@ -27,6 +28,12 @@ def priority_level(priority: Column) -> Column:
     )
 
 
+def line_id() -> Column:
+    """Identifier of an order line; order and line number alone are not unique."""
+    keys = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    return stable_id(*keys, F.col("l_quantity").cast("int"), F.date_format("l_shipdate", "yyyy-MM-dd"))
+
+
 class RetailViews:
     """Domain views over one folder of benchmark tables."""
 
@@ -35,7 +42,7 @@ class RetailViews:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return scan(self.spark, schemas.BENCHMARK[name], f"{self.folder}/{name}.parquet")
 
     # Dimensions -----------------------------------------------------------
 
@@ -84,7 +91,7 @@ class RetailViews:
         requested = F.col("l_quantity").cast("int")
         lost = F.greatest(requested - LINE_LIMIT, F.lit(0))
         return self._order_lines().select(
-            stable_id(*[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias(
+            line_id().alias(
                 "order_line_id"
             ),
             F.col("l_orderkey").alias("order_id"),
@@ -111,7 +118,7 @@ class RetailViews:
             self._order_lines()
             .where(F.col("l_shipdate") > F.col("o_orderdate"))
             .select(
-                stable_id(*[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias(
+                line_id().alias(
                     "shipment_id"
                 ),
                 F.col("l_partkey").alias("sku_id"),
@@ -132,7 +139,7 @@ class RetailViews:
             lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .select(
-                stable_id(*[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias(
+                line_id().alias(
                     "inventory_event_id"
                 ),
                 F.col("l_partkey").alias("sku_id"),

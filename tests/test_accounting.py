@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import data
-from quaymaster.operators import accounting
+from quaymaster.operators import accounting, running
 from quaymaster.operators.running import running_total
 
 STATE = "sku_id string, dc_id string, on_hand_qty int, safety_stock int, reorder_point int, last_updated timestamp"
@@ -26,15 +26,23 @@ def loop(stock, asked):
 
 
 @pytest.fixture
-def sliced(spark):
-    """Keep all slices, as a large run would."""
+def sliced(spark, monkeypatch):
+    """Treat every key as too large for one task, and keep all slices as a large run would."""
+    monkeypatch.setattr(running, "largest_key", lambda df, keys: running.MOST_ROWS_PER_KEY + 1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_fulfilment_equals_the_loop_with_a_hot_pair(spark, sliced, seed):
+def test_fulfilment_equals_the_loop_when_sliced(spark, sliced):
+    check_fulfilment(spark, 1)
+
+
+def test_fulfilment_equals_the_loop(spark):
+    check_fulfilment(spark, 2)
+
+
+def check_fulfilment(spark, seed):
     rng = random.Random(seed)
     pairs = [("hot", "D")] + [(f"s{i}", f"d{j}") for i in range(4) for j in range(3)]
     stock = {p: rng.randint(0, 400 if p[0] == "hot" else 60) for p in pairs if rng.random() < 0.9}
@@ -62,10 +70,22 @@ def test_running_total_spreads_a_hot_key(spark, sliced):
         assert row["before"] == sums.get(row["key"], 0)
         sums[row["key"]] = sums.get(row["key"], 0) + row["units"]
     assert len(out) == 3000
+    assert running_total(df, ["key"], ["at"], "units", "before", most_rows=100).count() == 3000
     slices = df.repartitionByRange("key", "at").withColumn("slice", F.spark_partition_id()).where("key = 'hot'")
     assert slices.select("slice").distinct().count() > 1
 
 
+def test_largest_key_decides(spark, monkeypatch):
+    df = spark.range(10).select((F.col("id") % 3).alias("key"), F.col("id").alias("at"), F.col("id").alias("units"))
+    assert running.largest_key(df, ["key"]) == 4 and running.largest_key(df.limit(0), ["key"]) == 0
+    used = []
+    monkeypatch.setattr(running, "sliced_total", lambda *a: used.append(a))
+    running_total(df, ["key"], ["at"], "units", "before", most_rows=4)
+    assert not used
+    running_total(df, ["key"], ["at"], "units", "before", most_rows=3)
+    assert used
+
+
 def test_running_total_with_null_keys(spark, sliced):
     df = spark.createDataFrame([(None, 1, 5), (None, 2, 6), ("a", 1, 7), (None, 3, 1)], "key string, at int, units int")
     got = {(r["key"], r["at"]): r["before"] for r in running_total(df, ["key"], ["at"], "units", "before").collect()}
