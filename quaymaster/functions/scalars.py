@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -19,9 +19,16 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def moment(value: datetime, dtype: str | T.DataType = "timestamp") -> Column:
+    """A time as a literal. A value without zone is UTC, whatever the zone of the driver's machine."""
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(value.isoformat(sep=" ")).cast(dtype)
+
+
 def instant(df: DataFrame, column: str, value: datetime) -> Column:
     """Literal of the column's own timestamp type, so that the filter is pushed to the scan."""
-    return F.lit(value).cast(df.schema[column].dataType)
+    return moment(value, df.schema[column].dataType)
 
 
 def date_parts(ts: Column) -> dict[str, Column]:

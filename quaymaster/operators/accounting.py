@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymaster.functions.scalars import instant, plus_days, plus_hours, ratio, stable_id
+from quaymaster.functions.scalars import instant, moment, plus_days, plus_hours, ratio, stable_id
 from quaymaster.operators.running import running_total
 
 PAIR = ["sku_id", "dc_id"]
@@ -50,7 +50,7 @@ def snapshot(state: DataFrame, as_of: datetime) -> DataFrame:
         "on_hand_qty",
         "safety_stock",
         "reorder_point",
-        F.lit(as_of).cast("timestamp_ntz").alias("inventory_ts"),
+        moment(as_of).alias("inventory_ts"),
     )
 
 
@@ -214,7 +214,7 @@ def initial_state(policy: DataFrame, as_of: datetime) -> DataFrame:
     """State before the first order: every pair holds its base stock."""
     return policy.select(
         *PAIR, F.col("base_stock").alias("on_hand_qty"), "safety_stock", "reorder_point", "base_stock",
-        "stock_coverage_days", F.lit(as_of).cast("timestamp_ntz").alias("last_updated"),
+        "stock_coverage_days", moment(as_of).alias("last_updated"),
     )
 
 
@@ -266,7 +266,7 @@ def replenishment_shipments(
     lead = F.element_at(
         F.create_map(*[F.lit(x) for sid, _, days in suppliers for x in (sid, float(days))]), F.col("supplier_id")
     )
-    sent = F.lit(as_of).cast("timestamp")
+    sent = moment(as_of)
     return (
         candidates.withColumn("supplier_id", chosen)
         .withColumn("lead_time_days", lead)

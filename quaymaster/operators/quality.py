@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quaymaster.functions import bands
-from quaymaster.functions.scalars import age_seconds, is_uuid, ratio, size_mb
+from quaymaster.functions.scalars import age_seconds, is_uuid, moment, ratio, size_mb
 from quaymaster.operators.setops import orphans
 
 # Priorities, staleness limit in seconds, archive thresholds in megabytes.
@@ -123,7 +123,7 @@ def archive_effect(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def fact_freshness(facts: dict[str, tuple[DataFrame, str]], as_of: datetime, watched: str = "orders_fact") -> DataFrame:
     """Age of the newest row of each fact; only the watched fact can be stale."""
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = moment(as_of, "timestamp_ntz")
     newest = reduce(
         DataFrame.unionByName,
         [
@@ -138,7 +138,7 @@ def fact_freshness(facts: dict[str, tuple[DataFrame, str]], as_of: datetime, wat
 
 def kpi_freshness(updates: DataFrame, as_of: datetime, limit: int = STALE_SECONDS) -> DataFrame:
     """Fresh, Stale or Unknown for each ``last_update`` text."""
-    age = age_seconds(F.try_to_timestamp(F.col("last_update")), F.lit(as_of).cast("timestamp_ntz"))
+    age = age_seconds(F.try_to_timestamp(F.col("last_update")), moment(as_of, "timestamp_ntz"))
     return updates.withColumn("age_seconds", age).withColumn("freshness", bands.freshness(age, limit))
 
 

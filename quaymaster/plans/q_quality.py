@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from quaymaster import schemas
+from quaymaster.functions.scalars import moment
 from quaymaster.operators import quality
 from quaymaster.operators.quality import Rule
 from quaymaster.plans.registry import DAYS, INVENTORY_AS_OF, ORDERS_AS_OF, query, rounded
@@ -154,7 +155,7 @@ FROM (SELECT count(*) AS rows_before, count(*) FILTER (keep) AS rows_after,
  round(count(*) * 500 / 1048576.0, 2)::DOUBLE AS b, round(count(*) FILTER (keep) * 500 / 1048576.0, 2)::DOUBLE AS a
  FROM (SELECT order_ts >= {ORDERS_AS_OF} - INTERVAL {DAYS} DAY AS keep FROM orders_fact))"""))
 def archive_effect(v):
-    cutoff = F.lit(v.orders_as_of - timedelta(days=DAYS)).cast("timestamp_ntz")
+    cutoff = moment(v.orders_as_of - timedelta(days=DAYS), "timestamp_ntz")
     return quality.archive_effect(v.orders_fact(), v.orders_fact().where(F.col("order_ts") >= cutoff))
 
 

@@ -169,7 +169,7 @@ def event_date_parts(v):
 SELECT event_id, epoch(date_trunc('second', {EVENTS_AS_OF}))::BIGINT - epoch(date_trunc('second', ts))::BIGINT AS age_seconds,
  strftime(ts - INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_start FROM events""")
 def event_ages(v):
-    now = F.lit(v.events_as_of)
+    now = scalars.moment(v.events_as_of)
     return v.events().select(
         "event_id", scalars.age_seconds(F.col("ts"), now).alias("age_seconds"),
         F.date_format(scalars.before(F.col("ts"), 15), "yyyy-MM-dd HH:mm:ss").alias("window_start"),

@@ -11,6 +11,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from quaymaster.functions.scalars import moment
+
 # Keys, record limits and time to live of the published KPIs.
 TTL_SECONDS = 120
 INVENTORY_KEY = "kpi:inventory_level"
@@ -27,8 +29,8 @@ DOCUMENT_RECORDS = 1000
 
 
 def _stamped(df: DataFrame, as_of: datetime, ttl: int) -> DataFrame:
-    return df.withColumn("updated_at", F.lit(as_of).cast("timestamp")).withColumn(
-        "expires_at", F.lit(as_of + timedelta(seconds=ttl)).cast("timestamp")
+    return df.withColumn("updated_at", moment(as_of)).withColumn(
+        "expires_at", moment(as_of + timedelta(seconds=ttl))
     )
 
 
@@ -68,7 +70,7 @@ def write_serving(table: DataFrame, path: str) -> None:
 
 def live(table: DataFrame, as_of: datetime) -> DataFrame:
     """Records that have not expired."""
-    return table.where(F.col("expires_at") > F.lit(as_of).cast("timestamp"))
+    return table.where(F.col("expires_at") > moment(as_of))
 
 
 def read_records(table: DataFrame, key: str, schema: T.StructType | str, as_of: datetime) -> DataFrame:

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quaymaster import schemas
-from quaymaster.functions.scalars import ratio, stable_id
+from quaymaster.functions.scalars import moment, ratio, stable_id
 from quaymaster.sources.tables import newest_time, scan
 
 LINE_LIMIT = 40
@@ -111,7 +111,7 @@ class RetailViews:
         """Lines shipped after their order date; open if they arrive after ``received_until``."""
         arrival = F.col("l_shipdate")
         if received_until is not None:
-            actual = F.when(arrival <= F.lit(received_until).cast("timestamp_ntz"), arrival)
+            actual = F.when(arrival <= moment(received_until, "timestamp_ntz"), arrival)
         else:
             actual = arrival
         return (

@@ -76,8 +76,8 @@ def older_than(df: DataFrame, ts: str, cutoff: datetime) -> DataFrame:
 
 
 def newest_time(df: DataFrame, ts: str) -> datetime | None:
-    """Largest event time, as a driver value: one row of one column."""
-    return df.agg(F.max(ts)).first()[0]
+    """Largest event time in UTC, as a driver value: one row of one column."""
+    return df.agg(F.max(ts).cast("timestamp_ntz")).first()[0]
 
 
 def latest_record(df: DataFrame, ts: str, tie: list[str]) -> DataFrame:

@@ -1,8 +1,13 @@
 import os
 import sys
+import time
 
 import pytest
 
+# Test data is written as UTC times without zone.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from quaymaster.session import build_session  # noqa: E402
