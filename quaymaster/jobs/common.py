@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quaymaster import schemas
 from quaymaster.operators.setops import unify
 from quaymaster.sinks.archive import read_archive
-from quaymaster.sources.tables import Period, recent, scan, scan_archive
+from quaymaster.sources.tables import Period, newest_time, recent, scan, scan_archive
 
 
 def parser(description: str) -> argparse.ArgumentParser:
@@ -38,9 +38,16 @@ def read_table(spark: SparkSession, args, table: str) -> DataFrame:
 
 
 def window_of(spark: SparkSession, args, table: str, period: Period, cold: str | None = None) -> DataFrame:
-    """Rows of a fact within the period, with the archived ones where an archive is given."""
+    """Rows of a fact within the period, with the archived ones where an archive is given.
+
+    Only hot rows up to the newest archived time can be in both tiers.
+    """
     ts = schemas.FACT_TIME[table]
     hot = recent(read_table(spark, args, table), ts, period)
     if cold is None or read_archive(spark, f"{cold}/{table}", schemas.TABLES[table].fields) is None:
         return hot
-    return unify(hot, scan_archive(spark, cold, table, period.start), schemas.FACT_ID[table], ts)
+    archived = scan_archive(spark, cold, table, period.start)
+    newest = newest_time(archived, ts)
+    if newest is None:
+        return hot
+    return unify(hot, archived, schemas.FACT_ID[table], ts, newest + timedelta(microseconds=1))

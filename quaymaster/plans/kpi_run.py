@@ -57,7 +57,7 @@ def compute_kpis(facts: Facts, dims: Dimensions, period_days: float, keep: bool
     return KpiSet(
         inventory=kpis.inventory_level_from(stock, dims.skus, dims.dcs),
         stockouts=kpis.stockout_risk_from(cover, dims.skus, dims.dcs, dims.regions),
-        suppliers=kpis.supplier_performance(facts.shipments, dims.suppliers),
+        suppliers=kpis.supplier_scores(facts.shipments, dims.suppliers),
         utilization=kpis.dc_utilization_from(stock, dims.skus, dims.dcs),
         regional=kpis.regional_performance_from(demand, dims.dcs, dims.regions),
         rollups=(stock, demand) if keep else (),
@@ -73,11 +73,11 @@ def publish(result: KpiSet, period: Period) -> DataFrame:
         [
             serving.metadata(result.inventory.sparkSession, as_of, period.minutes),
             serving.records(
-                result.inventory, serving.INVENTORY_KEY, [F.desc("current_inventory"), "sku_id", "dc_id"], as_of,
+                result.inventory, serving.INVENTORY_KEY, kpis.level_order(), as_of,
                 limits[serving.INVENTORY_KEY],
             ),
             serving.records(
-                result.stockouts, serving.STOCKOUT_KEY, ["days_until_stockout", "sku_id", "dc_id"], as_of,
+                result.stockouts, serving.STOCKOUT_KEY, kpis.risk_order(), as_of,
                 limits[serving.STOCKOUT_KEY],
             ),
             serving.records(result.suppliers, serving.SUPPLIER_KEY, [], as_of),
