@@ -28,10 +28,15 @@ def run_at(v: RetailViews):
 
 
 def order_requests(v: RetailViews):
-    """Requested units per order and pair: the lines of an order are one request."""
-    return v.orders_fact().groupBy("order_id", "sku_id", "dc_id", "order_ts").agg(
+    """Requested units per order and pair: the lines of an order are one request.
+
+    Written once, as a running total reads its rows twice and the joins behind them cost
+    more than the write.
+    """
+    requests = v.orders_fact().groupBy("order_id", "sku_id", "dc_id", "order_ts").agg(
         F.sum("requested_qty").alias("requested_qty")
     )
+    return materialise(requests, "order-requests")
 
 
 OPEN = f"SELECT * REPLACE (CASE WHEN actual_arrival_ts <= {RECEIVED_UNTIL} THEN actual_arrival_ts END AS actual_arrival_ts) FROM shipments_fact"
@@ -115,10 +120,9 @@ LEDGER = dict(requests=REQUESTS, fulfilled=FULFILLED, open_shipments=OPEN, moves
 
 
 def moves(v: RetailViews):
-    """Each input is written once, as the balance reads its movements twice."""
+    """Opening stock and fulfilled orders are written once, as the balance reads its movements twice."""
     opening = materialise(v.inventory_state(), "opening-state")
-    requests = materialise(order_requests(v), "order-requests")
-    fulfilled = materialise(accounting.fulfil_orders(requests, opening), "fulfilled")
+    fulfilled = materialise(accounting.fulfil_orders(order_requests(v), opening), "fulfilled")
     received = open_shipments(v).where(F.col("actual_arrival_ts").isNotNull())
     return accounting.movements(opening, fulfilled, received)
 

@@ -142,23 +142,27 @@ USAGE = """SELECT dc_id, dc_name, capacity_m3, vol AS occupied_volume_m3, vol /
   WHEN vol / nullif(capacity_m3, 0) >= 0.50 THEN 'NORMAL' ELSE 'LOW' END AS status
 FROM (SELECT dc_id, sum(on_hand_qty * storage_m3) AS vol FROM {source} LEFT JOIN skus USING (sku_id) GROUP BY ALL) a
 LEFT JOIN dcs USING (dc_id)"""
-SHOW_USAGE = """SELECT dc_id, dc_name, capacity_m3, round(occupied_volume_m3, 9) AS occupied_volume_m3,
+SHOW_USAGE = """SELECT dc_id, dc_name, capacity_m3, round(occupied_volume_m3, 6) AS occupied_volume_m3,
  round(utilization_rate, 9) AS utilization_rate, status FROM usage"""
 NEWEST = """SELECT sku_id, dc_id, arg_max(on_hand_qty, {'t': inventory_ts, 'q': on_hand_qty}) AS on_hand_qty
 FROM wi GROUP BY ALL"""
-RATES = ("occupied_volume_m3", "utilization_rate")
+
+
+def shown(usage):
+    """Volumes have three decimals; rates need nine to be free of ties."""
+    return rounded(rounded(usage, 6, "occupied_volume_m3"), 9, "utilization_rate")
 
 
 @query("kpi_dc_utilization", "F4 D6 E5 D2 C5",
        with_views("inventory_fact skus dcs", SHOW_USAGE, wi=WI, usage=USAGE.format(source="wi")))
 def dc_utilization(v):
-    return rounded(kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs()), 9, *RATES)
+    return shown(kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs()))
 
 
 @query("kpi_dc_utilization_latest", "F4",
        with_views("inventory_fact skus dcs", SHOW_USAGE, wi=WI, newest=NEWEST, usage=USAGE.format(source="newest")))
 def dc_utilization_latest(v):
-    return rounded(kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs(), mode="latest"), 9, *RATES)
+    return shown(kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs(), mode="latest"))
 
 
 @query("overloaded_dc_count", "E9 C3", with_views(
@@ -269,7 +273,7 @@ def unified_supplier_performance(v):
 @query("unified_dc_utilization", "F12 G1 F4",
        with_views("inventory_fact skus dcs", SHOW_USAGE, usage=USAGE.format(source="inventory_fact")))
 def unified_dc_utilization(v):
-    return rounded(kpis.dc_utilization(history_inventory(v), v.skus(), v.dcs()), 9, *RATES)
+    return shown(kpis.dc_utilization(history_inventory(v), v.skus(), v.dcs()))
 
 
 @query("unified_regional_performance", "F12 G1 F5",
@@ -355,14 +359,14 @@ def inventory_rebalance(v):
 
 @query("overloaded_transfers", "F16 F4", with_views("inventory_fact skus dcs", """
 SELECT sku_id, dc_id, product_name, dc_name, round(utilization_rate, 9) AS utilization_rate,
- round(units * storage_m3, 9) AS volume_m3
+ round(units * storage_m3, 6) AS volume_m3
 FROM (SELECT sku_id, dc_id, sum(on_hand_qty) AS units FROM wi GROUP BY ALL) a LEFT JOIN skus USING (sku_id)
 JOIN (SELECT dc_id, dc_name, utilization_rate FROM usage
  WHERE status = 'OVERLOADED' AND (SELECT count(*) FROM usage WHERE status = 'LOW') > 0) u USING (dc_id)""",
     wi=WI, usage=USAGE.format(source="wi")))
 def overloaded_transfers(v):
     out = kpis.overloaded_transfers(kpis.inventory_rollup(window_inventory(v)), v.skus(), v.dcs())
-    return rounded(out, 9, "utilization_rate", "volume_m3")
+    return rounded(rounded(out, 6, "volume_m3"), 9, "utilization_rate")
 
 
 @query("coverage_alerts", "F17 F2b", with_views("inventory_fact orders_fact", """
