@@ -63,6 +63,15 @@ def test_hot_and_cold_hold_every_row_once(spark):
     assert ids(setops.unify(rows, cold, "order_id", "order_ts")) == ids(rows)
 
 
+def test_large_runs_are_rebalanced(spark, monkeypatch):
+    monkeypatch.setattr(archive, "SMALL_RUN_ROWS", 0)
+    base = scratch_path(spark, "t")
+    stats = archive.append_new(table(sold(spark, [1, 121, 200, 2000])), base, CUTOFF)
+    assert stats["record_count"] == 3
+    assert stats["date_range"] == {"min": "2025-02-28 02:40:00", "max": "2025-03-01 09:59:00"}
+    assert ids(scan_archive(spark, base, "orders_fact")) == ["o121", "o200", "o2000"]
+
+
 def test_late_row_is_not_deleted_before_it_is_archived(spark):
     base = scratch_path(spark, "t")
     archive.append_new(table(sold(spark, [121])), base, CUTOFF)
