@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from typing import Callable, Iterable, Iterator
 
 import numpy as np
@@ -23,11 +26,25 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package: those of a job that was not started with it on its path get a copy from the driver."""
+    import quaymaster
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(quaymaster.__file__)))
+    on_path = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    sc = spark.sparkContext
+    if any(p and os.path.realpath(p) == root for p in on_path) or getattr(sc, "_quaymaster_shipped", False):
+        return
+    sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), "quaymaster"), "zip", root, "quaymaster"))
+    sc._quaymaster_shipped = True
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` over a function that yields column dictionaries for one input batch."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    ship_package(df.sparkSession)
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quaymaster.llm import chat, fingerprint, mixing, url_filter
+from quaymaster.llm import chat, fingerprint, mixing, piece, toxicity, url_filter
 from quaymaster.llm.common import read, sha256_hex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,12 +29,34 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read(spark, sf_dir, "documents"))
 
 
+def held_out():
+    """Labels of these ids are for testing only."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    done = toxicity.with_scores(docs.select("doc_id", "text"), labels, ~held_out())
+    return done.select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("_score").alias("score"),
+        (F.col("_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query("op5_fingerprints")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text."""
     return fingerprint.edited_likeness(read(spark, sf_dir, "documents"))
 
 
+def piece_model() -> str:
+    """The public vocabulary file of the registered queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 OP6_SQL = r"""
@@ -73,6 +95,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the decoded text of every document."""
+    done = piece.encode_documents(read(spark, sf_dir, "documents"), piece_model())
+    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return done.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), sha256_hex(ids).alias("ids_sha256"),
+        sha256_hex(F.col("decoded")).alias("decoded_sha256"))
+
+
 RULES = [
     url_filter.Rule("allow", "org", "/"),
     url_filter.Rule("block", "example.org", "/es/"),
