@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quaymaster.llm import chat, fingerprint, mixing, piece, toxicity, url_filter
+from quaymaster.llm import chat, fingerprint, minhash, mixing, piece, toxicity, url_filter
 from quaymaster.llm.common import read, sha256_hex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query("op4_near_copies")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies and the number of texts it is linked to."""
+    return minhash.near_copies(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_rows", "links")
+
+
 @query("op5_fingerprints")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text."""
