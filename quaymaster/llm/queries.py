@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quaymaster.llm import chat, fingerprint, minhash, mixing, piece, toxicity, url_filter
+from quaymaster.llm import chat, fingerprint, minhash, mixing, piece, suffix_dedup, toxicity, url_filter
 from quaymaster.llm.common import read, sha256_hex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query("op3_repeated_spans")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 200-byte strings."""
+    done = suffix_dedup.repeated_spans(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"])
+    return done.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_near_copies")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near copies and the number of texts it is linked to."""
