@@ -141,19 +141,20 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     small = texts.groupBy(*key, "doc_id", "n_chars").agg(F.count("*").alias("copies"))
     chain = successors(small, ["doc_id", "n_chars", "h"])
     need = F.floor(F.col("n_chars") / 4).cast("int")
-    to_next = chain.select(*key, "n_chars", need.alias("need"), F.lit(1).cast("bigint").alias("times"),
+    to_next = chain.select(*key, "doc_id", "n_chars", need.alias("need"), F.lit(1).cast("bigint").alias("times"),
                            F.col("next.id0").alias("next_id0"), F.col("next.h").alias("next_h"))
     to_self = chain.where(F.col("copies") > 1).select(
-        *key, "n_chars", need.alias("need"), (F.col("copies") - 1).alias("times"), F.col("id0").alias("next_id0"), F.col("h").alias("next_h"))
+        *key, "doc_id", "n_chars", need.alias("need"), (F.col("copies") - 1).alias("times"), F.col("id0").alias("next_id0"), F.col("h").alias("next_h"))
     links = to_next.unionByName(to_self)
-    # One row of each key, by a window in the order that the merge joins below need anyway.
-    by_key = texts.repartition(*key)
+    # One row of each key, by a window in the order that the merge joins below need anyway. Both uses
+    # below read the same columns, so that they share one exchange of the texts.
+    by_key = texts.select(*key, "text").repartition(*key)
     one = by_key.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(*key))).where("_nth = 1").drop("_nth")
     wanted = links.select(F.col("next_id0").alias("id0"), F.col("next_h").alias("h"),
-                          F.col("id0").alias("for_id0"), F.col("h").alias("for_h"), "need", "times")
+                          F.col("id0").alias("for_id0"), F.col("h").alias("for_h"), "doc_id", "n_chars", "need", "times")
     heads = one.join(wanted, key).select(
         F.col("for_id0").alias("id0"), F.col("for_h").alias("h"), F.col("id0").alias("next_id0"), F.col("h").alias("next_h"),
-        "times", F.left("text", "need").alias("head"))
+        "doc_id", "n_chars", "times", F.left("text", "need").alias("head"))
     pair = one.join(heads, key).withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")), F.col("head")))
     carried = ["doc_id", *key, "n_chars", "next_id0", "next_h", "times", "edited_sha256"]
