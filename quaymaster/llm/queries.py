@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quaymaster.llm import chat, fingerprint, minhash, mixing, piece, suffix_dedup, toxicity, url_filter
+from quaymaster.llm import ann, chat, fingerprint, minhash, mixing, piece, suffix_dedup, toxicity, url_filter
 from quaymaster.llm.common import read, sha256_hex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,6 +111,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+@query("op7_nearest")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    found = ann.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
