@@ -78,5 +78,29 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def window_minima(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int, bits: int = 24) -> np.ndarray:
+    """Sorted positions that are least in some window of ``width`` values inside one range [start, end).
+
+    Values are compared without their lowest ``bits``, then the leftmost is taken; there may be 2**bits values.
+    The choice in a window depends on the values in it only.
+    """
+    if len(values) < width:
+        return np.zeros(0, np.int64)
+    mask = np.uint64((1 << bits) - 1)
+    low = (values & ~mask) | np.arange(len(values), dtype=np.uint64)
+    size = 1
+    while size * 2 <= width:
+        low = np.minimum(low[:-size], low[size:])
+        size *= 2
+    low = np.minimum(low[: len(low) - (width - size)], low[width - size :])
+    inside = np.zeros(len(values) + 2, np.int32)
+    long = ends - starts >= width
+    np.add.at(inside, starts[long], 1)
+    np.add.at(inside, ends[long] - width + 1, -1)
+    chosen = np.zeros(len(values), bool)
+    chosen[(low[np.cumsum(inside)[: len(low)] > 0] & mask).astype(np.int64)] = True
+    return np.flatnonzero(chosen)
+
+
 def sha256_hex(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)

@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quaymaster.llm import ann, chat, fingerprint, minhash, mixing, piece, suffix_dedup, toxicity, url_filter
+from quaymaster.llm import ann, chat, compact_windows, fingerprint, minhash, mixing, piece, suffix_dedup, toxicity, url_filter
 from quaymaster.llm.common import read, sha256_hex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,6 +118,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+@query("op8_shared_passages")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class and its near-duplicate passages of 50 words or more."""
+    found = compact_windows.shared_passages(read(spark, sf_dir, "documents"))
+    words = F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + x["hi"] - x["lo"])
+    return found.select(
+        "doc_id", "class_id", "class_rows", "links", F.size("spans").cast("bigint").alias("n_spans"), words.alias("n_words"))
+
+
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""

@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymaster.llm.common import blocks_of, map_batches, mix64, ship_package
+from quaymaster.llm.common import blocks_of, map_batches, mix64, ship_package, window_minima
 from quaymaster.session import materialise
 
 SPAN = 200
@@ -86,21 +86,7 @@ def window_anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tu
     if len(data) < SPAN:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     grams = gram_hashes(data)
-    mask = np.uint64((1 << POSITIONS) - 1)
-    low = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
-    size, width = 1, REACH + 1
-    while size * 2 <= width:
-        low = np.minimum(low[:-size], low[size:])
-        size *= 2
-    low = np.minimum(low[: len(low) - (width - size)], low[width - size :])
-    inside = np.zeros(len(data) + 1, np.int32)  # window starts inside one text
-    long = ends - starts >= SPAN
-    np.add.at(inside, starts[long], 1)
-    np.add.at(inside, ends[long] - SPAN + 1, -1)
-    valid = np.cumsum(inside)[: len(low)] > 0
-    chosen = np.zeros(len(grams), bool)
-    chosen[(low[valid] & mask).astype(np.int64)] = True
-    return np.flatnonzero(chosen), grams
+    return window_minima(grams, starts, np.maximum(starts, ends - GRAM + 1), REACH + 1, POSITIONS), grams
 
 
 def anchor_rows(texts: DataFrame) -> DataFrame:
