@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quaymaster.operators.running import sliced_total
+from quaymaster.operators.running import running_total
 from quaymaster.session import materialise
 
 SPACE = r"\x20\x09-\x0D"
@@ -118,7 +118,7 @@ def permuted(index: Column, size: Column, *key: Column, rounds: int) -> Column:
 
 def slots_of(sources: DataFrame, settings: MixSettings) -> DataFrame:
     """The mix by slots: (number, shard, slot, pass, block)."""
-    counts = sliced_total(draw_counts(sources, settings), ["number"], ["shard"], "n", "first")
+    counts = running_total(draw_counts(sources, settings), ["number"], ["shard"], "n", "first")
     slots = counts.select("number", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
     known = slots.join(sources.select("number", "blocks"), "number")
     turn = F.floor(F.col("slot") / F.col("blocks")).cast("bigint")
@@ -130,7 +130,7 @@ def slots_of(sources: DataFrame, settings: MixSettings) -> DataFrame:
 
 def pieces_of(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """The stretch of every document in every block: (number, block, key, from_word, words)."""
-    placed = sliced_total(sizes.where("size > 0"), ["source"], KEY, "size", "_start")
+    placed = running_total(sizes.where("size > 0"), ["source"], KEY, "size", "_start")
     listed = sources.select(F.col("source").alias("_source"), "number", "block_words")
     rows = placed.join(listed, F.col("source").eqNullSafe(F.col("_source")))
     end = F.col("_start") + F.col("size")
