@@ -25,13 +25,30 @@ UTILISATION_TARGET = 0.75
 UTILISATION_CRITICAL = 0.90
 
 
-def _ladder(steps, default: str) -> Column:
+def _ladder_of(steps, default: Column) -> Column:
     """First matching condition wins; null conditions fall through."""
-    first, *rest = steps
-    case = F.when(first[0], F.lit(first[1]))
-    for condition, label in rest:
-        case = case.when(condition, F.lit(label))
-    return case.otherwise(F.lit(default))
+    (first, value), *rest = steps
+    case = F.when(first, value)
+    for condition, other in rest:
+        case = case.when(condition, other)
+    return case.otherwise(default)
+
+
+def _ladder(steps, default: str) -> Column:
+    return _ladder_of([(condition, F.lit(label)) for condition, label in steps], F.lit(default))
+
+
+def days_of_cover(stock: Column, safety: Column, speed: Column) -> Column:
+    """Days that the stock above its safety level lasts: none without such stock, ``NO_DEMAND_DAYS`` without demand."""
+    spare = stock - safety
+    return _ladder_of(
+        [
+            (stock.isNull() | (stock <= 0), F.lit(0.0)),
+            (speed <= 0, F.lit(NO_DEMAND_DAYS)),
+            (spare <= 0, F.lit(0.0)),
+        ],
+        F.try_divide(spare.cast("double"), speed),
+    )
 
 
 def stockout_severity(days: Column) -> Column:

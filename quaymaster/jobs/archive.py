@@ -14,7 +14,7 @@ from quaymaster.sinks.archive import OLDER_THAN_MINUTES, ArchiveTable, run_archi
 def main(argv: list[str] | None = None) -> None:
     arguments = parser(__doc__)
     arguments.add_argument("--archive", required=True, help="base path of the archive")
-    arguments.add_argument("--kept", help="folder for the new version of the hot tables; without it nothing is deleted")
+    arguments.add_argument("--kept", help="folder for the new, complete version of the hot tables; without it nothing is deleted")
     arguments.add_argument("--older-than-minutes", type=int, default=OLDER_THAN_MINUTES)
     arguments.add_argument("--threshold-mb", type=float, default=ARCHIVE_THRESHOLD_MB, help="archive only above this size")
     args = arguments.parse_args(argv)

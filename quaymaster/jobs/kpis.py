@@ -5,7 +5,7 @@ from __future__ import annotations
 from quaymaster.jobs.common import parser, read_table, run_time, window_of
 from quaymaster.plans.kpi_run import Dimensions, Facts, compute_kpis, publish
 from quaymaster.session import build_session
-from quaymaster.sinks.serving import write_serving
+from quaymaster.sinks.serving import version_of, write_serving
 from quaymaster.sources.tables import ANALYSIS_MINUTES, Period
 
 
@@ -13,6 +13,8 @@ def main(argv: list[str] | None = None) -> None:
     arguments = parser(__doc__)
     arguments.add_argument("--serving", required=True, help="path of the serving table")
     arguments.add_argument("--archive", help="archive to unite with the hot tables")
+    arguments.add_argument("--top-levels", type=int, help="publish only so many stock levels, the highest; default all")
+    arguments.add_argument("--top-alerts", type=int, help="publish only so many stockout alerts, the most urgent; default all")
     arguments.add_argument("--window-minutes", type=float, default=ANALYSIS_MINUTES)
     args = arguments.parse_args(argv)
     spark = build_session("quaymaster-kpis")
@@ -22,7 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     dims = Dimensions(*[read_table(spark, args, t) for t in ("skus_dim", "dcs_dim", "regions_dim", "suppliers_dim")])
     result = compute_kpis(facts, dims, period.days, keep=True)
-    write_serving(publish(result, period), args.serving)
+    write_serving(publish(result, period, args.top_levels, args.top_alerts), args.serving, version_of(period.as_of))
     result.release()
 
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymaster.functions.scalars import instant, moment, plus_days, plus_hours, ratio, stable_id
+from quaymaster.functions.scalars import instant, moment, plus_days, ratio, stable_id
 from quaymaster.operators.running import running_total
 
 PAIR = ["sku_id", "dc_id"]
@@ -16,11 +17,6 @@ MINIMUM_BASE_STOCK = 100
 SAFETY_DAYS = 7
 REORDER_COVERAGE_DAYS = 21
 MINIMUM_REORDER = 50
-REPLENISHMENT_LIMIT = 100
-RECEIVE_LIMIT = 1000
-ORDER_EVENT_SHARE = 0.6
-EVENTS_PER_MINUTE = 1500
-MINIMUM_LEAD_HOURS = 0.01
 
 
 # State ---------------------------------------------------------------------
@@ -84,7 +80,7 @@ def receive_shipments(
 # Fulfilment -----------------------------------------------------------------------
 
 
-def fulfil_orders(orders: DataFrame, state: DataFrame, skus: DataFrame | None = None) -> DataFrame:
+def fulfil_orders(orders: DataFrame, state: DataFrame) -> DataFrame:
     """Serve orders in order of arrival from the stock of their pair.
 
     ``(order_ts, order_id)`` has to be unique within a pair. The opening stock
@@ -111,19 +107,12 @@ def fulfil_orders(orders: DataFrame, state: DataFrame, skus: DataFrame | None =
         opening.unionByName(asked), PAIR, ["_step", "order_ts", "order_id"], "_units", "_used"
     ).where(F.col("_step") == 1)
     filled = F.greatest(F.lit(0), F.least("requested_qty", -F.col("_used")))
-    out = (
+    return (
         served.withColumn("fulfilled_qty", filled)
         .withColumn("lost_sales_qty", F.col("requested_qty") - F.col("fulfilled_qty"))
         .withColumn("lost_sale_flag", F.col("lost_sales_qty") > 0)
         .select(*columns, "fulfilled_qty", "lost_sales_qty", "lost_sale_flag")
     )
-    if skus is None:
-        return out
-    return (
-        out.join(skus.select("sku_id", "unit_cost"), "sku_id", "left")
-        .withColumn("lost_revenue", F.col("lost_sales_qty") * F.col("unit_cost"))
-        .select(*out.columns, "lost_revenue")
-    )
 
 
 def state_after_orders(state: DataFrame, orders: DataFrame, as_of: datetime) -> DataFrame:
@@ -166,8 +155,21 @@ def inventory_balance(moves: DataFrame) -> DataFrame:
     )
 
 
-def closing_balance(moves: DataFrame) -> DataFrame:
-    return moves.groupBy(*PAIR).agg(F.sum("units").alias("closing_qty"))
+def closing_balance(state: DataFrame, orders: DataFrame, received: DataFrame) -> DataFrame:
+    """Stock of every pair after all its movements.
+
+    Served in order of arrival, orders take from the opening stock what their total asks for and
+    no more than there is, so neither a running total nor the single orders are needed.
+    """
+    opening = state.select(*PAIR, F.col("on_hand_qty").cast("bigint").alias("_opening"))
+    asked = orders.groupBy(*PAIR).agg(F.sum("requested_qty").alias("_asked"))
+    arrived = received_units(received)
+    nought = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
+    sold = F.greatest(F.lit(0), F.least(nought("_asked"), nought("_opening")))
+    return (
+        opening.join(asked, PAIR, "full").join(arrived, PAIR, "full")
+        .select(*PAIR, (nought("_opening") + nought("delta") - sold).alias("closing_qty"))
+    )
 
 
 # Reorder and policy ------------------------------------------------------------------------
@@ -202,12 +204,9 @@ def stock_policy(assortment: DataFrame, skus: DataFrame, multiplier: float = 1.0
     )
 
 
-def full_assortment(skus: DataFrame, dc_ids: list) -> DataFrame:
-    """Every SKU at every center of the network, whose centers the caller lists.
-
-    Each SKU row expands in place by the fixed list; nothing is shuffled.
-    """
-    return skus.select("sku_id", F.explode(F.array(*[F.lit(d) for d in dc_ids])).alias("dc_id"))
+def known_pairs(*facts: DataFrame) -> DataFrame:
+    """Every pair that one of the facts has, once; facts are reduced to pairs before they are united."""
+    return reduce(DataFrame.unionByName, [f.select(*PAIR).distinct() for f in facts]).distinct()
 
 
 def initial_state(policy: DataFrame, as_of: datetime) -> DataFrame:
@@ -225,61 +224,12 @@ def supplier_weights(suppliers: DataFrame) -> DataFrame:
     return suppliers.select("supplier_id", "reliability_score", ratio(squared, total).alias("weight"))
 
 
-def sku_event_share(skus: DataFrame, budget: int = EVENTS_PER_MINUTE) -> DataFrame:
-    """Demand share of each SKU and the order events of the budget that fall to it."""
+def sku_event_share(skus: DataFrame) -> DataFrame:
+    """Demand share of each SKU."""
     total = skus.agg(F.sum("demand_base_lambda")).scalar()
-    share = ratio(F.col("demand_base_lambda"), total)
-    events = F.floor(F.lit(budget) * share * F.lit(ORDER_EVENT_SHARE))
-    return skus.select("sku_id", share.alias("demand_share"), events.alias("event_budget"))
-
+    return skus.select("sku_id", ratio(F.col("demand_base_lambda"), total).alias("demand_share"))
 
-def expected_arrival(ts: Column, lead_days: Column, demo_hours: float | None = None) -> Column:
-    """Arrival after the lead time: in days, or in the demo ``demo_hours`` per day of it."""
-    if demo_hours is None:
-        return plus_days(ts, lead_days)
-    return plus_hours(ts, F.lit(max(demo_hours, MINIMUM_LEAD_HOURS)) * lead_days)
 
-
-def pick_supplier(draw: Column, weights: list[tuple[str, float]]) -> Column:
-    """The supplier in whose span of the cumulative weights ``draw`` (0 to 1) falls."""
-    reach, case = 0.0, None
-    for supplier_id, weight in weights[:-1]:
-        reach += weight
-        below = draw < F.lit(reach)
-        case = F.when(below, F.lit(supplier_id)) if case is None else case.when(below, F.lit(supplier_id))
-    last = F.lit(weights[-1][0])
-    return last if case is None else case.otherwise(last)
-
-
-def replenishment_shipments(
-    candidates: DataFrame, suppliers: list[tuple[str, float, float]], as_of: datetime, demo_hours: float | None = None
-) -> DataFrame:
-    """Open shipments for the reorder candidates.
-
-    ``suppliers`` lists (id, reliability, mean lead days) of the network. Each pair
-    draws its supplier with squared reliability as the weight; the draw is a hash of
-    the pair and the time, so a rerun picks the same one.
-    """
-    total = sum(reliability**2 for _, reliability, _ in suppliers)
-    draw = F.pmod(F.xxhash64("sku_id", "dc_id", F.lit(as_of.isoformat())), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    chosen = pick_supplier(draw, [(sid, reliability**2 / total) for sid, reliability, _ in suppliers])
-    lead = F.element_at(
-        F.create_map(*[F.lit(x) for sid, _, days in suppliers for x in (sid, float(days))]), F.col("supplier_id")
-    )
-    sent = moment(as_of)
-    return (
-        candidates.withColumn("supplier_id", chosen)
-        .withColumn("lead_time_days", lead)
-        .select(
-            stable_id(F.col("sku_id"), F.col("dc_id"), F.lit(as_of.isoformat())).alias("shipment_id"),
-            "sku_id",
-            "supplier_id",
-            F.col("dc_id").alias("destination_dc_id"),
-            F.col("reorder_qty").alias("quantity"),
-            sent.alias("shipment_ts"),
-            expected_arrival(sent, F.col("lead_time_days"), demo_hours).alias("expected_arrival_ts"),
-            F.lit(None).cast("timestamp").alias("actual_arrival_ts"),
-            "lead_time_days",
-            F.lit("replenishment").alias("shipment_type"),
-        )
-    )
+def expected_arrival(ts: Column, lead_days: Column) -> Column:
+    """Arrival after the lead time."""
+    return plus_days(ts, lead_days)

@@ -26,21 +26,26 @@ class Rule:
     violated: Column
 
 
+def fails(valid: Column) -> Column:
+    """A condition that a missing value does not meet either."""
+    return ~F.coalesce(valid, F.lit(False))
+
+
 def orders_rules(id_column: str = "order_id") -> list[Rule]:
     return [
         Rule("fulfilled_within_requested", F.col("fulfilled_qty") > F.col("requested_qty")),
         Rule("lost_is_requested_minus_fulfilled",
              F.col("lost_sales_qty") != F.col("requested_qty") - F.col("fulfilled_qty")),
         Rule("order_value_not_negative", F.col("order_value") < 0),
-        Rule("priority_known", ~F.col("priority_level").isin(PRIORITIES)),
-        Rule("order_id_is_uuid", ~is_uuid(F.col(id_column))),
+        Rule("priority_known", fails(F.col("priority_level").isin(PRIORITIES))),
+        Rule("order_id_is_uuid", fails(is_uuid(F.col(id_column)))),
     ]
 
 
 def inventory_rules(id_column: str = "inventory_event_id") -> list[Rule]:
     return [
         Rule("on_hand_not_negative", F.col("on_hand_qty") < 0),
-        Rule("inventory_id_is_uuid", ~is_uuid(F.col(id_column))),
+        Rule("inventory_id_is_uuid", fails(is_uuid(F.col(id_column)))),
     ]
 
 
@@ -48,7 +53,7 @@ def shipments_rules(id_column: str = "shipment_id") -> list[Rule]:
     return [
         Rule("arrival_not_before_expected", F.col("actual_arrival_ts") < F.col("expected_arrival_ts")),
         Rule("quantity_positive", F.col("quantity") <= 0),
-        Rule("shipment_id_is_uuid", ~is_uuid(F.col(id_column))),
+        Rule("shipment_id_is_uuid", fails(is_uuid(F.col(id_column)))),
     ]
 
 

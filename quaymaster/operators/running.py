@@ -1,10 +1,9 @@
 """Running totals that no single key can overload.
 
 A window ordered within a key runs in one task per key, and one key may hold a large
-share of the rows. The rows of the largest key are counted first. Up to a bound a plain
-window is used. Beyond it the rows are range partitioned by key and order, so a hot key
-is spread over many slices; each slice adds its own rows up, and the total of the
-earlier slices of the same key is carried in.
+share of the rows. So the rows are range partitioned by key and order, which spreads a
+hot key over many slices; each slice adds its own rows up, and the total of the earlier
+slices of the same key is carried in. There is one plan for every size.
 """
 
 from __future__ import annotations
@@ -13,32 +12,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quaymaster.session import materialise
 
-# Rows of one key that a single task may order.
-MOST_ROWS_PER_KEY = 10_000_000
 
-
-def largest_key(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the key that has most; reads the key columns only and combines on the map side."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-
-
-def running_total(
-    df: DataFrame, keys: list[str], order: list[str], value: str, out: str, most_rows: int = MOST_ROWS_PER_KEY
-) -> DataFrame:
+def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the earlier rows of the same key.
 
-    ``order`` has to be total within a key.
-    """
-    if largest_key(df, keys) > most_rows:
-        return sliced_total(df, keys, order, value, out)
-    earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(out, F.coalesce(F.sum(value).over(earlier), F.lit(0)))
-
-
-def sliced_total(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
-    """``running_total`` for keys that are too large for one task.
-
-    The sliced rows are written to the shared folder, so that the slice numbers used
+    ``order`` has to be total within a key. The sliced rows are written to the shared folder, so that the slice numbers used
     twice below are the same even if executors are lost in between.
 
     A key that lies in several slices is the first or the last key of each of

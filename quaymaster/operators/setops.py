@@ -18,7 +18,9 @@ def unify(hot: DataFrame, cold: DataFrame, event_id: str, ts: str, cutoff: datet
     hot rows before it are checked against the archive.
     """
     archived = cold.drop(*[f.name for f in schemas.ARCHIVE_PARTS])
-    if cutoff is None:
+    if cutoff is not None:
+        archived = archived.dropDuplicates([event_id])
+    else:
         return hot.unionByName(archived, allowMissingColumns=True).dropDuplicates([event_id])
     limit = instant(hot, ts, cutoff)
     late = hot.where(F.col(ts) < limit).join(archived.select(event_id), event_id, "left_anti")

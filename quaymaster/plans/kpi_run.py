@@ -17,7 +17,7 @@ class Facts:
     """Facts already limited to the analysis window."""
 
     orders: DataFrame
-    inventory: DataFrame
+    inventory: DataFrame | None
     shipments: DataFrame
 
 
@@ -43,14 +43,15 @@ class KpiSet:
             frame.unpersist()
 
 
-def compute_kpis(facts: Facts, dims: Dimensions, period_days: float, keep: bool = False) -> KpiSet:
+def compute_kpis(facts: Facts, dims: Dimensions, period_days: float, keep: bool = False, stock: DataFrame | None = None) -> KpiSet:
     """All five KPIs from three aggregations.
 
     Each fact is scanned and shuffled once: the stock and demand roll-ups have one row
     per SKU and center and serve two or three KPIs each. ``keep`` persists them for a run
-    with several actions.
+    with several actions. ``stock`` gives the stock roll-up where the snapshots have been rolled up before.
     """
-    stock, demand = kpis.inventory_rollup(facts.inventory), kpis.demand_rollup(facts.orders)
+    stock = kpis.inventory_rollup(facts.inventory) if stock is None else stock
+    demand = kpis.demand_rollup(facts.orders)
     if keep:
         stock, demand = (df.persist(StorageLevel.MEMORY_AND_DISK) for df in (stock, demand))
     cover = kpis.days_of_cover(stock, demand, period_days)
@@ -64,21 +65,23 @@ def compute_kpis(facts: Facts, dims: Dimensions, period_days: float, keep: bool
     )
 
 
-def publish(result: KpiSet, period: Period) -> DataFrame:
-    """Serving table of a run: limited and unlimited records, counters and metadata."""
+def publish(result: KpiSet, period: Period, top_levels: int | None = None, top_alerts: int | None = None) -> DataFrame:
+    """Serving table of a run: records, counters and metadata.
+
+    Every record is published; with ``top_levels`` or ``top_alerts`` that KPI is a numbered top list.
+    """
     as_of = period.as_of
-    limits = serving.LIMITS
     alerts = result.stockouts.agg(F.count("*"))
     return serving.serving_table(
         [
             serving.metadata(result.inventory.sparkSession, as_of, period.minutes),
             serving.records(
                 result.inventory, serving.INVENTORY_KEY, kpis.level_order(), as_of,
-                limits[serving.INVENTORY_KEY],
+                top_levels,
             ),
             serving.records(
                 result.stockouts, serving.STOCKOUT_KEY, kpis.risk_order(), as_of,
-                limits[serving.STOCKOUT_KEY],
+                top_alerts,
             ),
             serving.records(result.suppliers, serving.SUPPLIER_KEY, [], as_of),
             serving.records(result.utilization, serving.UTILIZATION_KEY, [], as_of),

@@ -65,7 +65,7 @@ def open_due_shipments(v):
 SELECT shipment_id, sku_id, quantity FROM due ORDER BY expected_arrival_ts, shipment_id LIMIT 1000""",
     open_shipments=OPEN, due=DUE))
 def receive_batch(v):
-    due = accounting.due_shipments(open_shipments(v), run_at(v), accounting.RECEIVE_LIMIT)
+    due = accounting.due_shipments(open_shipments(v), run_at(v), limit=1000)
     return due.select("shipment_id", "sku_id", "quantity")
 
 
@@ -106,9 +106,9 @@ SELECT dc_id, sum(requested_qty)::BIGINT AS requested_units, sum(fulfilled_qty):
  round(avg(lost_sale_flag::INT), 6) AS lost_order_rate
 FROM fulfilled LEFT JOIN skus USING (sku_id) GROUP BY dc_id""", requests=REQUESTS, fulfilled=FULFILLED))
 def lost_sales_after_fulfilment(v):
-    costs = v.skus().withColumn("unit_cost", F.col("unit_cost").cast("decimal(18,2)"))
-    out = accounting.fulfil_orders(order_requests(v), v.inventory_state(), costs)
-    return rounded(rounded(kpis.lost_sales(out, ["dc_id"]), 2, "lost_revenue"), 6, "lost_order_rate")
+    served = accounting.fulfil_orders(order_requests(v), v.inventory_state())
+    lost = kpis.lost_sales(served, ["dc_id"], v.unit_costs())
+    return rounded(rounded(lost, 2, "lost_revenue"), 6, "lost_order_rate")
 
 
 # Balance -----------------------------------------------------------------------------
@@ -138,7 +138,8 @@ def inventory_balance(v):
 @query("closing_balance", "I3", with_views("orders_fact shipments_fact inventory_state", """
 SELECT sku_id, dc_id, sum(units)::BIGINT AS closing_qty FROM moves GROUP BY ALL""", **LEDGER))
 def closing_balance(v):
-    return accounting.closing_balance(moves(v))
+    received = open_shipments(v).where(F.col("actual_arrival_ts").isNotNull())
+    return accounting.closing_balance(v.inventory_state(), v.orders_fact(), received)
 
 
 # Reorder and policy ----------------------------------------------------------------------
@@ -165,7 +166,7 @@ def reorder_candidates(v):
 @query("reorder_batch", "I4 G4", with_views(
     "inventory_state skus", CANDIDATES.format(low=LOW + " ORDER BY sku_id, dc_id LIMIT 100")))
 def reorder_batch(v):
-    return accounting.reorder_candidates(v.inventory_state(), v.skus(), accounting.REPLENISHMENT_LIMIT)
+    return accounting.reorder_candidates(v.inventory_state(), v.skus(), limit=100)
 
 
 POLICY = """SELECT sku_id, dc_id, greatest(floor(demand_base_lambda * stock_coverage_days * {m}), 100)::BIGINT AS base_stock,
@@ -181,9 +182,11 @@ def stock_policy(v):
 
 
 @query("stock_policy_full", "I5", with_views(
-    "dcs skus", POLICY.format(m=1.0, pairs="(SELECT s.sku_id, d.dc_id FROM skus s, dcs d)")))
+    "inventory_state orders_fact skus", POLICY.format(
+        m=1.0, pairs="(SELECT sku_id, dc_id FROM inventory_state UNION SELECT sku_id, dc_id FROM orders_fact)")))
 def stock_policy_full(v):
-    return accounting.stock_policy(accounting.full_assortment(v.skus(), list(range(25))), v.skus())
+    """Every pair that is stocked or was ordered."""
+    return accounting.stock_policy(accounting.known_pairs(v.inventory_state(), v.orders_fact()), v.skus())
 
 
 @query("supplier_weights", "I6", with_views("suppliers", """
@@ -194,10 +197,9 @@ def supplier_weights(v):
 
 
 @query("sku_event_share", "I7 H11", with_views("skus", """
-SELECT sku_id, round(share, 9) AS demand_share, floor(1000000 * share * 0.6)::BIGINT AS event_budget
-FROM (SELECT sku_id, demand_base_lambda::DOUBLE / sum(demand_base_lambda) OVER () AS share FROM skus)"""))
+SELECT sku_id, round(share, 9) AS demand_share FROM (SELECT sku_id, demand_base_lambda::DOUBLE / sum(demand_base_lambda) OVER () AS share FROM skus)"""))
 def sku_event_share(v):
-    return rounded(accounting.sku_event_share(v.skus(), budget=1_000_000), 9, "demand_share")
+    return rounded(accounting.sku_event_share(v.skus()), 9, "demand_share")
 
 
 @query("state_snapshot", "I8 H8", with_views("inventory_state", f"""
@@ -209,8 +211,7 @@ def state_snapshot(v):
 
 
 @query("expected_arrivals", "I9 H14", with_views("shipments_fact suppliers", f"""
-SELECT shipment_id, strftime(shipment_ts + to_microseconds((avg_lead_time_days * 1.5 * 86400000000)::BIGINT), '%Y-%m-%d %H:%M:%S') AS expected,
- strftime(shipment_ts + to_microseconds((0.05 * avg_lead_time_days * 3600000000)::BIGINT), '%Y-%m-%d %H:%M:%S') AS expected_demo
+SELECT shipment_id, strftime(shipment_ts + to_microseconds((avg_lead_time_days * 1.5 * 86400000000)::BIGINT), '%Y-%m-%d %H:%M:%S') AS expected
 FROM shipments_fact JOIN suppliers USING (supplier_id)"""))
 def expected_arrivals(v):
     planned = v.suppliers().select("supplier_id", F.col("avg_lead_time_days").alias("plan"))
@@ -218,5 +219,4 @@ def expected_arrivals(v):
     return v.shipments_fact().join(planned, "supplier_id").select(
         "shipment_id",
         F.date_format(accounting.expected_arrival(sent, F.col("plan") * 1.5), "yyyy-MM-dd HH:mm:ss").alias("expected"),
-        F.date_format(accounting.expected_arrival(sent, F.col("plan"), 0.05), "yyyy-MM-dd HH:mm:ss").alias("expected_demo"),
     )

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from quaymaster.operators import accounting, kpis, setops
+from quaymaster import schemas
+from quaymaster.operators import kpis, setops
 from quaymaster.plans.kpi_run import Dimensions, Facts, compute_kpis, dashboard
 from quaymaster.plans.registry import (
     DAYS, MINUTES, ORDERS_AS_OF, RECENT_INVENTORY, RECENT_ORDERS, RECENT_SHIPMENTS, query, rounded,
 )
 from quaymaster.plans.sql import with_views
 from quaymaster.sources.retail_views import RetailViews
-from quaymaster.sources.tables import Period, older_than, recent
+from quaymaster.session import scratch_path
+from quaymaster.sinks.archive import ArchiveTable, append_new
+from quaymaster.sources.tables import Period, recent, scan_archive
 from pyspark.sql import functions as F
 
 
@@ -21,6 +24,11 @@ def window_inventory(v: RetailViews):
     return recent(v.inventory_fact(), "inventory_ts", Period(v.inventory_as_of, MINUTES))
 
 
+def window_stock(v: RetailViews):
+    """The stock roll-up of the window, built before any dimension is joined."""
+    return v.stock_rollup(Period(v.inventory_as_of, MINUTES).start)
+
+
 def window_shipments(v: RetailViews):
     return recent(v.shipments_fact(), "shipment_ts", Period(v.orders_as_of, MINUTES))
 
@@ -42,13 +50,13 @@ LATEST_STOCK = "arg_max(on_hand_qty, {'t': inventory_ts, 'q': on_hand_qty})"
 @query("kpi_inventory_level", "F1 A2 A4 C1 C6 D1 D2 E1 G2 H5",
        with_views("inventory_fact skus dcs", LEVEL.format(stock=AVG_STOCK, source="wi"), wi=WI))
 def inventory_level(v):
-    return kpis.inventory_level(window_inventory(v), v.skus(), v.dcs())
+    return kpis.inventory_level_from(window_stock(v), v.skus(), v.dcs())
 
 
 @query("kpi_inventory_level_latest", "F1 A7",
        with_views("inventory_fact skus dcs", LEVEL.format(stock=LATEST_STOCK, source="wi"), wi=WI))
 def inventory_level_latest(v):
-    return kpis.inventory_level(window_inventory(v), v.skus(), v.dcs(), stock="latest_on_hand")
+    return kpis.inventory_level_from(window_stock(v), v.skus(), v.dcs(), stock="latest_on_hand")
 
 
 # Demand and stockout ------------------------------------------------------------
@@ -92,20 +100,21 @@ def cover_of(stock=AVG_STOCK, inv="wi", ord="wo", days=float(DAYS)):
     return COVER.format(stock=stock, inv=inv, ord=ord, days=days)
 
 
+def risk_of(v: RetailViews, stock, orders, days: float, level: str = "avg_on_hand"):
+    cover = kpis.days_of_cover(stock, kpis.demand_rollup(orders), days, level)
+    return kpis.stockout_risk_from(cover, v.skus(), v.dcs(), v.regions())
+
+
 @query("kpi_stockout_risk", "F2b D3 D4 E3 C3 C4 C5 H4",
        with_views(f"inventory_fact orders_fact {DIMS}", RISK, wi=WI, wo=WO, cover=cover_of()))
 def stockout_risk(v):
-    out = kpis.stockout_risk(window_inventory(v), window_orders(v), v.skus(), v.dcs(), v.regions(), float(DAYS))
-    return rounded(out, 6, *RISK_DOUBLES)
+    return rounded(risk_of(v, window_stock(v), window_orders(v), float(DAYS)), 6, *RISK_DOUBLES)
 
 
 @query("kpi_stockout_risk_latest", "F2b",
        with_views(f"inventory_fact orders_fact {DIMS}", RISK, wi=WI, wo=WO, cover=cover_of(LATEST_STOCK)))
 def stockout_risk_latest(v):
-    out = kpis.stockout_risk(
-        window_inventory(v), window_orders(v), v.skus(), v.dcs(), v.regions(), float(DAYS), level="latest_on_hand"
-    )
-    return rounded(out, 6, *RISK_DOUBLES)
+    return rounded(risk_of(v, window_stock(v), window_orders(v), float(DAYS), "latest_on_hand"), 6, *RISK_DOUBLES)
 
 
 # Suppliers -------------------------------------------------------------------------
@@ -156,20 +165,20 @@ def shown(usage):
 @query("kpi_dc_utilization", "F4 D6 E5 D2 C5",
        with_views("inventory_fact skus dcs", SHOW_USAGE, wi=WI, usage=USAGE.format(source="wi")))
 def dc_utilization(v):
-    return shown(kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs()))
+    return shown(kpis.dc_utilization_from(window_stock(v), v.skus(), v.dcs()))
 
 
 @query("kpi_dc_utilization_latest", "F4",
        with_views("inventory_fact skus dcs", SHOW_USAGE, wi=WI, newest=NEWEST, usage=USAGE.format(source="newest")))
 def dc_utilization_latest(v):
-    return shown(kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs(), mode="latest"))
+    return shown(kpis.dc_utilization_from(window_stock(v), v.skus(), v.dcs(), mode="latest"))
 
 
 @query("overloaded_dc_count", "E9 C3", with_views(
     "inventory_fact skus dcs", "SELECT count(*) FILTER (utilization_rate >= 0.85) AS overloaded_dcs FROM usage",
     wi=WI, usage=USAGE.format(source="wi")))
 def overloaded_dc_count(v):
-    return kpis.overloaded_count(kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs()))
+    return kpis.overloaded_count(kpis.dc_utilization_from(window_stock(v), v.skus(), v.dcs()))
 
 
 @query("capacity_alerts", "F17", with_views(
@@ -177,7 +186,7 @@ def overloaded_dc_count(v):
  CASE WHEN utilization_rate > 0.90 THEN 'CRITICAL' WHEN utilization_rate > 0.75 THEN 'ABOVE_TARGET' ELSE 'OK' END AS capacity_alert
 FROM usage""", wi=WI, usage=USAGE.format(source="wi")))
 def capacity_alerts(v):
-    usage = kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs())
+    usage = kpis.dc_utilization_from(window_stock(v), v.skus(), v.dcs())
     return rounded(kpis.capacity_alerts(usage), 9, "utilization_rate")
 
 
@@ -219,25 +228,37 @@ def revenue_trend(v):
 # Unified history: hot and cold tiers as one table -------------------------------------------
 
 
+# Archives that this application has written, so that several queries read one.
+_ARCHIVES: dict[tuple[str, str, str], str] = {}
+
+
+def history(v: RetailViews, name: str, facts, as_of):
+    """A fact from both tiers: all but the window is archived, and the hot tier still holds a
+    window's length of archived rows, as after a run whose delete did not happen."""
+    ts, event_id, cutoff = schemas.FACT_TIME[name], HISTORY_ID[name], Period(as_of, MINUTES).start
+    written = (v.spark.sparkContext.applicationId, v.folder, name)
+    if written not in _ARCHIVES:
+        base = scratch_path(v.spark, f"archive-{name}")
+        append_new(ArchiveTable(name, facts, ts, event_id), base, cutoff)
+        _ARCHIVES[written] = base
+    base = _ARCHIVES[written]
+    hot = recent(facts, ts, Period(as_of, 2 * MINUTES))
+    return setops.unify(hot, scan_archive(v.spark, base, name, schema=facts.schema), event_id, ts, cutoff)
+
+
+HISTORY_ID = {"orders_fact": "order_line_id", "inventory_fact": "inventory_event_id", "shipments_fact": "shipment_id"}
+
+
 def history_orders(v: RetailViews):
-    period = Period(v.orders_as_of, MINUTES)
-    facts = v.orders_fact()
-    hot, cold = recent(facts, "order_ts", period), older_than(facts, "order_ts", period.start)
-    return setops.unify(hot, cold, "order_line_id", "order_ts", period.start)
+    return history(v, "orders_fact", v.orders_fact(), v.orders_as_of)
 
 
 def history_inventory(v: RetailViews):
-    period = Period(v.inventory_as_of, MINUTES)
-    facts = v.inventory_fact()
-    hot, cold = recent(facts, "inventory_ts", period), older_than(facts, "inventory_ts", period.start)
-    return setops.unify(hot, cold, "inventory_event_id", "inventory_ts", period.start)
+    return history(v, "inventory_fact", v.inventory_fact(), v.inventory_as_of)
 
 
 def history_shipments(v: RetailViews):
-    period = Period(v.orders_as_of, MINUTES)
-    facts = v.shipments_fact()
-    hot, cold = recent(facts, "shipment_ts", period), older_than(facts, "shipment_ts", period.start)
-    return setops.unify(hot, cold, "shipment_id", "shipment_ts", period.start)
+    return history(v, "shipments_fact", v.shipments_fact(), v.orders_as_of)
 
 
 HISTORY_DAYS = "(SELECT date_diff('day', min(o_orderdate), max(o_orderdate)) FROM orders)"
@@ -292,35 +313,28 @@ FROM {source} GROUP BY {keys}"""
 LOST_ORDERS = "SELECT o.*, lost_sales_qty * unit_cost::DECIMAL(18,2) AS lost_revenue FROM orders_fact o LEFT JOIN skus USING (sku_id)"
 
 
-def priced_orders(v: RetailViews):
-    cost = v.skus().select("sku_id", F.col("unit_cost").cast("decimal(18,2)").alias("unit_cost"))
-    return v.orders_fact().join(cost, "sku_id", "left").withColumn(
-        "lost_revenue", F.col("lost_sales_qty") * F.col("unit_cost")
-    )
-
-
-def _lost(v, *keys):
-    return rounded(rounded(kpis.lost_sales(priced_orders(v), list(keys)), 2, "lost_revenue"), 6, "lost_order_rate")
+def _lost(v, orders, *keys):
+    return rounded(rounded(kpis.lost_sales(orders, list(keys), v.unit_costs()), 2, "lost_revenue"), 6, "lost_order_rate")
 
 
 @query("lost_sales_by_sku", "F13",
        with_views("orders_fact skus", LOST.format(keys="sku_id", source="priced"), priced=LOST_ORDERS))
 def lost_sales_by_sku(v):
-    return _lost(v, "sku_id")
+    return _lost(v, v.orders_fact(), "sku_id")
 
 
 @query("lost_sales_by_dc", "F13",
        with_views("orders_fact skus", LOST.format(keys="dc_id", source="priced"), priced=LOST_ORDERS))
 def lost_sales_by_dc(v):
-    return _lost(v, "dc_id")
+    return _lost(v, v.orders_fact(), "dc_id")
 
 
 @query("lost_sales_by_region", "F13", with_views(
     "orders_fact skus dcs", LOST.format(keys="region_id", source="placed"), priced=LOST_ORDERS,
     placed="SELECT p.*, region_id FROM priced p LEFT JOIN dcs USING (dc_id)"))
 def lost_sales_by_region(v):
-    placed = priced_orders(v).join(v.dcs().select("dc_id", "region_id"), "dc_id", "left")
-    return rounded(rounded(kpis.lost_sales(placed, ["region_id"]), 2, "lost_revenue"), 6, "lost_order_rate")
+    placed = v.orders_fact().join(v.dcs().select("dc_id", "region_id"), "dc_id", "left")
+    return _lost(v, placed, "region_id")
 
 
 @query("order_totals", "E14", with_views("orders_fact", """
@@ -336,9 +350,7 @@ HISTORY_COVER = cover_of(inv="inventory_fact", ord="orders_fact", days=HISTORY_D
 
 
 def _history_cover(v):
-    return kpis.days_of_cover(
-        kpis.inventory_rollup(v.inventory_fact()), kpis.demand_rollup(v.orders_fact()), history_days(v)
-    )
+    return kpis.days_of_cover(v.stock_rollup(), kpis.demand_rollup(v.orders_fact()), history_days(v))
 
 
 @query("inventory_rebalance", "F16", with_views("inventory_fact orders_fact", """
@@ -351,9 +363,7 @@ FROM (SELECT *, count(*) FILTER (role = 'donor') OVER (PARTITION BY sku_id) AS d
    round(units_per_day - avg(units_per_day) OVER (PARTITION BY sku_id), 9) AS haste FROM cover)))
 WHERE role IS NOT NULL AND dn > 0 AND rc > 0""", cover=HISTORY_COVER))
 def inventory_rebalance(v):
-    out = kpis.inventory_rebalance(
-        kpis.inventory_rollup(v.inventory_fact()), kpis.demand_rollup(v.orders_fact()), history_days(v)
-    )
+    out = kpis.inventory_rebalance(v.stock_rollup(), kpis.demand_rollup(v.orders_fact()), history_days(v))
     return rounded(out, 9, "current_stock", "units_per_day", "gap_units")
 
 
@@ -365,7 +375,7 @@ JOIN (SELECT dc_id, dc_name, utilization_rate FROM usage
  WHERE status = 'OVERLOADED' AND (SELECT count(*) FROM usage WHERE status = 'LOW') > 0) u USING (dc_id)""",
     wi=WI, usage=USAGE.format(source="wi")))
 def overloaded_transfers(v):
-    out = kpis.overloaded_transfers(kpis.inventory_rollup(window_inventory(v)), v.skus(), v.dcs())
+    out = kpis.overloaded_transfers(window_stock(v), v.skus(), v.dcs())
     return rounded(rounded(out, 6, "volume_m3"), 9, "utilization_rate")
 
 
@@ -386,8 +396,8 @@ def dimensions(v: RetailViews) -> Dimensions:
 
 
 def kpi_set(v: RetailViews, keep: bool = False):
-    facts = Facts(window_orders(v), window_inventory(v), window_shipments(v))
-    return compute_kpis(facts, dimensions(v), float(DAYS), keep)
+    facts = Facts(window_orders(v), None, window_shipments(v))
+    return compute_kpis(facts, dimensions(v), float(DAYS), keep, stock=window_stock(v))
 
 
 TOTALS = """SELECT

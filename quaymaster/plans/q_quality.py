@@ -12,6 +12,8 @@ from quaymaster.operators import quality
 from quaymaster.operators.quality import Rule
 from quaymaster.plans.registry import DAYS, INVENTORY_AS_OF, ORDERS_AS_OF, query, rounded
 from quaymaster.plans.sql import with_views
+from quaymaster.session import scratch_path
+from quaymaster.sinks.archive import ArchiveTable, append_new, retained
 from quaymaster.sources.retail_views import RetailViews
 
 UUID = "'^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$'"
@@ -155,8 +157,10 @@ FROM (SELECT count(*) AS rows_before, count(*) FILTER (keep) AS rows_after,
  round(count(*) * 500 / 1048576.0, 2)::DOUBLE AS b, round(count(*) FILTER (keep) * 500 / 1048576.0, 2)::DOUBLE AS a
  FROM (SELECT order_ts >= {ORDERS_AS_OF} - INTERVAL {DAYS} DAY AS keep FROM orders_fact))"""))
 def archive_effect(v):
-    cutoff = moment(v.orders_as_of - timedelta(days=DAYS), "timestamp_ntz")
-    return quality.archive_effect(v.orders_fact(), v.orders_fact().where(F.col("order_ts") >= cutoff))
+    table = ArchiveTable("orders_fact", v.orders_fact(), "order_ts", "order_line_id")
+    base, cutoff = scratch_path(v.spark, "archive-effect"), v.orders_as_of - timedelta(days=DAYS)
+    append_new(table, base, cutoff)
+    return quality.archive_effect(v.orders_fact(), retained(table, base, cutoff))
 
 
 # Freshness -------------------------------------------------------------------------

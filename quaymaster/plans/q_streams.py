@@ -6,16 +6,21 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from quaymaster.plans.q_accounting import open_shipments, run_at
+from quaymaster.functions.scalars import moment
+from quaymaster.plans.kpi_run import Facts, compute_kpis, publish
+from quaymaster.plans.q_kpis import (
+    AVG_STOCK, LEVEL, PERFORMANCE, REGIONAL, RISK, USAGE, WI, WO, WS, cover_of, dimensions, window_orders, window_shipments,
+    window_stock,
+)
 from quaymaster.plans.q_sources import EVENTS
-from quaymaster.plans.registry import EVENTS_AS_OF, query, rounded
-from quaymaster.plans.sql import with_views
-from quaymaster.session import scratch_path
+from quaymaster.plans.registry import DAYS, EVENTS_AS_OF, MINUTES, query, rounded
+from quaymaster.plans.sql import LINE_HASH, with_views
+from quaymaster.session import materialise, scratch_path
 from quaymaster.sinks import serving
 from quaymaster.sinks.archive import read_archive
-from quaymaster.sinks.versions import read_version
-from quaymaster.sources.retail_views import RetailViews
-from quaymaster.sources.tables import scan_stream
+from quaymaster.sinks.versions import read_version, write_version
+from quaymaster.sources.retail_views import RetailViews, line_id
+from quaymaster.sources.tables import Period, scan_stream
 from quaymaster.streaming import pipelines
 
 CLOSED = f"{EVENTS_AS_OF} - INTERVAL 2 MINUTE"
@@ -81,31 +86,47 @@ def stream_enriched(v):
     return landed(v, joined.select("event_id", "event_type", "dc_id", "dc_name"), "enriched")
 
 
-@query("stream_published_kpis", "S5 B3", """
-SELECT event_type, count(*) AS event_count, round(sum(value), 2) AS total_value FROM events GROUP BY ALL""")
-def stream_published_kpis(v):
-    """Each micro-batch adds its partial KPI records under its batch id; readers add them up."""
-    path = scratch_path(v.spark, "published")
+PARTS = 3  # micro-batches of the queries that run several
 
-    def publish(batch, batch_id):
-        kpi = batch.groupBy("event_type").agg(F.count("*").alias("event_count"), F.sum("value").alias("total_value"))
-        serving.write_serving(serving.records(kpi, "kpi:events", [], v.events_as_of), f"{path}/data/batch={batch_id}")
 
-    pipelines.publish_each_batch(event_stream(v), publish, f"{path}/checkpoint").awaitTermination()
-    rows = v.spark.read.schema("payload string, kpi_key string, expires_at timestamp").parquet(f"{path}/data")
-    parsed = F.from_json("payload", "event_type string, event_count bigint, total_value double")
-    out = rows.select(parsed.alias("r")).groupBy("r.event_type").agg(
-        F.sum("r.event_count").alias("event_count"), F.sum("r.total_value").alias("total_value")
-    )
-    return rounded(out, 2, "total_value")
+@query("stream_published_kpis", "S5 B3", with_views("orders_fact inventory_fact shipments_fact suppliers skus dcs regions", """
+SELECT region_id, region_name, total_orders, total_units_fulfilled, revenue, (SELECT count(*) FROM levels) AS levels,
+ (SELECT count(*) FROM risk) AS alerts, (SELECT count(*) FROM scored) AS suppliers, (SELECT count(*) FROM usage) AS centers
+FROM regional""", wo=WO, wi=WI, ws=WS, levels=LEVEL.format(stock=AVG_STOCK, source="wi"), cover=cover_of(), risk=RISK,
+    scored=PERFORMANCE.format(source="ws"), usage=USAGE.format(source="wi"), regional=REGIONAL.format(source="wo")))
+def stream_published_kpis(v):
+    """Orders arrive in several micro-batches; each publishes all five KPIs over what has arrived as a new version."""
+    path = scratch_path(v.spark, "published")
+    orders = materialise(window_orders(v), "arriving-orders")
+    shipments, stock = materialise(window_shipments(v), "sent"), materialise(window_stock(v), "stock")
+    served = f"{path}/serving"
+
+    def publish_kpis(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{path}/landed/batch={batch_id}")
+        landed_orders = v.spark.read.schema(orders.schema).parquet(f"{path}/landed")
+        result = compute_kpis(Facts(landed_orders, None, shipments), dimensions(v), float(DAYS), stock=stock)
+        serving.write_serving(publish(result, Period(v.orders_as_of, MINUTES)), served, batch_id)
+
+    for part in range(PARTS):
+        orders.where(F.pmod("order_id", F.lit(PARTS)) == part).write.mode("append").parquet(f"{path}/source")
+        arriving = scan_stream(v.spark, orders.schema, f"{path}/source")
+        pipelines.publish_each_batch(arriving, publish_kpis, f"{path}/checkpoint").awaitTermination()
+    table = serving.read_serving(v.spark, served)
+    schema = "region_id int, region_name string, total_orders bigint, total_units_fulfilled bigint, revenue double"
+    count = lambda key: table.where(F.col("kpi_key") == key).agg(F.count("*")).scalar()
+    return serving.read_records(table, serving.REGIONAL_KEY, schema, v.orders_as_of).drop("position").withColumns({
+        "levels": count(serving.INVENTORY_KEY), "alerts": count(serving.STOCKOUT_KEY),
+        "suppliers": count(serving.SUPPLIER_KEY), "centers": count(serving.UTILIZATION_KEY)})
 
 
 @query("stream_archive", "S8 H1", """
 SELECT strftime(ts, '%Y-%m-%d') AS event_date, hour(ts)::INT AS event_hour, count(*) AS events, round(sum(value), 2) AS total_value
 FROM events GROUP BY ALL""")
 def stream_archive(v):
+    """Every event arrives twice and is archived once."""
     path = scratch_path(v.spark, "stream-archive")
-    pipelines.to_archive(event_stream(v), "ts", f"{path}/events", f"{path}/checkpoint").awaitTermination()
+    twice = event_stream(v).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    pipelines.to_archive(twice, "ts", "event_id", f"{path}/events", f"{path}/checkpoint").awaitTermination()
     rows = read_archive(v.spark, f"{path}/events", [f for f in EVENTS.fields if f.name != "ts"])
     out = rows.groupBy(F.col("event_date").cast("string").alias("event_date"), "event_hour").agg(
         F.count("*").alias("events"), F.sum("value").alias("total_value")
@@ -114,22 +135,34 @@ def stream_archive(v):
 
 
 @query("stream_inventory_state", "S7 B7 I1 I2", with_views("inventory_state", """
-SELECT sku_id, dc_id, greatest(0, on_hand_qty + coalesce(received, 0) - coalesce(ordered, 0))::BIGINT AS on_hand_qty
+SELECT sku_id, dc_id, (on_hand_qty + coalesce(total + greatest(0, -(on_hand_qty + least_total)), 0))::BIGINT AS on_hand_qty
 FROM inventory_state
-LEFT JOIN (SELECT l_partkey AS sku_id, s_nationkey AS dc_id, sum(CASE WHEN l_linestatus = 'F' THEN l_quantity END) AS received,
-  sum(CASE WHEN l_linestatus <> 'F' THEN l_quantity END) AS ordered
- FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL) m USING (sku_id, dc_id)"""))
+LEFT JOIN (SELECT sku_id, dc_id, sum(units) AS total, min(run) AS least_total FROM
+ (SELECT *, sum(units) OVER (PARTITION BY sku_id, dc_id ORDER BY l_shipdate, h ROWS UNBOUNDED PRECEDING) AS run FROM
+  (SELECT l_partkey AS sku_id, s_nationkey AS dc_id, l_shipdate, """ + LINE_HASH + """ AS h,
+   CASE WHEN l_linestatus = 'F' THEN l_quantity::BIGINT ELSE -l_quantity::BIGINT END AS units
+   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)) GROUP BY ALL) m USING (sku_id, dc_id)"""))
 def stream_inventory_state(v):
-    """Order lines as a stream: finished ones are receipts, open ones orders, at the supplier's center."""
-    lines = scan_stream(v.spark, v.table("lineitem").schema, v.folder, pathGlobFilter="lineitem.parquet")
+    """Order lines as a stream in several micro-batches, by ship date: finished ones are receipts, open ones
+    orders, at the supplier's center."""
+    first, last = v.table("lineitem").agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
+    cuts = [first + (last - first) * i / PARTS for i in range(1, PARTS)] + [None]
+    lines = v.table("lineitem").withColumn("line_id", line_id())
     centers = v.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("dc_id"))
-    moves = pipelines.enriched(lines, centers, "l_suppkey").select(
-        F.when(F.col("l_linestatus") == "F", "receipt").otherwise("order").alias("kind"),
-        F.col("l_partkey").alias("sku_id"), "dc_id", F.col("l_quantity").cast("bigint").alias("units"),
-    )
     initial = v.inventory_state().withColumn("on_hand_qty", F.col("on_hand_qty").cast("bigint"))
-    path = scratch_path(v.spark, "state")
-    run = pipelines.run_state(v.spark, moves, initial, f"{path}/state", f"{path}/checkpoint", v.inventory_as_of)
-    run.awaitTermination()
+    path, start = scratch_path(v.spark, "state"), None
+    write_version(initial, f"{path}/state", 0)
+    shipped = F.col("l_shipdate")
+    for end in cuts:
+        since = F.lit(True) if start is None else shipped >= moment(start, "timestamp_ntz")
+        until = F.lit(True) if end is None else shipped < moment(end, "timestamp_ntz")
+        lines.where(since & until).write.mode("append").parquet(f"{path}/source")
+        start = end
+        moves = pipelines.enriched(scan_stream(v.spark, lines.schema, f"{path}/source"), centers, "l_suppkey").select(
+            F.when(F.col("l_linestatus") == "F", "receipt").otherwise("order").alias("kind"), F.col("l_partkey").alias("sku_id"),
+            "dc_id", F.col("l_quantity").cast("bigint").alias("units"), "l_shipdate", "line_id")
+        run = pipelines.run_state(
+            v.spark, moves, initial.schema, ["l_shipdate", "line_id"], f"{path}/state", f"{path}/checkpoint", v.inventory_as_of)
+        run.awaitTermination()
     batches = run.lastProgress["batchId"] + 1
     return read_version(v.spark, f"{path}/state", batches, initial.schema).select("sku_id", "dc_id", "on_hand_qty")

@@ -7,7 +7,6 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from quaymaster import schemas
-from quaymaster.functions.scalars import instant
 from quaymaster.operators import setops
 from quaymaster.plans.kpi_run import publish
 from quaymaster.plans.q_kpis import (
@@ -19,7 +18,7 @@ from quaymaster.session import materialise, scratch_path
 from quaymaster.sinks import archive, serving
 from quaymaster.sinks.archive import ArchiveTable
 from quaymaster.sources.retail_views import RetailViews
-from quaymaster.sources.tables import Period
+from quaymaster.sources.tables import Period, scan_archive
 
 CUTOFF = f"{EVENTS_AS_OF} - INTERVAL 120 MINUTE"
 
@@ -62,8 +61,7 @@ def archive_scan(v):
     """Archive rows from a time on: pruned by date, exact by event time."""
     base, cutoff = archived_events(v)
     start = v.events_as_of - timedelta(days=20)
-    rows = archive.read_archive(v.spark, f"{base}/events", v.events().schema.fields)
-    picked = rows.where((F.col("event_date") >= F.lit(start.date())) & (F.col("ts") >= instant(rows, "ts", start)))
+    picked = scan_archive(v.spark, base, "events", start, schema=v.events().schema, ts="ts")
     return picked.select("event_id", "user_id", "event_type", "value", "event_year", "event_month", "event_day")
 
 
@@ -84,7 +82,7 @@ def hot_cold_after_archive(v):
 
 FACT_COUNTS = """
 SELECT '{t}' AS collection, count(*) AS record_count, round(count(*) * 500 / 1048576.0, 2)::DOUBLE AS size_mb,
- strftime(min({ts}), '%Y-%m-%d') AS first_day, strftime(max({ts}), '%Y-%m-%d') AS last_day
+ strftime(min({ts}), '%Y-%m-%dT%H:%M:%S.%f') AS first_ts, strftime(max({ts}), '%Y-%m-%dT%H:%M:%S.%f') AS last_ts
 FROM {t} WHERE {ts} < (SELECT max(o_orderdate) FROM orders) - INTERVAL 120 MINUTE"""
 
 
@@ -105,9 +103,8 @@ def archive_run(v):
     stats, errors = archive.run_archive(v.spark, fact_tables(v), scratch_path(v.spark, "archive"), v.orders_as_of)
     if errors:
         raise RuntimeError(str(errors))
-    day = lambda part: F.substring(F.col("date_range")[part], 1, 10)
     return stats.select(
-        "collection", "record_count", "size_mb", day("min").alias("first_day"), day("max").alias("last_day")
+        "collection", "record_count", "size_mb", F.col("date_range.min").alias("first_ts"), F.col("date_range.max").alias("last_ts")
     )
 
 
@@ -133,13 +130,13 @@ def archive_manifest(v):
 # Serving table ------------------------------------------------------------------------
 
 
-def published(v: RetailViews):
+def published(v: RetailViews, **tops: int):
     """The serving table of a KPI run, written and read back."""
     result = kpi_set(v, keep=True)
     path = scratch_path(v.spark, "serving")
-    serving.write_serving(publish(result, Period(v.orders_as_of, MINUTES)), path)
+    serving.write_serving(publish(result, Period(v.orders_as_of, MINUTES), **tops), path, serving.version_of(v.orders_as_of))
     result.release()
-    return v.spark.read.schema(schemas.SERVING).parquet(path)
+    return serving.read_serving(v.spark, path)
 
 
 LEVEL_CTE = LEVEL.format(stock=AVG_STOCK, source="wi")
@@ -152,8 +149,8 @@ SERVED_VIEWS = f"inventory_fact orders_fact shipments_fact suppliers {DIMS}"
 
 @query("serving_record_counts", "B3 B4 B5 Q17", with_views(SERVED_VIEWS, """
 SELECT k AS kpi_key, n::BIGINT AS "records", 120::BIGINT AS ttl_seconds FROM (
- SELECT 'kpi:inventory_level' AS k, least(100, (SELECT count(*) FROM levels)) AS n
- UNION ALL SELECT 'kpi:stockout_alerts', least(50, (SELECT count(*) FROM risk))
+ SELECT 'kpi:inventory_level' AS k, (SELECT count(*) FROM levels) AS n
+ UNION ALL SELECT 'kpi:stockout_alerts', (SELECT count(*) FROM risk)
  UNION ALL SELECT 'kpi:supplier_performance', (SELECT count(*) FROM scored)
  UNION ALL SELECT 'kpi:dc_utilization', (SELECT count(*) FROM usage)
  UNION ALL SELECT 'kpi:regional_performance', (SELECT count(*) FROM regional)
@@ -172,7 +169,7 @@ def serving_inventory(v):
         "sku_id bigint, product_name string, category string, dc_id int, dc_name string, current_inventory int, "
         "safety_stock_level int"
     )
-    return serving.read_records(published(v), serving.INVENTORY_KEY, schema, v.orders_as_of)
+    return serving.read_records(published(v, top_levels=100), serving.INVENTORY_KEY, schema, v.orders_as_of)
 
 
 @query("serving_regional", "B3 A6 H6", with_views(SERVED_VIEWS, """
@@ -193,7 +190,7 @@ def serving_counters(v):
 
 
 @query("serving_expired", "B5 A6", with_views(
-    SERVED_VIEWS, "SELECT (count(*) + least(100, (SELECT count(*) FROM levels)))::BIGINT AS live_before, 0::BIGINT AS live_after FROM usage",
+    SERVED_VIEWS, "SELECT (count(*) + (SELECT count(*) FROM levels))::BIGINT AS live_before, 0::BIGINT AS live_after FROM usage",
     **SERVED))
 def serving_expired(v):
     """Records are live until two minutes after the run and gone from then on."""
@@ -204,16 +201,15 @@ def serving_expired(v):
 
 
 @query("serving_document", "B3 A6 H6", with_views(SERVED_VIEWS, """
-SELECT 'kpi:inventory_level' AS kpi_key, count(*)::INT AS "records", sum(current_inventory)::BIGINT AS units,
- first(sku_id ORDER BY current_inventory DESC, sku_id, dc_id) AS first_sku
-FROM (SELECT * FROM levels ORDER BY current_inventory DESC, sku_id, dc_id LIMIT 100)""", **SERVED))
+SELECT 'kpi:inventory_level' AS kpi_key, count(*) AS "records", sum(current_inventory)::BIGINT AS units,
+ first(sku_id ORDER BY current_inventory DESC, sku_id, dc_id) AS first_sku FROM levels""", **SERVED))
 def serving_document(v):
-    parsed = F.from_json("document", "array<struct<sku_id:bigint,current_inventory:bigint>>")
-    return serving.as_document(published(v), serving.INVENTORY_KEY, v.orders_as_of).select("kpi_key", parsed.alias("d")).select(
-        "kpi_key", F.size("d").alias("records"),
-        F.aggregate("d", F.lit(0).cast("bigint"), lambda a, r: a + r["current_inventory"]).alias("units"),
-        F.col("d")[0]["sku_id"].alias("first_sku"),
-    )
+    """All records of a KPI, parsed and added up where they are."""
+    parsed = serving.read_records(
+        published(v), serving.INVENTORY_KEY, "sku_id bigint, dc_id int, current_inventory bigint", v.orders_as_of)
+    first = F.min(F.struct(-F.col("current_inventory"), "sku_id", "dc_id"))["sku_id"]
+    return parsed.agg(F.count("*").alias("records"), F.sum("current_inventory").alias("units"), first.alias("first_sku")).select(
+        F.lit(serving.INVENTORY_KEY).alias("kpi_key"), "records", "units", "first_sku")
 
 
 @query("kpi_availability", "Q17", with_views(SERVED_VIEWS, """

@@ -8,7 +8,7 @@ from quaymaster.functions import bands
 from quaymaster.operators import kpis, views
 from quaymaster.plans.q_kpis import (
     AVG_STOCK, DIMS, LEVEL, PERFORMANCE, REGIONAL, RISK, RISK_DOUBLES, TOTALS, TOTALS_VIEWS, USAGE, WI, WO, WS,
-    cover_of, kpi_set, window_inventory, window_orders, window_shipments,
+    cover_of, kpi_set, risk_of, window_orders, window_shipments, window_stock,
 )
 from quaymaster.plans.registry import DAYS, query, rounded
 from quaymaster.plans.sql import with_views
@@ -20,21 +20,19 @@ REGIONS = REGIONAL.format(source="orders_fact")
 
 
 def level_all(v: RetailViews):
-    return kpis.inventory_level(v.inventory_fact(), v.skus(), v.dcs())
+    return kpis.inventory_level_from(v.stock_rollup(), v.skus(), v.dcs())
 
 
 def regional_all(v: RetailViews):
-    return kpis.regional_performance(v.orders_fact(), v.dcs(), v.regions())
+    return kpis.regional_performance_from(kpis.by_center(v.orders_fact()), v.dcs(), v.regions())
 
 
 def usage_recent(v: RetailViews):
-    return kpis.dc_utilization(window_inventory(v), v.skus(), v.dcs())
+    return kpis.dc_utilization_from(window_stock(v), v.skus(), v.dcs())
 
 
 def risk_recent(v: RetailViews):
-    return kpis.stockout_risk(
-        window_inventory(v), window_orders(v), v.skus(), v.dcs(), v.regions(), float(DAYS)
-    )
+    return risk_of(v, window_stock(v), window_orders(v), float(DAYS))
 
 
 # Cards ---------------------------------------------------------------------------
@@ -121,15 +119,13 @@ def inventory_by_center(v):
     return views.inventory_by_center(level_all(v))
 
 
-HEATMAP_DCS = [f"NATION_{n}" for n in range(25)]
-
-
-@query("inventory_heatmap", "E13", with_views(
-    "inventory_fact skus dcs", "SELECT product_name, "
-    + ", ".join(f"coalesce(sum(current_inventory) FILTER (dc_name = '{d}'), 0)::BIGINT AS {d}" for d in HEATMAP_DCS)
-    + " FROM levels GROUP BY ALL", levels=LEVELS))
+@query("inventory_heatmap", "E13", f"""
+PIVOT ({with_views("inventory_fact skus dcs", "SELECT product_name, dc_name, current_inventory FROM levels", levels=LEVELS)})
+ON dc_name IN (SELECT n_name FROM nation) USING coalesce(sum(current_inventory), 0)::BIGINT GROUP BY product_name""")
 def inventory_heatmap(v):
-    return views.inventory_heatmap(level_all(v), HEATMAP_DCS)
+    """One column for each center of the dimension, whose few rows name the columns."""
+    centers = sorted(r["dc_name"] for r in v.dcs().select("dc_name").distinct().toLocalIterator())
+    return views.inventory_heatmap(level_all(v), centers)
 
 
 @query("top_skus", "F11 E11 G3", with_views("inventory_fact skus dcs", """
@@ -148,9 +144,9 @@ def inventory_table(v):
 @query("normalized_inventory", "C7 C8 C9 C10", with_views("inventory_fact inventory_state skus", """
 SELECT sku_id, dc_id, coalesce(product_name, sku_id::VARCHAR) AS product_name, dc_id::VARCHAR AS dc_name,
  on_hand_qty::DOUBLE AS current_inventory, safety_stock::DOUBLE AS safety_stock_level
-FROM inventory_state LEFT JOIN (SELECT * FROM skus WHERE category = 'ECONOMY') USING (sku_id)"""))
+FROM inventory_state LEFT JOIN skus USING (sku_id)"""))
 def normalized_inventory(v):
-    named = v.skus().where(F.col("category") == "ECONOMY").select("sku_id", "product_name")
+    named = v.skus().select("sku_id", "product_name")
     state = v.inventory_state().select("sku_id", "dc_id", "on_hand_qty", "safety_stock").join(named, "sku_id", "left")
     out = views.fallback_name(views.fallback_name(state, "product_name", "sku_id"), "dc_name", "dc_id")
     return views.available_columns(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,23 +32,33 @@ def build_session(app: str = "quaymaster", master: str | None = None, **conf: st
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder that every executor can reach, named by ``spark.checkpoint.dir``.
+    """Folder that every executor can reach: ``spark.checkpoint.dir``, or else the session's checkpoint folder.
 
-    Only a local session may fall back to a temporary folder of its machine.
+    Where neither is set it is a folder of the warehouse, which the executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="quaymaster-")
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    )
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def run_root(spark: SparkSession) -> str:
+    """The folder of this application below the shared one."""
+    return f"{shared_root(spark)}/quaymaster/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder, never used before."""
-    return f"{shared_root(spark)}/quaymaster/{label}-{uuid.uuid4().hex}"
+    """A new path below the folder of this run, never used before."""
+    return f"{run_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this run has written to the shared folder; for the end of a run, when its results are out."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

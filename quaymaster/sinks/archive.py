@@ -15,15 +15,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from quaymaster import schemas
-from quaymaster.functions.scalars import MEGABYTE, RECORD_BYTES, date_parts, instant
+from quaymaster.functions.scalars import MEGABYTE, RECORD_BYTES, date_parts, instant, iso_text
 from quaymaster.sources.tables import older_than
 
 # Archive policy.
 OLDER_THAN_MINUTES = 120
 PARTITION_COLUMNS = ["event_date", "event_hour"]
 
-# A run up to this size is written without evening out its files.
-SMALL_RUN_ROWS = 5_000_000
+FILE_ROWS = 1_000_000  # rows of a partition that one task writes
 
 
 @dataclass(frozen=True)
@@ -60,43 +59,49 @@ def read_archive(spark: SparkSession, path: str, columns) -> DataFrame | None:
         raise
 
 
-def spread(due: DataFrame, rows: int) -> DataFrame:
-    """Group rows by partition for the write.
+def dates_of(rows: DataFrame) -> tuple | None:
+    """First and last event date, to bound what an archive scan reads; None without rows."""
+    found = rows.agg(F.min("event_date"), F.max("event_date")).first()
+    return None if found[0] is None else (found[0], found[1])
 
-    In a large run adaptive execution evens out the files and splits a partition that is
-    too large for one task. In a small run it would merge everything into a single task that
-    opens one file after the other, so there the partitions go to all tasks.
+
+def between_dates(archived: DataFrame, dates: tuple) -> DataFrame:
+    return archived.where(F.col("event_date").between(F.lit(dates[0]), F.lit(dates[1])))
+
+
+def spread(due: DataFrame, event_id: str) -> DataFrame:
+    """Rows by partition, a busy hour dealt to as many tasks as its rows fill files.
+
+    The tasks are fixed in number, as merging small partitions would leave the opening of
+    their files to one task.
     """
-    if rows > SMALL_RUN_ROWS:
-        return due.hint("rebalance", *PARTITION_COLUMNS)
+    files = due.groupBy(*PARTITION_COLUMNS).agg(F.ceil(F.count("*") / FILE_ROWS).alias("_files"))
+    part = F.pmod(F.xxhash64(event_id), F.col("_files"))
     tasks = int(due.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return due.repartition(tasks, *PARTITION_COLUMNS)
+    return due.join(files, PARTITION_COLUMNS).repartition(tasks, *PARTITION_COLUMNS, part).select(*due.columns)
 
 
 def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
-    """Append the due rows that are not archived yet; their statistics, or None if there are none.
+    """Append the due rows that are not archived yet, each id once; their statistics, or None if there are none.
 
-    The date of a row follows from its time, so ids are compared within a date:
-    the join key spreads by date, and the archive is pruned to dates up to the cutoff.
-    The rows are spread before the observation, so the statistics are taken in the task
-    that writes, once per written row.
+    The date of a row follows from its time, so ids are compared with the archive's partitions
+    between the first and the last due date only. Statistics are observed per written row.
     """
     spark = table.rows.sparkSession
     path = f"{base}/{table.name}"
     due = with_date_parts(due_rows(table, cutoff), table.ts)
-    found = due.count()
-    if found == 0:
+    dates = dates_of(due)
+    if dates is None:
         return None
+    due = due.dropDuplicates([table.event_id])
     known = read_archive(spark, path, table.rows.schema.fields)
     if known is not None:
-        before = known.where(F.col("event_date") <= F.lit(cutoff.date())).select(*PARTITION_COLUMNS, table.event_id)
-        due = due.join(before, [*PARTITION_COLUMNS, table.event_id], "left_anti").select(*due.columns)
+        due = due.join(between_dates(known, dates).select(table.event_id), table.event_id, "left_anti").select(*due.columns)
     seen = Observation(f"archive-{table.name}")
     (
-        spread(due, found)
+        spread(due, table.event_id)
         .observe(
-            seen, F.count("*").alias("records"), F.min(table.ts).cast("string").alias("first"),
-            F.max(table.ts).cast("string").alias("last"),
+            seen, F.count("*").alias("records"), iso_text(F.min(table.ts)).alias("first"), iso_text(F.max(table.ts)).alias("last"),
         )
         .write.mode("append").partitionBy(*PARTITION_COLUMNS).option("compression", "snappy").parquet(path)
     )
@@ -116,9 +121,11 @@ def retained(table: ArchiveTable, base: str, cutoff: datetime) -> DataFrame:
     limit = instant(table.rows, table.ts, cutoff)
     late = table.rows.where(F.col(table.ts) < limit)
     known = read_archive(table.rows.sparkSession, f"{base}/{table.name}", table.rows.schema.fields)
-    if known is not None:
-        before = known.where(F.col("event_date") <= F.lit(cutoff.date())).select(table.event_id)
-        late = late.join(before, table.event_id, "left_anti").select(*table.rows.columns)
+    dated = late.withColumn("event_date", F.to_date(table.ts))
+    dates = None if known is None else dates_of(dated)
+    if dates is not None:
+        before = between_dates(known, dates).select("event_date", table.event_id)
+        late = dated.join(before, ["event_date", table.event_id], "left_anti").select(*table.rows.columns)
     return table.rows.where((F.col(table.ts) >= limit) | F.col(table.ts).isNull()).unionByName(late)
 
 
@@ -167,10 +174,10 @@ def run_archive(
 ) -> tuple[DataFrame, dict[str, str]]:
     """Archive all tables, write the manifest, then hand over what stays hot.
 
-    A table without due rows is skipped and a failing one does not stop the others.
-    ``keep(name, rows)`` stores the new hot version of a table; it is called only for
-    tables archived in this run, so a failed table loses nothing. Returns the statistics
-    and the errors by table.
+    A table without due rows adds nothing and a failing one does not stop the others.
+    ``keep(name, rows)`` stores the new hot version of a table and is called for every table, so
+    the new version is complete and a delete that failed before is made up for; a table that could not be
+    archived keeps all its rows. Returns the statistics and the errors by table.
     """
     cutoff = cutoff_of(as_of, minutes)
     stats, errors = [], {}
@@ -186,12 +193,9 @@ def run_archive(
     if stats:
         write_manifest(manifest(frame, base, as_of, minutes), base)
     if keep is not None:
-        archived = {entry["collection"] for entry in stats}
         for table in tables:
-            if table.name not in archived:
-                continue
             try:
-                keep(table.name, retained(table, base, cutoff))
+                keep(table.name, table.rows if table.name in errors else retained(table, base, cutoff))
             except Exception as failure:  # noqa: BLE001 - the rows stay hot and in the archive
                 errors[table.name] = str(failure)
     return frame, errors

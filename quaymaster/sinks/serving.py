@@ -1,17 +1,19 @@
 """The serving table: KPI records as JSON under a key, with an expiry.
 
 Each record is a row of its own, so a KPI with many records is written and read by
-many tasks. ``as_document`` joins the records of one key for readers of a list.
+many tasks. Every run publishes a new version; readers see whole versions only.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from quaymaster import schemas
 from quaymaster.functions.scalars import moment
+from quaymaster.sinks.versions import drop_versions, read_version, write_version
 
 # Keys, record limits and time to live of the published KPIs.
 TTL_SECONDS = 120
@@ -24,8 +26,6 @@ LAST_UPDATE_KEY = "kpi:last_update"
 WINDOW_KEY = "kpi:analysis_window_minutes"
 STOCKOUT_COUNT_KEY = "kpi:stockout_risk_count"
 OVERLOADED_COUNT_KEY = "kpi:dc_overloaded_count"
-LIMITS = {INVENTORY_KEY: 100, STOCKOUT_KEY: 50}
-DOCUMENT_RECORDS = 1000
 
 
 def _stamped(df: DataFrame, as_of: datetime, ttl: int) -> DataFrame:
@@ -63,9 +63,26 @@ def serving_table(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def write_serving(table: DataFrame, path: str) -> None:
-    """Replace the published KPIs; readers of the previous run are served until its expiry."""
-    table.write.mode("overwrite").partitionBy("kpi_key").parquet(path)
+def version_of(as_of: datetime) -> int:
+    """Version number of a run: milliseconds of its time."""
+    return int(as_of.replace(tzinfo=as_of.tzinfo or timezone.utc).timestamp() * 1000)
+
+
+def write_serving(table: DataFrame, path: str, version: int, keep: int = 2) -> None:
+    """Publish a version, then name it as published, then drop all but the newest ``keep``.
+
+    A reader that has opened an earlier version is served until its files expire with it.
+    """
+    spark = table.sparkSession
+    write_version(table, f"{path}/data", version)
+    spark.range(1).select(F.lit(version).cast("bigint").alias("version")).write.mode("overwrite").parquet(f"{path}/published/v{version:015d}")
+    drop_versions(spark, f"{path}/data", keep)
+
+
+def read_serving(spark: SparkSession, path: str) -> DataFrame:
+    """The newest published version."""
+    newest = spark.read.schema("version bigint").option("recursiveFileLookup", "true").parquet(f"{path}/published").agg(F.max("version")).first()[0]
+    return read_version(spark, f"{path}/data", newest, schemas.SERVING)
 
 
 def live(table: DataFrame, as_of: datetime) -> DataFrame:
@@ -86,17 +103,3 @@ def read_values(table: DataFrame, keys: list[str], as_of: datetime) -> DataFrame
     return live(table, as_of).where(F.col("kpi_key").isin(keys)).select(
         "kpi_key", F.coalesce(parsed, text).alias("value")
     )
-
-
-def as_document(table: DataFrame, key: str, as_of: datetime, most: int = DOCUMENT_RECORDS) -> DataFrame:
-    """The records of one limited KPI as a JSON list, in order.
-
-    Meant for top lists: more than ``most`` records raise an error instead of being
-    gathered in one row.
-    """
-    rows = live(table, as_of).where(F.col("kpi_key") == key)
-    size = rows.agg(F.count("*")).scalar()
-    guard = F.when(size > most, F.raise_error(F.lit(f"{key} has more than {most} records; read them as rows")))
-    few = rows.where(size <= most).agg(F.sort_array(F.collect_list(F.struct("position", "payload"))).alias("rs"))
-    text = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda r: r["payload"]), ","), F.lit("]"))
-    return few.select(F.lit(key).alias("kpi_key"), F.coalesce(guard.cast("string"), text).alias("document"))

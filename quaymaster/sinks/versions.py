@@ -15,3 +15,11 @@ def write_version(df: DataFrame, base: str, version: int) -> None:
 
 def read_version(spark: SparkSession, base: str, version: int, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(version_path(base, version))
+
+
+def drop_versions(spark: SparkSession, base: str, keep: int) -> None:
+    """Delete all versions but the newest ``keep``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for old in sorted(f.getPath().toString() for f in files.listStatus(path))[: -keep]:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)

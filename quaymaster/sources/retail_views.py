@@ -151,16 +151,46 @@ class RetailViews:
             )
         )
 
+    def _stock_lines(self, start: datetime | None) -> DataFrame:
+        """Snapshots added up by part and supplier, then by part and the supplier's center.
+
+        The lines are reduced before any dimension is joined, so a part with a large share of
+        them reaches the joins as one row for each supplier.
+        """
+        lines = self.table("lineitem")
+        if start is not None:
+            lines = lines.where(F.col("l_shipdate") >= moment(start, "timestamp_ntz"))
+        units = F.col("l_quantity").cast("int")
+        newest = F.struct(F.col("l_shipdate").alias("ts"), units.alias("units"))
+        by_supplier = lines.groupBy("l_partkey", "l_suppkey").agg(
+            F.sum(units).alias("_sum"), F.count(units).alias("_count"), F.max(newest).alias("_newest"))
+        centers = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("dc_id"))
+        return (
+            by_supplier.join(centers, "l_suppkey").groupBy(F.col("l_partkey").alias("sku_id"), "dc_id")
+            .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"), F.max("_newest").alias("_newest"))
+        )
+
+    def _safety(self) -> DataFrame:
+        return self.table("part").select(F.col("p_partkey").alias("sku_id"), (F.col("p_size") % 20).alias("safety_stock"))
+
+    def stock_rollup(self, start: datetime | None = None) -> DataFrame:
+        """The stock roll-up of the KPIs (``kpis.inventory_rollup``) over the snapshots from ``start`` on."""
+        return self._stock_lines(start).join(self._safety(), "sku_id").select(
+            "sku_id", "dc_id", ratio(F.col("_sum"), F.col("_count")).alias("avg_on_hand"), F.col("_sum").alias("sum_on_hand"),
+            F.col("_newest.units").alias("latest_on_hand"), F.col("safety_stock").cast("double").alias("avg_safety_stock"),
+            F.col("safety_stock").alias("max_safety_stock"),
+        )
+
     def inventory_state(self) -> DataFrame:
         """The newest snapshot of every SKU and distribution center."""
-        newest = F.max_by(
-            F.struct("on_hand_qty", "safety_stock", "reorder_point", F.col("inventory_ts").alias("last_updated")),
-            F.struct("inventory_ts", "on_hand_qty"),
-        )
-        return (
-            self.inventory_fact().groupBy("sku_id", "dc_id").agg(newest.alias("row")).select("sku_id", "dc_id", "row.*")
+        return self._stock_lines(None).join(self._safety(), "sku_id").select(
+            "sku_id", "dc_id", F.col("_newest.units").alias("on_hand_qty"), "safety_stock",
+            (F.col("safety_stock") + 10).alias("reorder_point"), F.col("_newest.ts").alias("last_updated"),
         )
 
+    def unit_costs(self) -> DataFrame:
+        return self.skus().select("sku_id", F.col("unit_cost").cast("decimal(18,2)").alias("unit_cost"))
+
     def events(self) -> DataFrame:
         return self.table("events")
 

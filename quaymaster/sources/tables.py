@@ -46,13 +46,13 @@ def scan_stream(spark: SparkSession, schema: T.StructType, path: str, fmt: str =
 
 def scan_archive(
     spark: SparkSession, base: str, table: str, start: datetime | None = None, end: datetime | None = None,
-    schema: T.StructType | None = None,
+    schema: T.StructType | None = None, ts: str | None = None,
 ) -> DataFrame:
     """Archive partitions of one fact that can hold rows of ``[start, end)``.
 
     Bounds go to the partition column for pruning and to the event time for exactness.
     """
-    ts = schemas.FACT_TIME[table]
+    ts = ts or schemas.FACT_TIME[table]
     full = schemas.archived(schema or schemas.TABLES[table])
     df = spark.read.schema(full).parquet(f"{base}/{table}")
     if start is not None:

@@ -12,16 +12,19 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quaymaster.functions.scalars import date_parts
-from quaymaster.operators.accounting import PAIR, apply_deltas, received_units, state_after_orders
+from quaymaster.functions.scalars import date_parts, instant
+from quaymaster.operators.accounting import PAIR
+from quaymaster.operators.running import running_total
 from quaymaster.sinks.archive import PARTITION_COLUMNS
-from quaymaster.sinks.versions import read_version, write_version
+from quaymaster.sinks.versions import drop_versions, read_version, write_version
 
 # Event-time bound and KPI window.
 LATENESS = "2 minutes"
 WINDOW = "15 minutes"
 SLIDE = "1 minute"
 
+ARCHIVE_SPREAD = 8  # tasks that may write one partition in a micro-batch
+
 
 def event_time(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
@@ -83,14 +86,15 @@ def to_files(df: DataFrame, path: str, checkpoint: str, partitions: list[str] |
     return writer.trigger(availableNow=True).start(path)
 
 
-def to_archive(df: DataFrame, ts: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Streaming archive in the layout of the batch archive.
+def to_archive(df: DataFrame, ts: str, event_id: str, path: str, checkpoint: str, lateness: str = LATENESS) -> StreamingQuery:
+    """Streaming archive in the layout of the batch archive, each event once within the lateness bound.
 
-    Every task writes the rows it read into their partitions; nothing is shuffled, so a
-    busy hour is as parallel as its input.
+    The rows of a partition go to at most ``ARCHIVE_SPREAD`` tasks of a micro-batch, so a busy hour is
+    written in parallel without a file for every task.
     """
-    parted = event_time(df, ts).withColumns(date_parts(F.col(ts)))
-    return to_files(parted, path, checkpoint, PARTITION_COLUMNS)
+    parted = deduplicated(df, ts, event_id, lateness).withColumns(date_parts(F.col(ts)))
+    part = F.pmod(F.xxhash64(event_id), F.lit(ARCHIVE_SPREAD))
+    return to_files(parted.repartition(*PARTITION_COLUMNS, part), path, checkpoint, PARTITION_COLUMNS)
 
 
 def publish_each_batch(df: DataFrame, publish: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -98,26 +102,39 @@ def publish_each_batch(df: DataFrame, publish: Callable[[DataFrame, int], None],
     return df.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def apply_moves(state: DataFrame, moves: DataFrame, order: list[str], as_of: datetime) -> DataFrame:
+    """State after receipts and orders, in their order, none of which takes stock below zero.
+
+    With signed units, opening stock q, total t and least running total m of a pair, the stock ends at
+    q + t + max(0, -(q + m)): what could not be served is not missing later. So one state after the other
+    gives the same result, however the moves are cut into batches.
+    """
+    signed = F.when(F.col("kind") == "receipt", F.col("units")).otherwise(-F.col("units"))
+    rows = moves.select(*PAIR, *order, signed.cast("bigint").alias("_units"))
+    run = running_total(rows, PAIR, order, "_units", "_before")
+    change = run.groupBy(*PAIR).agg(F.sum("_units").alias("_total"), F.min(F.col("_before") + F.col("_units")).alias("_least"))
+    stock = F.col("on_hand_qty")
+    moved = stock + F.col("_total") + F.greatest(F.lit(0), -(stock + F.col("_least")))
+    known = F.col("_total").isNotNull()
+    return state.join(change, PAIR, "left").withColumns({
+        "on_hand_qty": F.when(known, moved).otherwise(stock),
+        "last_updated": F.when(known, instant(state, "last_updated", as_of)).otherwise(F.col("last_updated")),
+    }).select(*[F.col(f.name).cast(f.dataType) for f in state.schema])
+
+
 def run_state(
-    spark: SparkSession, moves: DataFrame, initial: DataFrame, base: str, checkpoint: str, as_of: datetime,
+    spark: SparkSession, moves: DataFrame, schema: T.StructType, order: list[str], base: str, checkpoint: str, as_of: datetime,
 ) -> StreamingQuery:
-    """Running stock per pair from a stream of receipts and orders.
+    """Running stock per pair from a stream of receipts and orders that arrive in event order.
 
-    ``moves`` has ``kind`` ('receipt' or 'order'), the pair and ``units``. Version 0 is the
-    initial state; micro-batch n reads version n and writes n + 1, so a batch that is
-    repeated after a failure rewrites the same version. Receipts come before orders.
+    ``moves`` has ``kind`` ('receipt' or 'order'), the pair, ``units`` and the columns of ``order``. Version 0
+    below ``base`` is the initial state; micro-batch n reads version n and writes n + 1, so a batch that is
+    repeated after a failure rewrites the same version. Only the versions a repeat needs are kept.
     """
-    write_version(initial, base, 0)
-    schema: T.StructType = initial.schema
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         before = read_version(spark, base, batch_id, schema)
-        receipts = batch.where(F.col("kind") == "receipt").select(
-            "sku_id", F.col("dc_id").alias("destination_dc_id"), F.col("units").alias("quantity")
-        )
-        orders = batch.where(F.col("kind") == "order").select(*PAIR, F.col("units").alias("requested_qty"))
-        received = apply_deltas(before, received_units(receipts), as_of)
-        after = state_after_orders(received, orders, as_of)
-        write_version(after.select(*[F.col(f.name).cast(f.dataType) for f in schema]), base, batch_id + 1)
+        write_version(apply_moves(before, batch, order, as_of), base, batch_id + 1)
+        drop_versions(spark, base, 2)
 
     return moves.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 import time
 
 import pytest
@@ -10,17 +11,19 @@ time.tzset()
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from quaymaster.session import build_session  # noqa: E402
+from quaymaster.session import build_session, drop_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
         "quaymaster-tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="quaymaster-tests-")},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
 
 
 @pytest.fixture

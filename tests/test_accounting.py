@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import data
-from quaymaster.operators import accounting, running
+from quaymaster.operators import accounting
 from quaymaster.operators.running import running_total
 
 STATE = "sku_id string, dc_id string, on_hand_qty int, safety_stock int, reorder_point int, last_updated timestamp"
@@ -26,9 +26,8 @@ def loop(stock, asked):
 
 
 @pytest.fixture
-def sliced(spark, monkeypatch):
-    """Treat every key as too large for one task, and keep all slices as a large run would."""
-    monkeypatch.setattr(running, "largest_key", lambda df, keys: running.MOST_ROWS_PER_KEY + 1)
+def sliced(spark):
+    """Keep all slices, as a large run would."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -70,22 +69,10 @@ def test_running_total_spreads_a_hot_key(spark, sliced):
         assert row["before"] == sums.get(row["key"], 0)
         sums[row["key"]] = sums.get(row["key"], 0) + row["units"]
     assert len(out) == 3000
-    assert running_total(df, ["key"], ["at"], "units", "before", most_rows=100).count() == 3000
     slices = df.repartitionByRange("key", "at").withColumn("slice", F.spark_partition_id()).where("key = 'hot'")
     assert slices.select("slice").distinct().count() > 1
 
 
-def test_largest_key_decides(spark, monkeypatch):
-    df = spark.range(10).select((F.col("id") % 3).alias("key"), F.col("id").alias("at"), F.col("id").alias("units"))
-    assert running.largest_key(df, ["key"]) == 4 and running.largest_key(df.limit(0), ["key"]) == 0
-    used = []
-    monkeypatch.setattr(running, "sliced_total", lambda *a: used.append(a))
-    running_total(df, ["key"], ["at"], "units", "before", most_rows=4)
-    assert not used
-    running_total(df, ["key"], ["at"], "units", "before", most_rows=3)
-    assert used
-
-
 def test_running_total_with_null_keys(spark, sliced):
     df = spark.createDataFrame([(None, 1, 5), (None, 2, 6), ("a", 1, 7), (None, 3, 1)], "key string, at int, units int")
     got = {(r["key"], r["at"]): r["before"] for r in running_total(df, ["key"], ["at"], "units", "before").collect()}
@@ -120,7 +107,7 @@ def test_balance_closes_at_opening_plus_received_minus_sold(spark):
     moves = accounting.movements(opening, accounting.fulfil_orders(orders, opening), received)
     steps = accounting.inventory_balance(moves).orderBy("moved_ts", "step").collect()
     assert [(r["step"], r["units"], r["balance_after"]) for r in steps] == [(0, 10, 10), (2, -6, 4), (1, 4, 8), (2, -3, 5)]
-    assert accounting.closing_balance(moves).first()["closing_qty"] == 5
+    assert accounting.closing_balance(opening, orders, received).first()["closing_qty"] == 5
 
 
 def test_reorder_at_the_reorder_point(spark, rows):
@@ -129,22 +116,11 @@ def test_reorder_at_the_reorder_point(spark, rows):
     assert sorted(rows(low)) == [("S", "D", 10, 10, 210), ("T", "D", 9, 10, 50)]
 
 
-def test_replenishment_draws_suppliers_by_weight(spark):
-    low = spark.range(2000).select(
-        F.col("id").cast("string").alias("sku_id"), F.lit("D").alias("dc_id"), F.lit(60).alias("reorder_qty")
-    )
-    suppliers = [("good", 0.9, 2.0), ("poor", 0.3, 4.0)]
-    sent = accounting.replenishment_shipments(low, suppliers, data.NOW)
-    counts = {r["supplier_id"]: r["count"] for r in sent.groupBy("supplier_id").count().collect()}
-    assert counts["good"] / 2000 == pytest.approx(0.9, abs=0.03)
-    row = sent.where("supplier_id = 'poor'").first()
-    assert row["expected_arrival_ts"] == data.NOW + timedelta(days=4) and row["actual_arrival_ts"] is None
-    assert sent.exceptAll(accounting.replenishment_shipments(low, suppliers, data.NOW)).count() == 0
-
-
-def test_policy_of_the_full_assortment(spark, rows):
+def test_policy_of_known_pairs(spark, rows):
     skus = data.skus(spark, {"sku_id": "S"}, {"sku_id": "T", "demand_base_lambda": 40, "stock_coverage_days": 30})
-    policy = accounting.stock_policy(accounting.full_assortment(skus, ["D", "E"]), skus, 2.0)
+    pairs = [("S", "D"), ("S", "E"), ("T", "D")], "sku_id string, dc_id string"
+    known = accounting.known_pairs(spark.createDataFrame(*pairs), spark.createDataFrame([("T", "E"), ("S", "D")], pairs[1]))
+    policy = accounting.stock_policy(known, skus, 2.0)
     assert sorted(rows(policy)) == [
         ("S", "D", 100, 70, 90, 5), ("S", "E", 100, 70, 90, 5), ("T", "D", 2400, 280, 360, 30), ("T", "E", 2400, 280, 360, 30),
     ]
@@ -157,19 +133,13 @@ def test_weights_and_shares(spark):
         data.suppliers(spark, {"supplier_id": "a", "reliability_score": 0.6}, {"supplier_id": "b", "reliability_score": 0.8})
     )
     assert {r["supplier_id"]: round(r["weight"], 9) for r in weights.collect()} == {"a": 0.36, "b": 0.64}
-    share = accounting.sku_event_share(data.skus(spark, {"sku_id": "S", "demand_base_lambda": 1}, {"sku_id": "T", "demand_base_lambda": 3}), 100)
-    assert {r["sku_id"]: (r["demand_share"], r["event_budget"]) for r in share.collect()} == {"S": (0.25, 15), "T": (0.75, 45)}
+    share = accounting.sku_event_share(data.skus(spark, {"sku_id": "S", "demand_base_lambda": 1}, {"sku_id": "T", "demand_base_lambda": 3}))
+    assert {r["sku_id"]: r["demand_share"] for r in share.collect()} == {"S": 0.25, "T": 0.75}
 
 
-def test_expected_arrival_in_days_and_demo_hours(spark):
-    row = spark.range(1).select(
-        accounting.expected_arrival(F.lit(data.NOW), F.lit(1.5)).alias("days"),
-        accounting.expected_arrival(F.lit(data.NOW), F.lit(2.0), 0.05).alias("demo"),
-        accounting.expected_arrival(F.lit(data.NOW), F.lit(1.0), 0.0).alias("floor"),
-    ).first()
+def test_expected_arrival(spark):
+    row = spark.range(1).select(accounting.expected_arrival(F.lit(data.NOW), F.lit(1.5)).alias("days")).first()
     assert row["days"] == data.NOW + timedelta(hours=36)
-    assert row["demo"] == data.NOW + timedelta(minutes=6)
-    assert row["floor"] == data.NOW + timedelta(seconds=36)
 
 
 def test_snapshot_has_a_stable_id_per_pair(spark):

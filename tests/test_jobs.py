@@ -7,18 +7,24 @@ from quaymaster import schemas
 from quaymaster.jobs import archive, kpis, monitor
 from quaymaster.session import scratch_path
 from quaymaster.sinks import serving
-from quaymaster.sources import reference_dims
 from quaymaster.sources.tables import scan_archive
 
 AS_OF = ["--as-of", data.NOW.isoformat()]
-PAIR = {"sku_id": "SKU-DAIRY-001", "dc_id": "DC-KHI"}
+PAIR = {"sku_id": "SKU-A", "dc_id": "DC-A"}
 
 
 @pytest.fixture
 def tables(spark):
     """Hot tables of the reference network: recent and old rows."""
     base = scratch_path(spark, "hot")
-    reference_dims.seed_dimensions(spark, base)
+    dims = {
+        "regions_dim": data.make(spark, "regions_dim", {"region_id": "R", "region_name": "North"}),
+        "dcs_dim": data.dcs(spark, {"dc_id": "DC-A", "region_id": "R"}),
+        "skus_dim": data.skus(spark, {"sku_id": "SKU-A", "product_name": "Green Tea"}),
+        "suppliers_dim": data.suppliers(spark, {"supplier_id": "SUP-A"}),
+    }
+    for name, df in dims.items():
+        df.write.parquet(f"{base}/{name}")
     old = data.minutes_ago(300)
     facts = {
         "orders_fact": data.orders(
@@ -28,8 +34,8 @@ def tables(spark):
             spark, {**PAIR, "inventory_event_id": "new", "on_hand_qty": 9}, {**PAIR, "inventory_event_id": "old", "on_hand_qty": 99, "inventory_ts": old}
         ),
         "shipments_fact": data.shipments(
-            spark, {"shipment_id": "new", "supplier_id": "SUP-LOCAL-001", "lead_time_days": 2.0},
-            {"shipment_id": "open", "supplier_id": "SUP-LOCAL-001", "shipment_ts": old},
+            spark, {"shipment_id": "new", "supplier_id": "SUP-A", "lead_time_days": 2.0},
+            {"shipment_id": "open", "supplier_id": "SUP-A", "shipment_ts": old},
         ),
     }
     for name, df in facts.items():
@@ -40,13 +46,13 @@ def tables(spark):
 def test_kpi_job_publishes_the_window(spark, tables):
     out = scratch_path(spark, "serving")
     kpis.main(["--tables", tables, "--serving", out, *AS_OF])
-    table = spark.read.schema(schemas.SERVING).parquet(out)
+    table = serving.read_serving(spark, out)
     level = serving.read_records(table, serving.INVENTORY_KEY, "product_name string, current_inventory int", data.NOW).collect()
-    assert [tuple(r) for r in level] == [(1, "Fresh Milk - 1L", 9)]
+    assert [tuple(r) for r in level] == [(None, "Green Tea", 9)]
     alert = serving.read_records(table, serving.STOCKOUT_KEY, "severity string, days_until_stockout double", data.NOW).first()
-    assert tuple(alert) == (1, "Critical", 0.0)
+    assert tuple(alert) == (None, "Critical", 0.0)
     regional = serving.read_records(table, serving.REGIONAL_KEY, "region_name string, revenue double", data.NOW).first()
-    assert tuple(regional) == (None, "Sindh Province", 500.0)
+    assert tuple(regional) == (None, "North", 500.0)
     values = serving.read_values(table, [serving.STOCKOUT_COUNT_KEY, serving.WINDOW_KEY], data.NOW).collect()
     assert {r["kpi_key"]: r["value"] for r in values} == {serving.STOCKOUT_COUNT_KEY: "1", serving.WINDOW_KEY: "15"}
 
@@ -67,7 +73,7 @@ def test_kpi_job_unites_hot_and_archive(spark, tables):
     cold, out = scratch_path(spark, "cold"), scratch_path(spark, "serving")
     archive.main(["--tables", tables, "--archive", cold, "--threshold-mb", "-1", *AS_OF])
     kpis.main(["--tables", tables, "--serving", out, "--archive", cold, "--window-minutes", "600", *AS_OF])
-    table = spark.read.schema(schemas.SERVING).parquet(out)
+    table = serving.read_serving(spark, out)
     level = serving.read_records(table, serving.INVENTORY_KEY, "current_inventory int", data.NOW).first()
     assert level["current_inventory"] == 54
     assert serving.live(table, data.NOW + timedelta(minutes=2)).count() == 0
@@ -77,7 +83,7 @@ def test_monitor_job_writes_reports(spark, tables):
     out = scratch_path(spark, "reports")
     monitor.main(["--tables", tables, "--reports", out, *AS_OF])
     volume = {r["table_name"]: r["row_count"] for r in spark.read.json(f"{out}/volume").collect()}
-    assert volume["orders_fact"] == 2 and volume["skus_dim"] == 10
+    assert volume["orders_fact"] == 2 and volume["skus_dim"] == 1
     rules = {r["rule"]: r["violations"] for r in spark.read.json(f"{out}/quality").collect()}
     assert rules["order_id_is_uuid"] == 2 and rules["supplier_id_exists"] == 0
     assert {r["table_name"]: r["age_seconds"] for r in spark.read.json(f"{out}/freshness").collect()}["orders_fact"] == 60

@@ -1,10 +1,11 @@
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 import data
 from quaymaster.session import scratch_path
-from quaymaster.sinks.versions import read_version
+from quaymaster.sinks.versions import read_version, version_path, write_version
 from quaymaster.sources.tables import scan_stream
 from quaymaster.streaming import pipelines
 
@@ -62,27 +63,36 @@ def test_copies_across_batches_are_dropped(spark):
 def test_stream_archive_layout(spark):
     base = scratch_path(spark, "stream")
     drop(spark, f"{base}/in", (1, "a", 1.0, data.NOW), (2, "a", 1.0, data.NOW - timedelta(hours=13)))
-    pipelines.to_archive(stream(spark, f"{base}/in"), "at", f"{base}/cold", f"{base}/checkpoint").awaitTermination()
+    drop(spark, f"{base}/in", (1, "a", 1.0, data.NOW))
+    pipelines.to_archive(stream(spark, f"{base}/in"), "at", "event_id", f"{base}/cold", f"{base}/checkpoint").awaitTermination()
     got = spark.read.parquet(f"{base}/cold").select("event_id", F.col("event_date").cast("string"), "event_hour", "event_day")
     assert sorted(tuple(r) for r in got.collect()) == [(1, "2025-03-01", 12, 1), (2, "2025-02-28", 23, 28)]
 
 
 def test_state_runs_over_batches_and_restarts(spark):
     base = scratch_path(spark, "state")
-    moves = "kind string, sku_id string, dc_id string, units bigint"
+    moves = "kind string, sku_id string, dc_id string, units bigint, at int"
     state = spark.createDataFrame(
         [("S", "D", 10, data.minutes_ago(9)), ("T", "D", 5, data.minutes_ago(9))],
         "sku_id string, dc_id string, on_hand_qty bigint, last_updated timestamp",
     )
-    for units in ([("receipt", "S", "D", 5), ("order", "S", "D", 8)], [("order", "S", "D", 20), ("receipt", "T", "D", 1)]):
+    write_version(state, f"{base}/state", 0)
+    batches = (
+        [("receipt", "S", "D", 5, 2), ("order", "S", "D", 12, 1)],
+        [("order", "S", "D", 20, 3), ("receipt", "T", "D", 1, 4), ("receipt", "S", "D", 2, 5)],
+    )
+    whole = spark.createDataFrame([m for b in batches for m in b], moves)
+    for units in batches:
         spark.createDataFrame(units, moves).coalesce(1).write.mode("append").parquet(f"{base}/in")
-        run = pipelines.run_state(spark, stream(spark, f"{base}/in", moves), state, f"{base}/state", f"{base}/checkpoint", data.NOW)
+        run = pipelines.run_state(
+            spark, stream(spark, f"{base}/in", moves), state.schema, ["at"], f"{base}/state", f"{base}/checkpoint", data.NOW)
         run.awaitTermination()
-    levels = [
-        sorted((r["sku_id"], r["on_hand_qty"]) for r in read_version(spark, f"{base}/state", v, state.schema).collect())
-        for v in range(3)
-    ]
-    assert levels == [[("S", 10), ("T", 5)], [("S", 7), ("T", 5)], [("S", 0), ("T", 6)]]
+    level = lambda df: sorted((r["sku_id"], r["on_hand_qty"]) for r in df.collect())
+    levels = [level(read_version(spark, f"{base}/state", v, state.schema)) for v in (1, 2)]
+    assert levels == [[("S", 5), ("T", 5)], [("S", 2), ("T", 6)]]
+    assert level(pipelines.apply_moves(state, whole, ["at"], data.NOW)) == levels[1]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(version_path(f"{base}/state", 0))
 
 
 def test_published_batches_carry_their_id(spark):

@@ -1,7 +1,7 @@
 from datetime import timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 import data
 from quaymaster import schemas
@@ -9,8 +9,7 @@ from quaymaster.operators import setops
 from quaymaster.session import scratch_path
 from quaymaster.sinks import archive, serving
 from quaymaster.sinks.archive import ArchiveTable
-from quaymaster.sources import reference_dims
-from quaymaster.sources.tables import scan, scan_archive
+from quaymaster.sources.tables import replace_table, scan_archive
 
 CUTOFF = archive.cutoff_of(data.NOW)
 
@@ -31,7 +30,7 @@ def test_archive_is_idempotent_and_excludes_the_cutoff(spark):
     base = scratch_path(spark, "t")
     first = archive.append_new(table(sold(spark, [1, 120, 121, 200, 2000])), base, CUTOFF)
     assert first["record_count"] == 3 and first["size_mb"] == 0.0
-    assert first["date_range"] == {"min": "2025-02-28 02:40:00", "max": "2025-03-01 09:59:00"}
+    assert first["date_range"] == {"min": "2025-02-28T02:40:00.000000", "max": "2025-03-01T09:59:00.000000"}
     assert archive.append_new(table(sold(spark, [1, 120, 121, 200, 2000])), base, CUTOFF) is None
     more = archive.append_new(table(sold(spark, [121, 130, 200])), base, CUTOFF)
     assert more["record_count"] == 1
@@ -63,12 +62,13 @@ def test_hot_and_cold_hold_every_row_once(spark):
     assert ids(setops.unify(rows, cold, "order_id", "order_ts")) == ids(rows)
 
 
-def test_large_runs_are_rebalanced(spark, monkeypatch):
-    monkeypatch.setattr(archive, "SMALL_RUN_ROWS", 0)
+def test_busy_partitions_are_split_and_ids_archived_once(spark, monkeypatch):
+    monkeypatch.setattr(archive, "FILE_ROWS", 1)
     base = scratch_path(spark, "t")
-    stats = archive.append_new(table(sold(spark, [1, 121, 200, 2000])), base, CUTOFF)
+    rows = sold(spark, [1, 121, 200, 2000])
+    stats = archive.append_new(table(rows.unionByName(rows)), base, CUTOFF)
     assert stats["record_count"] == 3
-    assert stats["date_range"] == {"min": "2025-02-28 02:40:00", "max": "2025-03-01 09:59:00"}
+    assert stats["date_range"] == {"min": "2025-02-28T02:40:00.000000", "max": "2025-03-01T09:59:00.000000"}
     assert ids(scan_archive(spark, base, "orders_fact")) == ["o121", "o200", "o2000"]
 
 
@@ -97,10 +97,13 @@ def test_run_skips_empty_and_goes_on_after_a_failure(spark):
     empty = ArchiveTable("shipments_fact", data.shipments(spark), "shipment_ts", "shipment_id")
     stats, errors = archive.run_archive(
         spark, [broken, empty, table(sold(spark, [5, 300, 400]))], base, data.NOW,
-        keep=lambda name, rows: kept.update({name: ids(rows)}),
+        keep=lambda name, rows: kept.update({name: sorted(r[0] for r in rows.select(rows.columns[0]).collect())}),
     )
     assert [(r["collection"], r["record_count"]) for r in stats.collect()] == [("orders_fact", 2)]
-    assert set(errors) == {"broken"} and kept == {"orders_fact": ["o5"]}
+    assert set(errors) == {"broken"} and kept == {"broken": ["o300"], "shipments_fact": [], "orders_fact": ["o5"]}
+    again: dict = {}
+    archive.run_archive(spark, [table(sold(spark, [5, 300, 400]))], base, data.NOW, keep=lambda n, rows: again.update({n: ids(rows)}))
+    assert again == {"orders_fact": ["o5"]}
     entry = spark.read.json(f"{base}/metadata").first()
     assert entry["total_records"] == 2 and entry["archive_policy"]["older_than_minutes"] == 120
     assert entry["archived_collections"][0]["collection"] == "orders_fact" and len(entry["archive_id"]) == 36
@@ -137,23 +140,19 @@ def test_serving_records_expire_and_parse(spark):
         ]
     )
     path = scratch_path(spark, "serving")
-    serving.write_serving(served, path)
-    table = spark.read.schema(schemas.SERVING).parquet(path)
+    for version in (1, 2, 3):
+        serving.write_serving(served, path, version)
+    table = serving.read_serving(spark, path)
     top = serving.read_records(table, "kpi:top", "name string, score double", data.NOW).orderBy("position").collect()
     assert [tuple(r) for r in top] == [(1, "c", 9.0), (2, "a", 3.0)]
     assert serving.read_records(table, "kpi:all", "name string, score double", data.NOW).count() == 3
     assert serving.read_records(table, "kpi:all", "name string", data.NOW + timedelta(seconds=120)).count() == 0
     values = {r["kpi_key"]: r["value"] for r in serving.read_values(table, ["kpi:n", "kpi:last_update", "kpi:analysis_window_minutes"], data.NOW).collect()}
     assert values == {"kpi:n": "3", "kpi:last_update": "2025-03-01T12:00:00", "kpi:analysis_window_minutes": "15"}
-    document = serving.as_document(table, "kpi:top", data.NOW).first()["document"]
-    assert document == '[{"name":"c","score":9.0},{"name":"a","score":3.0}]'
-    with pytest.raises(Exception, match="more than 1 records"):
-        serving.as_document(table, "kpi:top", data.NOW, most=1).collect()
-
-
-def test_seeded_dimensions_replace_the_old_ones(spark):
-    base = scratch_path(spark, "dims")
-    for _ in range(2):
-        reference_dims.seed_dimensions(spark, base)
-    sizes = {t: scan(spark, schemas.TABLES[t], f"{base}/{t}").count() for t in reference_dims.SEED}
-    assert sizes == {"regions_dim": 4, "dcs_dim": 5, "skus_dim": 10, "suppliers_dim": 4}
+
+
+def test_replaced_table_has_the_new_rows_only(spark):
+    path = scratch_path(spark, "dims")
+    for n in (3, 2):
+        replace_table(spark.range(n).select(F.col("id").cast("string").alias("region_id")), path, T.StructType([T.StructField("region_id", T.StringType())]))
+    assert spark.read.parquet(path).count() == 2
