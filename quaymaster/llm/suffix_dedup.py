@@ -432,9 +432,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     A null text stays null. ``n_chars``, if there, is counted anew.
     """
-    done = cut_out(repeats(docs, F.struct(*docs.columns).alias("_doc")), ["_doc"], as_text=True)
-    text = F.when(F.size("spans") == 0, F.col("_doc.text").cast("string")).otherwise(F.col("kept"))
-    fresh = done.select("_doc", text.alias("_text"))
+    others = F.struct(F.col("text").isNull().alias("_none"), *[c for c in docs.columns if c != "text"])
+    done = cut_out(repeats(docs, others.alias("_doc")), ["_doc"], as_text=True)
+    fresh = done.select("_doc", F.when(~F.col("_doc._none"), F.col("kept")).alias("_text"))
     return fresh.select(*[
         F.col("_text").alias("text") if c == "text"
         else F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
