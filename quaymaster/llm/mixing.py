@@ -119,7 +119,9 @@ def permuted(index: Column, size: Column, *key: Column, rounds: int) -> Column:
 def slots_of(sources: DataFrame, settings: MixSettings) -> DataFrame:
     """The mix by slots: (number, shard, slot, pass, block)."""
     counts = running_total(draw_counts(sources, settings), ["number"], ["shard"], "n", "first")
-    slots = counts.select("number", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
+    # Few rows make many slots, so the tasks are fixed in number: adaptive execution would merge them by size.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = counts.repartition(tasks, "number", "shard").select("number", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
     known = slots.join(sources.select("number", "blocks"), "number")
     turn = F.floor(F.col("slot") / F.col("blocks")).cast("bigint")
     index = F.pmod("slot", F.col("blocks"))
