@@ -5,7 +5,8 @@ nearest vectors are those of largest inner product. Centroids come from a bounde
 whose distances grow with a cluster's size, which keeps the lists balanced. Every distinct vector goes
 to its nearest list and, if it lies near a boundary, to others whose centroids are hardly farther. Centroids are
 searched by a beam over a graph of near and random neighbours that every task holds in memory. A
-query reads the lists whose centroid is within a ratio of the nearest one's distance. The ratio is fitted:
+query reads the lists whose centroid is within a ratio of the nearest one's distance (or of the usual one, if
+that is more: a query may be a centroid). The ratio is fitted:
 the least that finds enough of the true neighbours of sample queries in the sample.
 
 Every row is indexed; equal vectors share one entry that keeps as many of their least ids as
@@ -130,6 +131,7 @@ class Index:
     norm: float  # largest, squared
     ratio: float
     settings: IndexSettings
+    typical: float = 0.0  # median distance of a vector from its nearest centroid
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         return np.concatenate([x, np.sqrt(np.maximum(0, self.norm - (x**2).sum(1)))[:, None]], axis=1)
@@ -145,7 +147,7 @@ class Index:
     def probes_of(self, q: np.ndarray, ratio: float | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) for the lists that each query reads."""
         nodes, far = self.graph.search(np.concatenate([q, np.zeros((len(q), 1))], axis=1), len(self.graph.centroids))
-        row, col = np.nonzero(far <= (ratio or self.ratio) * far[:, :1])
+        row, col = np.nonzero(far <= (ratio or self.ratio) * np.maximum(far[:, :1], self.typical))
         return row, nodes[row, col]
 
 
@@ -154,7 +156,9 @@ def fit_index(sample: np.ndarray, total: int, norm: float, settings: IndexSettin
     lists = int(max(1, min(settings.most_lists, round(total / settings.list_size), len(sample) // 4 or 1)))
     index = Index(None, norm, math.inf, settings)  # type: ignore[arg-type]
     graph = CentroidGraph(balanced_centroids(index.lifted(sample), lists, settings.seed), settings.degree, settings.seed)
-    index = Index(graph, norm, math.inf, settings)
+    near_far = [graph.search(index.lifted(sample[i : i + 512]), 16)[1][:, 0] for i in range(0, len(sample), 512)]
+    typical = float(np.median(np.concatenate(near_far)))
+    index = Index(graph, norm, math.inf, settings, typical)
     asked = sample[np.random.default_rng(settings.seed).permutation(len(sample))[:256]]
     near = np.argsort(-(asked @ sample.T), axis=1)[:, : min(k, len(sample))]
     held = np.zeros((len(sample), lists), bool)
@@ -168,7 +172,7 @@ def fit_index(sample: np.ndarray, total: int, norm: float, settings: IndexSettin
         hits = [(held[near[i]] & reads[i]).any(1).mean() for i in range(len(asked))]
         if np.mean(hits) >= settings.recall:
             break
-    return Index(graph, norm, ratio, settings)
+    return Index(graph, norm, ratio, settings, typical)
 
 
 # Spark -----------------------------------------------------------------------------
@@ -193,7 +197,7 @@ def as_matrix(column: pa.Array) -> np.ndarray:
 
 
 def listed(vectors: DataFrame, index: Index, probing: bool) -> DataFrame:
-    """``vectors`` (node, vec, ...) once for each list that holds, or for a query reads, them."""
+    """``vectors`` (node, vec, ...) once for each list that holds, or for a query reads, them; ``nearest`` marks one each."""
     others = [f for f in vectors.schema.fields]
 
     def work(batch: pa.RecordBatch):
@@ -202,9 +206,10 @@ def listed(vectors: DataFrame, index: Index, probing: bool) -> DataFrame:
             block = x[start : start + 512]
             row, found = index.probes_of(block) if probing else index.lists_of(block)
             part = batch.slice(start, len(block)).take(pa.array(row))
-            yield {**{f.name: part.column(f.name) for f in others}, "list": found}
+            nearest = np.concatenate([[True], row[1:] != row[:-1]])  # lists come nearest first
+            yield {**{f.name: part.column(f.name) for f in others}, "list": found, "nearest": nearest}
 
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in others] + ["list int"])
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in others] + ["list int", "nearest boolean"])
     return map_batches(vectors, work, schema)
 
 
@@ -242,21 +247,21 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
         "list", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), steps("qparts").alias("qpart"), "node", "least", "vec")
     right = reads.join(sizes, "list").select(
         "list", steps("parts").alias("part"), F.pmod(F.xxhash64("node"), F.col("qparts")).cast("int").alias("qpart"),
-        F.col("node").alias("qnode"), F.col("vec").alias("qvec"))
+        F.col("node").alias("qnode"), F.col("vec").alias("qvec"), "nearest")
 
     def match(a: pa.Table, b: pa.Table) -> pa.Table:
         found = {"qnode": [], "node": [], "least": [], "score": []}
         if a.num_rows and b.num_rows:
             v, node, least = as_matrix(a.column("vec").combine_chunks()), a.column("node").to_numpy(), a.column("least").to_numpy()
             q, qnode = as_matrix(b.column("qvec").combine_chunks()), b.column("qnode").to_numpy()
+            least_score = b.column("bound").to_numpy()
             for start in range(0, len(q), 256):
                 scores = q[start : start + 256] @ v.T
                 for i, s in enumerate(scores):
-                    if len(s) > k + 1:
-                        cut = np.partition(s, len(s) - k - 1)[len(s) - k - 1]
-                        some = np.flatnonzero(s >= cut)
-                    else:
-                        some = np.arange(len(s))
+                    some = np.flatnonzero(s >= least_score[start + i])
+                    if len(some) > k + 1:
+                        cut = np.partition(s[some], len(some) - k - 1)[len(some) - k - 1]
+                        some = some[s[some] >= cut]
                     some = some[np.lexsort((least[some], -s[some]))][: k + 1]
                     found["qnode"].append(np.full(len(some), qnode[start + i]))
                     found["node"].append(node[some])
@@ -266,7 +271,19 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
         return pa.table({c: join(x, np.float64 if c == "score" else np.int64) for c, x in found.items()})
 
     by = ["list", "part", "qpart"]
-    pairs = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(match, "qnode bigint, node bigint, least bigint, score double")
+
+    def matches(queries: DataFrame) -> DataFrame:
+        there = queries.select(*[F.col(c).alias(f"q_{c}") for c in by], "qnode", "qvec", "bound")
+        return left.groupBy(*by).cogroup(there.groupBy(*[f"q_{c}" for c in by])).applyInArrow(
+            match, "qnode bigint, node bigint, least bigint, score double")
+
+    # A query's nearest list gives it a score that its result cannot fall below; the other lists return what reaches it.
+    none = F.lit(float("-inf"))
+    first = matches(right.where("nearest").withColumn("bound", none))
+    in_rank = F.row_number().over(Window.partitionBy("qnode").orderBy(F.desc("score"), "least"))
+    bounds = materialise(
+        first.withColumn("_r", in_rank).where(F.col("_r") == k + 1).select("qnode", F.col("score").alias("bound")), "bounds")
+    pairs = matches(right.join(bounds, "qnode", "left").withColumn("bound", F.coalesce("bound", none)))
     single = pairs.groupBy("qnode", "node").agg(F.max("score").alias("score"), F.min("least").alias("least"))
     best = Window.partitionBy("qnode").orderBy(F.desc("score"), "least")
     few = single.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1)
