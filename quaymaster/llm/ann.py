@@ -40,6 +40,7 @@ class IndexSettings:
     recall: float = 0.97  # aim on the sample
     ratios: tuple[float, ...] = (1.05, 1.1, 1.15, 1.2, 1.25, 1.3, 1.4, 1.6, 2.0, 4.0)
     degree: int = 16
+    leading: int = 4  # lists read first, for a bound on the scores
     task_vectors: int = 5000
     task_queries: int = 2000
     seed: int = 11
@@ -197,7 +198,7 @@ def as_matrix(column: pa.Array) -> np.ndarray:
 
 
 def listed(vectors: DataFrame, index: Index, probing: bool) -> DataFrame:
-    """``vectors`` (node, vec, ...) once for each list that holds, or for a query reads, them; ``nearest`` marks one each."""
+    """``vectors`` (node, vec, ...) once for each list that holds, or for a query reads, them; ``leading`` marks the nearest few."""
     others = [f for f in vectors.schema.fields]
 
     def work(batch: pa.RecordBatch):
@@ -206,10 +207,10 @@ def listed(vectors: DataFrame, index: Index, probing: bool) -> DataFrame:
             block = x[start : start + 512]
             row, found = index.probes_of(block) if probing else index.lists_of(block)
             part = batch.slice(start, len(block)).take(pa.array(row))
-            nearest = np.concatenate([[True], row[1:] != row[:-1]])  # lists come nearest first
-            yield {**{f.name: part.column(f.name) for f in others}, "list": found, "nearest": nearest}
+            leading = np.arange(len(row)) - np.searchsorted(row, row) < index.settings.leading  # lists come nearest first
+            yield {**{f.name: part.column(f.name) for f in others}, "list": found, "leading": leading}
 
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in others] + ["list int", "nearest boolean"])
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in others] + ["list int", "leading boolean"])
     return map_batches(vectors, work, schema)
 
 
@@ -247,7 +248,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
         "list", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), steps("qparts").alias("qpart"), "node", "least", "vec")
     right = reads.join(sizes, "list").select(
         "list", steps("parts").alias("part"), F.pmod(F.xxhash64("node"), F.col("qparts")).cast("int").alias("qpart"),
-        F.col("node").alias("qnode"), F.col("vec").alias("qvec"), "nearest")
+        F.col("node").alias("qnode"), F.col("vec").alias("qvec"), "leading")
 
     def match(a: pa.Table, b: pa.Table) -> pa.Table:
         found = {"qnode": [], "node": [], "least": [], "score": []}
@@ -277,9 +278,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
         return left.groupBy(*by).cogroup(there.groupBy(*[f"q_{c}" for c in by])).applyInArrow(
             match, "qnode bigint, node bigint, least bigint, score double")
 
-    # A query's nearest list gives it a score that its result cannot fall below; the other lists return what reaches it.
+    # A query's leading lists give it a score that its result cannot fall below; all lists return what reaches it.
     none = F.lit(float("-inf"))
-    first = matches(right.where("nearest").withColumn("bound", none))
+    first = matches(right.where("leading").withColumn("bound", none)).groupBy("qnode", "node").agg(
+        F.max("score").alias("score"), F.min("least").alias("least"))
     in_rank = F.row_number().over(Window.partitionBy("qnode").orderBy(F.desc("score"), "least"))
     bounds = materialise(
         first.withColumn("_r", in_rank).where(F.col("_r") == k + 1).select("qnode", F.col("score").alias("bound")), "bounds")
