@@ -59,7 +59,7 @@ def test_no_line_is_joined_by_its_part(spark, capsys, name):
         plan = capsys.readouterr().out
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "keys=[l_partkey" in plan and not re.search(r"Join \[l_partkey", plan)
+    assert re.search(r"keys?=\[l_partkey", plan) and not re.search(r"Join \[l_partkey", plan)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
