@@ -191,6 +191,33 @@ def test_passage_whose_least_runs_are_frequent_elsewhere(docs, words):
     assert all(r["links"] == 0 for i, r in got.items() if i >= 100)
 
 
+def test_stray_repeats_do_not_hide_an_edited_passage():
+    rng = np.random.default_rng(9)
+    p = rng.integers(0, 2**60, 50).astype(np.uint64)
+    edited = p.copy()
+    edited[22:27] = rng.integers(0, 2**60, 5)
+    far = lambda n: rng.integers(0, 2**60, n).astype(np.uint64)
+    a = np.concatenate([far(100), p, far(300)])
+    for stray in (p[40:41], p[35:45]):
+        b = np.concatenate([stray, far(400), edited, far(200), stray, far(100)])
+        at_b = 400 + len(stray) + 40
+        for got in (compact_windows.shared_passage(a, b, 140, at_b), compact_windows.shared_passage(b, a, at_b, 140)):
+            assert got is not None
+            lo, hi = got[:2] if got[0] <= 140 < got[1] and got[1] <= 200 else got[2:]
+            assert lo <= 104 and hi >= 146 and hi - lo <= 60
+
+
+def test_a_passage_within_a_repeated_one(docs, words):
+    p = words(60, 1)
+    line = " ".join(p.split()[20:26])
+    changed = p.split()
+    changed[45] = "changed"
+    rows = [(1, words(50, 2) + " " + p + " " + words(50, 3)), (2, line + " " + words(300, 4) + " " + " ".join(changed) + " " + words(300, 5) + " " + line)]
+    got = {r["doc_id"]: r for r in compact_windows.shared_passages(docs(*rows)).collect()}
+    assert got[1]["class_id"] == got[2]["class_id"] == 1
+    assert all(sum(s["hi"] - s["lo"] for s in r["spans"]) in range(54, 76) for r in got.values())
+
+
 # SentencePiece -----------------------------------------------------------------------------------
 
 model = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
