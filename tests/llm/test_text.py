@@ -218,6 +218,16 @@ def test_a_passage_within_a_repeated_one(docs, words):
     assert all(sum(s["hi"] - s["lo"] for s in r["spans"]) in range(54, 76) for r in got.values())
 
 
+@pytest.mark.parametrize("salt", range(4))
+def test_passage_that_stands_twice_in_a_text(docs, words, salt):
+    p = words(70, 1)
+    rows = [(1, " ".join([words(60, 10 + salt), p, words(60, 20 + salt), p, words(60, 30 + salt)])), (2, words(50, 40 + salt) + " " + p)]
+    got = {r["doc_id"]: r for r in compact_windows.shared_passages(docs(*rows)).collect()}
+    for i, starts in ((1, (60, 190)), (2, (50,))):
+        assert len(got[i]["spans"]) == len(starts) and all(
+            s["lo"] <= x and s["hi"] >= x + 70 for s, x in zip(got[i]["spans"], starts))
+
+
 # SentencePiece -----------------------------------------------------------------------------------
 
 model = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
