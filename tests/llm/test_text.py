@@ -228,6 +228,22 @@ def test_passage_that_stands_twice_in_a_text(docs, words, salt):
             s["lo"] <= x and s["hi"] >= x + 70 for s, x in zip(got[i]["spans"], starts))
 
 
+def test_altered_passages_against_brute_force(docs, words):
+    import random
+
+    r, rows, alike = random.Random(3), [], set()
+    for i in range(120):
+        p = words(50, 10_000 + i).split()
+        q = list(p)
+        q[r.randrange(4, 46)] = f"changed{i}"
+        rows += [(2 * i, " ".join(p)), (2 * i + 1, " ".join(q))]
+        x, y = (set(minhash.shingles(t).tolist()) for _, t in rows[-2:])
+        if len(x & y) >= 0.8 * len(x | y):
+            alike.add(2 * i)
+    got = {r["doc_id"]: r["class_id"] for r in compact_windows.shared_passages(docs(*rows)).collect()}
+    assert len(alike) == 120 and {i for i in alike if got[i] == got[i + 1] == i} == alike
+
+
 # SentencePiece -----------------------------------------------------------------------------------
 
 model = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
