@@ -132,6 +132,22 @@ def test_near_copies_against_all_pairs(docs, words):
     assert sorted(x["doc_id"] for x in kept) == sorted(set(want.values())) and kept[0]["size"] == "x"
 
 
+def test_a_third_of_the_rows_are_copies(docs, words):
+    base = words(204, 1).split()
+    rows, similarities = [(0, " ".join(base))], []
+    for i in range(1, 51):
+        edited = list(base)
+        for k in range(3 + i % 2):
+            edited[20 + 40 * k + i % 7] = f"edit{i}at{k}"
+        rows.append((i, " ".join(edited)))
+        a, b = (set(minhash.shingles(t).tolist()) for t in (rows[0][1], rows[-1][1]))
+        similarities.append(len(a & b) / len(a | b))
+    assert 0.8 <= min(similarities) and max(similarities) <= 0.87
+    rows += [(100 + i, words(100, 500 + i) + " the same line stands in every other text of the table") for i in range(100)]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_copies(docs(*rows)).collect()}
+    assert {got[i] for i in range(51)} == {0} and all(got[i] == i for i in got if i >= 100)
+
+
 def test_near_copies_of_an_empty_table(docs):
     empty = docs((1, "a")).limit(0)
     assert minhash.near_copies(empty).collect() == [] and minhash.one_of_each(empty).collect() == []
