@@ -2,7 +2,8 @@
 
 A text is a multiset of paragraphs: its lines, cut after every eight words so that a text of
 one line has parts too. Every paragraph is hashed to a vector of 128 bits, one for each lane;
-a fingerprint is the number of paragraphs and the sum of the vectors, each lane modulo 2**16.
+a fingerprint is the number of paragraphs and the sum of the vectors, each lane modulo 2**31, which
+a text cannot reach: signs are right up to 2**30 paragraphs, and a paragraph has two characters or more.
 Sums do not depend on order, and a paragraph is added or removed by adding or subtracting
 its vector. Read as signs (bit 1: +1, bit 0: -1), two fingerprints' inner product over the
 lanes estimates the paragraphs they share; ``likeness`` is their cosine, cut to 0..1.
@@ -19,7 +20,7 @@ from quaymaster.llm.common import sha256_hex, texts_of
 from quaymaster.session import materialise
 
 LANES = 128
-MODULUS = 2**16
+MODULUS = 2**31
 PARAGRAPH = r"(?:\S+[^\S\n]*){1,8}"
 # Two lanes are summed in one long, 31 bits apart: exact up to 2**31 paragraphs of a text.
 HALF = 31
@@ -47,7 +48,7 @@ def hash_words(unit: str) -> dict[str, Column]:
 
 
 def unpacked(total: str, packs: list[str]) -> Column:
-    """Array of the paragraph count and the lanes, modulo 2**16; an empty text has none but zeros."""
+    """Array of the paragraph count and the lanes, modulo 2**31; an empty text has none but zeros."""
     below = F.lit((1 << HALF) - 1)
     lanes = [F.col(total)]
     for p in packs:
@@ -67,29 +68,29 @@ def fingerprints(df: DataFrame, key: list[str], text: str) -> DataFrame:
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
     """Fingerprint after adding (or, with -1, removing) the paragraphs of ``b``."""
-    return F.zip_with(a, b, lambda x, y: F.pmod(x + sign * y, F.lit(MODULUS)).cast("int"))
+    return F.zip_with(a, b, lambda x, y: F.pmod(x.cast("bigint") + sign * y, F.lit(MODULUS)).cast("int"))
 
 
 def as_text(lanes: Column) -> Column:
-    return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), 4, "0")), "")
+    return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
 
 
 def _signed(lanes: Column) -> Column:
-    n = F.element_at(lanes, 1)
+    n = F.element_at(lanes, 1).cast("bigint")
     half = MODULUS // 2
     return F.transform(
-        F.slice(lanes, 2, LANES), lambda c: (F.pmod(2 * c - n + half, F.lit(MODULUS)) - half).cast("bigint")
+        F.slice(lanes, 2, LANES), lambda c: (F.pmod(2 * c.cast("bigint") - n + half, F.lit(MODULUS)) - half).cast("double")
     )
 
 
 def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("bigint"), lambda s, x: s + x)
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Cosine of the sign sums of two fingerprints, 0 to 1; equal ones have 1."""
     x, y = _signed(a), _signed(b)
-    sizes = F.sqrt(_dot(x, x).cast("double")) * F.sqrt(_dot(y, y).cast("double"))
+    sizes = F.sqrt(_dot(x, x)) * F.sqrt(_dot(y, y))
     cosine = F.when(sizes > 0, _dot(x, y) / sizes).otherwise(0.0)
     return F.when(a == b, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), cosine)))
 

@@ -100,6 +100,11 @@ def test_one_document_and_none(docs):
     assert fingerprint.edited_likeness(docs((1, "x")).limit(0)).collect() == []
 
 
+def test_likeness_of_a_text_of_many_equal_lines(docs, words):
+    out = {r["doc_id"]: r for r in fingerprint.edited_likeness(docs((1, "same line\n" * 40_000), (2, words(100_000, 3)))).collect()}
+    assert out[1]["near_edited"] > 0.9 and out[1]["near_next"] < 0.5
+
+
 def test_fingerprints_add_and_remove(spark):
     df = spark.createDataFrame([(1, "a b\nc d"), (2, "c d\na b"), (3, "a b"), (4, "c d"), (5, "")], "id int, text string")
     f = {r["id"]: r["lanes"] for r in fingerprint.fingerprints(df, ["id"], "text").collect()}
