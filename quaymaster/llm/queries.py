@@ -56,7 +56,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_near_copies")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its class of near copies and the number of texts it is linked to."""
+    """Every document with its class of near copies; ``links`` counts the verified comparisons that joined its text to the
+    class, which depend on the leaders drawn, not the texts similar to it."""
     return minhash.near_copies(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_rows", "links")
 
 
