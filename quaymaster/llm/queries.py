@@ -6,7 +6,9 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quaymaster.llm import ann, chat, compact_windows, fingerprint, minhash, mixing, piece, suffix_dedup, toxicity, url_filter
+from quaymaster.llm import (
+    ann, chat, compact_windows, decontaminate, fingerprint, minhash, mixing, piece, suffix_dedup, toxicity, url_filter, vector_codes, whitening,
+)
 from quaymaster.llm.common import read, sha256_hex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +173,95 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op11_whiten")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every vector. ``deviation`` is null where no long holds it; ``deviation_exact`` always has it."""
+    done = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return done.select(
+        F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"),
+        F.col("deviation").alias("deviation_exact"), "whitened", "explained", "identity_error")
+
+
+def op12_sql() -> str:
+    """The rounds written out: parts and entries as lists, nearest entries by (distance, index), floors of exact sums."""
+    steps = [r"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, label, [floor(4096 * c::DOUBLE)::BIGINT FOR c IN embedding] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+parts AS MATERIALIZED (
+  SELECT row, vec_id, part, x[part * (len(x) // 8) + 1 : (part + 1) * (len(x) // 8)] AS v FROM kept, range(8) AS r(part)),
+e0 AS MATERIALIZED (
+  SELECT part, entry, v FROM (SELECT part, v, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM parts) WHERE entry < 16)"""]
+    for n in range(7):
+        steps.append(f"""
+a{n} AS MATERIALIZED (
+  SELECT row, part, min((far, entry)) AS best FROM (
+    SELECT row, p.part, entry, list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(p.v, e.v)])::BIGINT AS far
+    FROM parts p JOIN e{n} e ON p.part = e.part) GROUP BY row, part)""")
+        if n < 6:
+            steps.append(f"""
+s{n} AS MATERIALIZED (
+  SELECT part, entry, place, sum(value) AS total, count(*) AS rows FROM (
+    SELECT p.part, best[2] AS entry, unnest(range(len(v))) AS place, unnest(v) AS value FROM parts p JOIN a{n} a ON p.row = a.row AND p.part = a.part)
+  GROUP BY ALL),
+e{n + 1} AS MATERIALIZED (
+  SELECT e.part, e.entry, coalesce(u.v, e.v) AS v FROM e{n} e LEFT JOIN (
+    SELECT part, entry, list(((total - ((total % rows) + rows) % rows) // rows)::BIGINT ORDER BY place) AS v FROM s{n} GROUP BY part, entry) u
+  ON e.part = u.part AND e.entry = u.entry)""")
+    return "WITH " + ",".join(steps) + """,
+coded AS (
+  SELECT row, string_agg(format('{:02x}', best[2]), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error FROM a6 GROUP BY row),
+books AS (
+  SELECT sha256(string_agg(value, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM (
+    SELECT part, entry, unnest(range(len(v))) AS place, unnest(v)::VARCHAR AS value FROM e6))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (row), books"""
+
+
+@query("op12_vector_codes", op12_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of every vector."""
+    done = vector_codes.compress(read(spark, sf_dir, "embeddings"))
+    if done is None:
+        return spark.createDataFrame([], "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string")
+    digits = F.array_join(F.transform("code", lambda e: F.lpad(F.lower(F.hex(e)), 2, "0")), "")
+    return vector_codes.with_label_errors(done).select(
+        F.col("id").alias("vec_id"), digits.alias("code"), "error", "label_error", F.lit(done.books_sha256).alias("codebooks_sha256"))
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i + 1 : i + least(len(w), 10)], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(len(w) - least(len(w), 10) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT row, n, i, array_to_string(w[i + 1 : i + n], ' ') AS win
+  FROM (SELECT row, w, n, unnest(range(len(w) - n + 1)) AS i FROM docs, sizes WHERE len(w) >= n)),
+found AS (SELECT row, i, p.n, item_id FROM places p JOIN windows USING (win)),
+hits AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS place FROM found) GROUP BY row),
+named AS (
+  SELECT row, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT row, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (row) LEFT JOIN named USING (row)
+"""
+
+
+@query("op13_decontaminate", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of the benchmark, and the items they come from."""
+    found = decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    hit = F.coalesce(decontaminate.covered(F.col("spans")), F.lit(0).cast("bigint"))
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
