@@ -63,18 +63,52 @@ def shingles_of(windows: DataFrame, size: int) -> DataFrame:
     return one.withColumn("grams", runs(F.split("window", " "), F.col("size")))
 
 
+def run_hashes(words: Column, size: int) -> Column:
+    """Hash of every run of ``size`` words, in order."""
+    last = F.size(words) - size
+    each = F.transform(
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)]))
+    return F.when(last >= 0, each).otherwise(F.array().cast("array<bigint>"))
+
+
+def hash_of(gram: Column, sizes: list[int]) -> Column:
+    """The hash of a shingle as ``run_hashes`` makes it."""
+    words = F.split(gram, " ")
+    same = [F.when(F.size(words) == s, F.xxhash64(*[F.get(words, F.lit(k)) for k in range(s)])) for s in sizes]
+    return F.when(gram == "", F.lit(0)).otherwise(F.coalesce(*same, F.lit(0)))
+
+
 def shared_shingles(docs: DataFrame, wanted: DataFrame, sizes: list[int]) -> DataFrame:
-    """(row, doc_id, n_words, pos, gram): a row of position -1 for every document, and one for every shingle in ``wanted``."""
+    """(row, doc_id, n_words, pos, gram): a row of position -1 for every document, and one for every shingle in ``wanted``.
+
+    The empty text is in ``wanted`` and stands once in every document, so that every one keeps a row in the join.
+    """
     cut = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), words_of(F.col("text")).alias("words"))
-    words = F.col("words")
-    each = [F.transform(runs(words, s), lambda gram, i: F.struct(i.alias("pos"), gram.alias("gram"))) for s in sizes]
-    # The empty text is no shingle; it is in ``wanted`` so that every document keeps a row in the join.
-    mark = F.array(F.struct(F.lit(-1).alias("pos"), F.lit("").alias("gram")))
-    spread = cut.select("row", "doc_id", F.size("words").cast("bigint").alias("n_words"), F.explode(F.concat(mark, *each)).alias("at"))
-    placed = spread.select("row", "doc_id", "n_words", F.col("at.pos").alias("pos"), F.col("at.gram").alias("gram"))
-    size = wanted.agg(F.coalesce(F.sum(F.octet_length("gram") + ROW_BYTES), F.lit(0))).first()[0]
-    return placed.join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, "gram")
+    words, kept = F.col("words"), ["row", "doc_id", F.size("words").cast("bigint").alias("n_words")]
+    # Positions count on from the runs of one size to those of the next.
+    ends, end = [], F.lit(0)
+    for s in sizes:
+        ends.append((s, end, end + F.greatest(F.col("n_words") - s + 1, F.lit(0))))
+        end = ends[-1][2]
+    at, pos, size = F.col("at") - 1, F.when(F.col("at") == 0, F.lit(-1)), F.when(F.col("at") == 0, F.lit(0))
+    for s, start, stop in ends:
+        pos, size = pos.when(at < stop, (at - start).cast("int")), size.when(at < stop, F.lit(s))
+    # The arrays are never empty; the outer explode keeps Spark from making them once more to test that.
+    need = wanted.agg(F.coalesce(F.sum(F.octet_length("gram") + ROW_BYTES), F.lit(0))).first()[0]
+    if need > BROADCAST_BYTES:
+        grams = cut.select(*kept, F.concat(F.array(F.lit("")), *[runs(words, s) for s in sizes]).alias("grams"))
+        placed = grams.select("row", "doc_id", "n_words", F.posexplode_outer("grams").alias("at", "gram"))
+        return placed.withColumn("pos", pos).join(wanted, "gram").select("row", "doc_id", "n_words", "pos", "gram")
+    # Hashes find the few shingles whose text is made and compared. The words of a document stay where they are meanwhile:
+    # explode, join and comparison are one generated function. Two inequalities, as an equation would become a key
+    # of the join, to be made for every shingle.
+    hashes = cut.select(*kept, "words", F.concat(F.array(F.lit(0).cast("bigint")), *[run_hashes(words, s) for s in sizes]).alias("hashes"))
+    placed = hashes.select("row", "doc_id", "n_words", "words", F.posexplode_outer("hashes").alias("at", "hash"))
+    near = placed.join(F.broadcast(wanted.withColumn("hash", hash_of(F.col("gram"), sizes))), "hash")
+    said = F.when(F.col("at") == 0, "").otherwise(F.array_join(F.slice("words", F.greatest(pos, F.lit(0)) + 1, size), " "))
+    same = near.where((F.col("gram") >= said) & (F.col("gram") <= said))
+    return same.select("row", "doc_id", "n_words", pos.alias("pos"), "gram")
 
 
 def prefixes(grams: DataFrame, counts: DataFrame) -> DataFrame:
