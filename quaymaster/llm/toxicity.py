@@ -2,7 +2,7 @@
 
 1. A character language model (four letters, interpolated with shorter contexts) is counted
    over the words of all documents.
-2. A word with digits or signs for letters, with a letter repeated three times or more, or
+2. A word with digits or signs for letters, with a letter repeated three times or more or three letters doubled, or
    spaced out letter by letter is a lattice: each character may stand for some letters or for
    nothing, a run for one or two letters, and a spaced word may end after any letter. The
    Viterbi path under the language model is the restored word. Any other word's lattice has
@@ -36,7 +36,6 @@ from quaymaster.llm.common import blocks_of, map_batches, ship_package, texts_of
 from quaymaster.session import materialise
 
 SAMPLE_ROWS = 20_000  # labelled rows to learn from, at most
-MOST_FEATURES = 6_000  # of the fitted model
 THRESHOLD = 0.7
 
 # Letters that a digit or sign may stand for, and letters of other scripts that look alike.
@@ -52,8 +51,9 @@ LETTERS = 26
 OTHER = LETTERS + 1  # any letter outside a-z
 SIZE = LETTERS + 2  # with 0 for the end of a word
 PART = re.compile(r"(?:[^\W_]|[@$!|+€£¢(*#])+")
-SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+*])(?:[ .\-_*/,]+(?:[^\W_]|[@$!|+*])(?![^\W_@$!|+])){2,}")
+SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+*])(?:[\s.\-_*/,]+(?:[^\W_]|[@$!|+*])(?![^\W_@$!|+])){2,}")
 REPEATED = re.compile(r"(.)\1\1")
+DOUBLES = re.compile(r"(.)\1")
 
 # Costs in nats of what a disguise may have done.
 SUBSTITUTED, DROPPED_SIGN, DROPPED_DIGIT, DOUBLED, PARTED = 0.7, 1.0, 4.0, 0.7, 3.0
@@ -136,17 +136,34 @@ def fold(text: str) -> str:
     return text.translate(LOOKALIKE) if re.search("[a-z]", text) else text
 
 
+def drawn_out(part: str) -> bool:
+    """Whether a letter stands three times in a row, or three letters stand twice."""
+    return bool(REPEATED.search(part)) or len(DOUBLES.findall(part)) > 2
+
+
 class Restorer:
-    """Viterbi decoder of disguised words; what it has decoded it remembers, up to a bound."""
+    """Viterbi decoder of disguised words; what it has decoded it remembers, up to a number of characters."""
 
-    REMEMBERED = 300_000
+    REMEMBERED = 1_000_000  # characters; an entry takes about 40 bytes a character
+    LONGEST = 64
 
     def __init__(self, log_probability: np.ndarray) -> None:
         self.lm = log_probability.tolist()
         self.memo: dict[str, tuple[str, ...]] = {}
+        self.held = 0
+
+    def remember(self, key: str, found: tuple[str, ...]) -> tuple[str, ...]:
+        if len(key) <= self.LONGEST:
+            if self.held >= self.REMEMBERED:
+                self.memo.clear()
+                self.held = 0
+            self.memo[key] = found
+            self.held += len(key)
+        return found
 
     def lattice(self, part: str, spaced: bool) -> list[list[tuple[str, float]]]:
         """For each run of one character the strings that it may stand for, with their cost; a space ends a word."""
+        doubled = drawn_out(part)
         runs, i = [], 0
         while i < len(part):
             j = i
@@ -157,7 +174,7 @@ class Restorer:
             if letters is None:
                 if n == 1:
                     options = [(c, 0.0)]
-                elif n == 2:
+                elif n == 2 and not doubled:
                     options = [(c + c, 0.0), (c, DOUBLED + 2.0)]
                 else:
                     options = [(c, 0.0), (c + c, DOUBLED)]
@@ -207,14 +224,10 @@ class Restorer:
                 words += [p for p in PART.findall(token.casefold()) if p.isalpha() and not p.isascii()]
             for part in PART.findall(plain):
                 if part.isalpha():
-                    words += [part] if not REPEATED.search(part) else self.decode(part)
-                elif any(c.isalpha() for c in part):
+                    words += [part] if not drawn_out(part) else self.decode(part)
+                elif any(c.isalpha() for c in part) or len(part) > 2 and len(set(part)) > 1 and not part.isdigit():
                     words += self.decode(part)
-            found = tuple(words)
-            if len(token) <= 64:
-                if len(self.memo) >= self.REMEMBERED:
-                    self.memo.clear()
-                self.memo[token] = found
+            found = self.remember(token, tuple(words))
         return found
 
     def words(self, text: str) -> set[str]:
@@ -224,13 +237,11 @@ class Restorer:
         for t in set(text.split()):
             out.update(token(t))
         for m in SPACED.finditer(text):
-            letters = fold(re.sub(r"[ .\-_/,]+", "", m.group()))
+            letters = fold(re.sub(r"[\s.\-_/,]+", "", m.group()))
             if any(c.isalpha() for c in letters):
                 key = " " + letters
                 found = self.memo.get(key)
-                if found is None:
-                    found = self.memo[key] = self.decode(letters, spaced=True)
-                out.update(found)
+                out.update(found if found is not None else self.remember(key, self.decode(letters, spaced=True)))
         return out
 
 
@@ -320,8 +331,8 @@ def fit(docs: DataFrame, sample: DataFrame, model: Broadcast) -> Classifier:
     z = F.log(up / down) / F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("n") + 0.5))
     counts = seen.select("toxic", F.explode("found").alias("f")).groupBy("f").agg(
         F.count_if(F.col("toxic") == 1).alias("p"), F.count_if(F.col("toxic") != 1).alias("n"))
-    chosen = counts.where("p >= 3").withColumn("z", z).where("z > 3").orderBy(F.desc("z"), "f").limit(MOST_FEATURES).select("f", "z")
-    names = [r["f"] for r in chosen.collect()]
+    chosen = counts.where("p >= 3").withColumn("z", z).where("z > 3").select("f")
+    names = sorted(r["f"] for r in chosen.collect())  # words of the sample, which bounds them
     if not names:
         share = (pos + 1) / (pos + neg + 2)
         return Classifier(math.log(share / (1 - share)), {})
@@ -337,26 +348,27 @@ def fit(docs: DataFrame, sample: DataFrame, model: Broadcast) -> Classifier:
     return Classifier(float(b), {f: float(w[i]) for f, i in place.items() if abs(w[i]) > 1e-6})
 
 
-def scored(docs: DataFrame, classifier: Classifier, model: Broadcast) -> DataFrame:
-    """``docs`` with ``_score`` added; other columns pass through."""
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + ["_score double"])
+def score_of(text: Column, classifier: Classifier, model: Broadcast) -> Column:
+    """Score of a text. Only the text goes to the Python worker; the other columns of a row stay where they are."""
 
-    def work(batch: pa.RecordBatch):
+    def work(texts: pa.Array) -> pa.Array:
         tool = restorer(model)
-        lengths = np.nan_to_num(pa.compute.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
-        for start, stop in blocks_of(lengths):
-            part = batch.slice(start, stop - start)
-            scores = [classifier.score(tool.words(t or "")) for t in part.column("text").to_pylist()]
-            yield {**{n: part.column(n) for n in part.schema.names}, "_score": scores}
+        return pa.array([classifier.score(tool.words(t.as_py() or "")) for t in texts], pa.float64())
 
-    return map_batches(docs, work, schema)
+    return F.arrow_udf(work, "double")(text.cast("string"))
 
 
-def with_scores(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> DataFrame:
-    """Language model, fit and scores in one: ``docs`` with ``_score``.
+def score_column(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Column:
+    """Language model and fit in one: the score of the rows of ``docs``, for a filter or a new column.
 
     ``usable`` is a condition on ``doc_id`` that a label must meet to be learned from.
     """
+    ship_package(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(language_model(docs))
     sample = materialise(learning_rows(labels, usable), "toxicity-labels")
-    return scored(docs, fit(docs, sample, model), model)
+    return score_of(docs["text"], fit(docs, sample, model), model)
+
+
+def with_scores(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> DataFrame:
+    """``docs`` with ``_score`` (in place of a column of that name)."""
+    return docs.withColumn("_score", score_column(docs, labels, usable))
