@@ -152,7 +152,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     holders = materialise(windows_of(benchmark, window), "item-windows")
     grams = materialise(shingles_of(holders, size), "item-shingles")
     sizes = sorted(r[0] for r in grams.select("size").distinct().collect())  # at most ``size`` numbers
-    mark = docs.sparkSession.createDataFrame([("",)], "gram string")
+    mark = docs.sparkSession.range(1).select(F.lit("").alias("gram"))
     wanted = materialise(grams.select(F.explode("grams").alias("gram")).union(mark).distinct(), "item-grams")
     found = materialise(shared_shingles(docs, wanted, sizes), "shared-shingles")
     # Aggregates are written before they are joined: a side that is a plain exchange can be split at a hot key.
