@@ -39,8 +39,24 @@ def ship_package(spark: SparkSession) -> None:
     sc._quaymaster_shipped = True
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]], schema: str) -> DataFrame:
-    """``mapInArrow`` over a function that yields column dictionaries for one input batch."""
+_HELD: dict = {}
+
+
+def held(key, make: Callable):
+    """The one object that a Python worker keeps from task to task; another key replaces it, as workers outlive a stage."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Give up what the worker has kept for an earlier stage."""
+    _HELD.clear()
+
+
+def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]], schema: str, keeps: bool = False) -> DataFrame:
+    """``mapInArrow`` over a function that yields column dictionaries for one input batch; ``keeps`` if it uses ``held``."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -48,6 +64,8 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]],
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            release()
         for batch in batches:
             for columns in work(batch):
                 yield pa.RecordBatch.from_arrays(

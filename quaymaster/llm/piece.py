@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -28,7 +27,7 @@ import pyarrow.compute
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from quaymaster.llm.common import blocks_of, map_batches, texts_of
+from quaymaster.llm.common import blocks_of, held, map_batches, texts_of
 
 SPACE = "▁"
 REMEMBERED = 300_000  # encodings of stretches in each of the two generations that a worker keeps
@@ -149,10 +148,9 @@ class LastTokenTable:
         return ids
 
 
-@lru_cache(maxsize=2)
 def table_of(model: bytes) -> LastTokenTable:
-    """The table of a worker; it is built once and serves all its tasks."""
-    return LastTokenTable(model)
+    """The table of a worker; it is built once and serves all its tasks of a stage."""
+    return held(("pieces", model), lambda: LastTokenTable(model))
 
 
 def model_bytes(path: str) -> bytes:
@@ -183,7 +181,7 @@ def encode_columns(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with its text replaced by ``ids`` (end id last) and ``decoded``."""
     others = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others] + ["ids array<int>", "decoded string"])
-    return map_batches(docs, encoder(model_bytes(path)), schema)
+    return map_batches(docs, encoder(model_bytes(path)), schema, keeps=True)
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:

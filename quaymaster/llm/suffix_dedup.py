@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymaster.llm.common import blocks_of, map_batches, mix64, ship_package, window_minima
+from quaymaster.llm.common import blocks_of, held, map_batches, mix64, ship_package, window_minima
 from quaymaster.session import materialise
 
 SPAN = 200
@@ -52,12 +52,15 @@ FACTOR = 0xD6E8FEB86659FD93
 INVERSE = pow(FACTOR, -1, 1 << 64)
 
 
-@lru_cache(maxsize=4)
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the factor and of its inverse, modulo 2**64."""
-    up, down = np.full(n + 1, FACTOR, np.uint64), np.full(n + 1, INVERSE, np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+
+    def make() -> tuple[np.ndarray, np.ndarray]:
+        up, down = np.full(n + 1, FACTOR, np.uint64), np.full(n + 1, INVERSE, np.uint64)
+        up[0] = down[0] = 1
+        return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+
+    return held(("powers", n), make)
 
 
 class RangeHash:

@@ -25,6 +25,7 @@ import re
 import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,11 @@ import pyarrow.compute
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymaster.llm.common import blocks_of, map_batches, ship_package, texts_of
+from quaymaster.llm.common import blocks_of, held, map_batches, release, ship_package, texts_of
 from quaymaster.session import materialise
 
 SAMPLE_ROWS = 20_000  # labelled rows to learn from, at most
+CHANCE_FEATURES = 12  # that the bar for a feature lets through, if none of all told anything
 THRESHOLD = 0.7
 
 # Letters that a digit or sign may stand for, and letters of other scripts that look alike.
@@ -88,6 +90,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     """
 
     def count(batches):
+        release()
         total = np.zeros(SIZE**4, np.int64)
         table = letter_classes()
         for batch in batches:
@@ -144,19 +147,27 @@ def drawn_out(part: str) -> bool:
 class Restorer:
     """Viterbi decoder of disguised words; what it has decoded it remembers, up to a number of characters."""
 
-    REMEMBERED = 1_000_000  # characters; an entry takes about 40 bytes a character
+    REMEMBERED = 1_000_000  # characters in each of two generations; an entry takes about 40 bytes a character
     LONGEST = 64
 
     def __init__(self, log_probability: np.ndarray) -> None:
         self.lm = log_probability.tolist()
         self.memo: dict[str, tuple[str, ...]] = {}
+        self.older: dict[str, tuple[str, ...]] = {}
         self.held = 0
 
+    def recall(self, key: str) -> tuple[str, ...] | None:
+        found = self.memo.get(key)
+        if found is None:
+            found = self.older.get(key)
+            if found is not None:
+                self.remember(key, found)
+        return found
+
     def remember(self, key: str, found: tuple[str, ...]) -> tuple[str, ...]:
         if len(key) <= self.LONGEST:
             if self.held >= self.REMEMBERED:
-                self.memo.clear()
-                self.held = 0
+                self.older, self.memo, self.held = self.memo, {}, 0
             self.memo[key] = found
             self.held += len(key)
         return found
@@ -216,7 +227,7 @@ class Restorer:
 
     def token(self, token: str) -> tuple[str, ...]:
         """Restored words of a token without white space."""
-        found = self.memo.get(token)
+        found = self.recall(token)
         if found is None:
             words: list[str] = []
             plain = fold(token)
@@ -240,7 +251,7 @@ class Restorer:
             letters = fold(re.sub(r"[\s.\-_/,]+", "", m.group()))
             if any(c.isalpha() for c in letters):
                 key = " " + letters
-                found = self.memo.get(key)
+                found = self.recall(key)
                 out.update(found if found is not None else self.remember(key, self.decode(letters, spaced=True)))
         return out
 
@@ -254,16 +265,10 @@ def features(words: set[str]) -> set[str]:
     return words | {"^" * k + start for start, n in shared.items() for k in range(1, min(n, 4) + 1)}
 
 
-_RESTORERS: dict[bytes, Restorer] = {}
-
-
 def restorer(model: Broadcast) -> Restorer:
-    """One decoder for each worker and model, kept from task to task."""
+    """One decoder for each worker and model, kept from task to task of a stage."""
     key = hashlib.md5(model.value.tobytes()).digest()
-    if key not in _RESTORERS:
-        _RESTORERS.clear()
-        _RESTORERS[key] = Restorer(model.value)
-    return _RESTORERS[key]
+    return held(("restorer", key), lambda: Restorer(model.value))
 
 
 # Classifier ----------------------------------------------------------------------------
@@ -321,7 +326,7 @@ def fit(docs: DataFrame, sample: DataFrame, model: Broadcast) -> Classifier:
             "found": [sorted(features(tool.words(t))) for t in batch.column("text").to_pylist()],
         }
 
-    seen = materialise(map_batches(texts, work, "h bigint, toxic int, found array<string>"), "toxicity-sample")
+    seen = materialise(map_batches(texts, work, "h bigint, toxic int, found array<string>", keeps=True), "toxicity-sample")
     pos, neg = seen.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") != 1)).first()
     if not pos or not neg:
         share = (pos + 1) / (pos + neg + 2)
@@ -331,8 +336,11 @@ def fit(docs: DataFrame, sample: DataFrame, model: Broadcast) -> Classifier:
     z = F.log(up / down) / F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("n") + 0.5))
     counts = seen.select("toxic", F.explode("found").alias("f")).groupBy("f").agg(
         F.count_if(F.col("toxic") == 1).alias("p"), F.count_if(F.col("toxic") != 1).alias("n"))
-    chosen = counts.where("p >= 3").withColumn("z", z).where("z > 3").select("f")
-    names = sorted(r["f"] for r in chosen.collect())  # words of the sample, which bounds them
+    # So many features are tested that some stand out by chance alone; the bar is where a few would.
+    tested = counts.where("p >= 3").withColumn("z", z)
+    bar = max(3.0, NormalDist().inv_cdf(max(0.5, 1 - CHANCE_FEATURES / max(1, tested.count()))))
+    chosen = tested.where(F.col("z") > bar).select("f")
+    names = sorted(r["f"] for r in chosen.collect())  # from the words of the sample, which bounds them
     if not names:
         share = (pos + 1) / (pos + neg + 2)
         return Classifier(math.log(share / (1 - share)), {})
