@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quaymaster.functions.scalars import instant, moment, plus_days, ratio, stable_id
-from quaymaster.operators.running import running_total
+from quaymaster.operators.running import floored_total
 
 PAIR = ["sku_id", "dc_id"]
 
@@ -80,39 +80,46 @@ def receive_shipments(
 # Fulfilment -----------------------------------------------------------------------
 
 
-def fulfil_orders(orders: DataFrame, state: DataFrame) -> DataFrame:
-    """Serve orders in order of arrival from the stock of their pair.
+def ledger(state: DataFrame, orders: DataFrame, received: DataFrame | None = None) -> DataFrame:
+    """Every movement of a pair in order, with the stock before and after it.
 
-    ``(order_ts, order_id)`` has to be unique within a pair. The opening stock
-    enters as the first movement of its pair, so what is left before an order is
-    the negative running total, and no join with the state is needed.
+    Step 0 is the opening stock (none if below zero), 1 a receipt, 2 an order, which takes what is there and no more
+    than it asks for. At equal times a receipt precedes an order. ``(order_ts, order_id)`` has to be unique within a pair.
+    Opening stock and receipts enter as movements like the orders, so no join with the state is needed, and
+    one sorted pass gives stock, fulfilment and balances. ``units`` is what moved; ``requested_qty`` and ``order_id`` are null
+    but for orders.
     """
-    columns = ["order_id", *PAIR, "requested_qty", "order_ts"]
-    opening = state.select(
-        F.lit(None).cast(orders.schema["order_id"].dataType).alias("order_id"),
-        *PAIR,
-        F.lit(None).cast("bigint").alias("requested_qty"),
-        F.lit(None).cast(orders.schema["order_ts"].dataType).alias("order_ts"),
-        F.lit(0).alias("_step"),
-        (-F.col("on_hand_qty")).cast("bigint").alias("_units"),
-    )
-    asked = orders.select(
-        *columns[:-2],
-        F.col("requested_qty").cast("bigint"),
-        "order_ts",
-        F.lit(1).alias("_step"),
-        F.col("requested_qty").cast("bigint").alias("_units"),
-    )
-    served = running_total(
-        opening.unionByName(asked), PAIR, ["_step", "order_ts", "order_id"], "_units", "_used"
-    ).where(F.col("_step") == 1)
-    filled = F.greatest(F.lit(0), F.least("requested_qty", -F.col("_used")))
-    return (
-        served.withColumn("fulfilled_qty", filled)
-        .withColumn("lost_sales_qty", F.col("requested_qty") - F.col("fulfilled_qty"))
-        .withColumn("lost_sale_flag", F.col("lost_sales_qty") > 0)
-        .select(*columns, "fulfilled_qty", "lost_sales_qty", "lost_sale_flag")
-    )
+    id_type, ts_type = orders.schema["order_id"].dataType, orders.schema["order_ts"].dataType
+    nothing, quantity = F.lit(None).cast("bigint"), lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(0))
+
+    def rows(frame, dc, ts, step, order_id, movement_id, asked, units):
+        return frame.select(
+            "sku_id", F.col(dc).alias("dc_id"), ts.cast(ts_type).alias("moved_ts"), F.lit(step).alias("step"),
+            order_id.cast(id_type).alias("order_id"), movement_id.cast("string").alias("movement_id"),
+            asked.cast("bigint").alias("requested_qty"), units.alias("_units"))
+
+    moves = rows(state, "dc_id", F.lit(None), 0, F.lit(None), F.lit(""), nothing, F.greatest(F.lit(0), quantity("on_hand_qty")))
+    moves = moves.unionByName(
+        rows(orders, "dc_id", F.col("order_ts"), 2, F.col("order_id"), F.col("order_id"), F.col("requested_qty"), -quantity("requested_qty")))
+    if received is not None:
+        moves = moves.unionByName(rows(
+            received, "destination_dc_id", F.col("actual_arrival_ts"), 1, F.lit(None), F.col("shipment_id"), nothing, quantity("quantity")))
+    order = ["moved_ts", "step", "order_id", "movement_id"]
+    return floored_total(moves, PAIR, order, "_units", "balance_before", "balance_after").withColumn(
+        "units", F.col("balance_after") - F.col("balance_before")).drop("_units")
+
+
+def fulfilled_orders(moves: DataFrame) -> DataFrame:
+    """The orders of a ledger with what they got and what was lost."""
+    asked, got = F.coalesce("requested_qty", F.lit(0)), -F.col("units")
+    return moves.where(F.col("step") == 2).select(
+        "order_id", *PAIR, "requested_qty", F.col("moved_ts").alias("order_ts"), got.alias("fulfilled_qty"),
+        (asked - got).alias("lost_sales_qty"), (asked > got).alias("lost_sale_flag"))
+
+
+def fulfil_orders(orders: DataFrame, state: DataFrame, received: DataFrame | None = None) -> DataFrame:
+    """Serve orders in order of arrival from the opening stock of their pair and the shipments received before them."""
+    return fulfilled_orders(ledger(state, orders, received))
 
 
 def state_after_orders(state: DataFrame, orders: DataFrame, as_of: datetime) -> DataFrame:
@@ -125,51 +132,14 @@ def state_after_orders(state: DataFrame, orders: DataFrame, as_of: datetime) ->
 # Balance -----------------------------------------------------------------------------
 
 
-def movements(state: DataFrame, fulfilled: DataFrame, received: DataFrame) -> DataFrame:
-    """Opening stock, receipts and fulfilled orders as signed units.
-
-    At equal times a receipt precedes an order.
-    """
-    ts_type = fulfilled.schema["order_ts"].dataType
-    opening = state.select(
-        *PAIR, F.lit(None).cast(ts_type).alias("moved_ts"), F.lit(0).alias("step"),
-        F.lit("").alias("movement_id"), F.col("on_hand_qty").cast("bigint").alias("units"),
-    )
-    receipts = received.select(
-        "sku_id", F.col("destination_dc_id").alias("dc_id"), F.col("actual_arrival_ts").alias("moved_ts"),
-        F.lit(1).alias("step"), F.col("shipment_id").cast("string").alias("movement_id"),
-        F.col("quantity").cast("bigint").alias("units"),
-    )
-    sold = fulfilled.select(
-        *PAIR, F.col("order_ts").alias("moved_ts"), F.lit(2).alias("step"),
-        F.col("order_id").cast("string").alias("movement_id"), (-F.col("fulfilled_qty")).cast("bigint").alias("units"),
-    )
-    return opening.unionByName(receipts).unionByName(sold)
-
-
 def inventory_balance(moves: DataFrame) -> DataFrame:
-    """Stock after every movement: the earlier balance plus receipts minus fulfilled units."""
-    return (
-        running_total(moves, PAIR, ["moved_ts", "step", "movement_id"], "units", "balance_before")
-        .withColumn("balance_after", F.col("balance_before") + F.col("units"))
-    )
-
+    """Stock before and after every movement of a ledger."""
+    return moves.select(*PAIR, "moved_ts", "step", "movement_id", "units", "balance_before", "balance_after")
 
-def closing_balance(state: DataFrame, orders: DataFrame, received: DataFrame) -> DataFrame:
-    """Stock of every pair after all its movements.
 
-    Served in order of arrival, orders take from the opening stock what their total asks for and
-    no more than there is, so neither a running total nor the single orders are needed.
-    """
-    opening = state.select(*PAIR, F.col("on_hand_qty").cast("bigint").alias("_opening"))
-    asked = orders.groupBy(*PAIR).agg(F.sum("requested_qty").alias("_asked"))
-    arrived = received_units(received)
-    nought = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
-    sold = F.greatest(F.lit(0), F.least(nought("_asked"), nought("_opening")))
-    return (
-        opening.join(asked, PAIR, "full").join(arrived, PAIR, "full")
-        .select(*PAIR, (nought("_opening") + nought("delta") - sold).alias("closing_qty"))
-    )
+def closing_balance(moves: DataFrame) -> DataFrame:
+    """Stock of every pair after all movements of a ledger: what has moved in all, as a ledger starts at zero."""
+    return moves.groupBy(*PAIR).agg(F.sum("units").alias("closing_qty"))
 
 
 # Reorder and policy ------------------------------------------------------------------------

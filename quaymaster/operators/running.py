@@ -13,19 +13,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from quaymaster.session import materialise
 
 
+def _slices(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows with the number of their slice; written, so that the number stays even if executors are lost later."""
+    return materialise(df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()), "slices")
+
+
+def _same_slice(keys: list[str]) -> Column:
+    same: Column = F.col("_slice") == F.col("_c_slice")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_c_{key}"))
+    return same
+
+
+def _carried_keys(keys: list[str]) -> list[Column]:
+    return [F.col("_slice").alias("_c_slice"), *[F.col(k).alias(f"_c_{k}") for k in keys]]
+
+
 def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the earlier rows of the same key.
 
-    ``order`` has to be total within a key. The sliced rows are written to the shared folder, so that the slice numbers used
-    twice below are the same even if executors are lost in between.
-
-    A key that lies in several slices is the first or the last key of each of
-    them, so the carried table has at most two rows per slice: that bound is what
+    ``order`` has to be total within a key. A key that lies in several slices is the first or the last
+    key of each of them, so the carried table has at most two rows per slice: that bound is what
     allows the broadcast.
     """
-    sliced = materialise(
-        df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()), "slices"
-    )
+    sliced = _slices(df, keys, order)
     by_key = Window.partitionBy(*keys)
     earlier = by_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
@@ -34,16 +45,48 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], value: str,
         .withColumn("_slices", F.count("*").over(by_key))
         .where(F.col("_slices") > 1)
         .withColumn("_carry", F.sum("_total").over(earlier))
-        .select(F.col("_slice").alias("_c_slice"), *[F.col(k).alias(f"_c_{k}") for k in keys], "_carry")
+        .select(*_carried_keys(keys), "_carry")
     )
-    same: Column = F.col("_slice") == F.col("_c_slice")
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_c_{key}"))
     inside = Window.partitionBy("_slice", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0)
     return (
         sliced.withColumn("_inside", F.sum(value).over(inside))
-        .join(F.broadcast(carried), same, "left")
+        .join(F.broadcast(carried), _same_slice(keys), "left")
         .withColumn(out, F.coalesce("_inside", zero) + F.coalesce("_carry", zero))
         .select(*df.columns, out)
     )
+
+
+def floored_total(df: DataFrame, keys: list[str], order: list[str], value: str, before: str, after: str) -> DataFrame:
+    """Add the level of a key ``before`` and ``after`` each row, if it starts at zero, moves by ``value`` and never falls below zero.
+
+    A row is the function x -> max(0, x + value), and rows in sequence compose to x -> max(a, x + b), with b their sum
+    and a what the floor gives back. With running sum S and least running sum m (at most 0), the level is
+    S - m. So a slice is summed up by two numbers, its sum and its least running sum, and those of the earlier slices
+    of a key compose to the two that are carried in. The bound of the broadcast is that of ``running_total``.
+    """
+    upto = Window.partitionBy("_slice", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    earlier_rows = upto.rowsBetween(Window.unboundedPreceding, -1)
+    runs = materialise(
+        _slices(df, keys, order).withColumn("_run", F.sum(value).over(upto))
+        .withColumns({"_low": F.min("_run").over(upto), "_low_before": F.min("_run").over(earlier_rows)}),
+        "runs",
+    )
+    by_key = Window.partitionBy(*keys)
+    earlier = by_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = F.coalesce("_carry", F.lit(0))
+    carried = (
+        runs.groupBy("_slice", *keys)
+        .agg(F.sum(value).alias("_total"), F.min("_run").alias("_least"))
+        .withColumn("_slices", F.count("*").over(by_key))
+        .where(F.col("_slices") > 1)
+        .withColumn("_carry", F.sum("_total").over(earlier))
+        .withColumn("_carry_low", F.min(carry + F.col("_least")).over(earlier))
+        .select(*_carried_keys(keys), "_carry", "_carry_low")
+    )
+    total, floor = carry + F.col("_run"), lambda low: F.least(F.lit(0), F.col("_carry_low"), carry + F.col(low))
+    return (
+        runs.join(F.broadcast(carried), _same_slice(keys), "left")
+        .withColumns({before: total - F.col(value) - floor("_low_before"), after: total - floor("_low")})
+        .select(*df.columns, before, after)
+    )

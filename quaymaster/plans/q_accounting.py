@@ -43,12 +43,28 @@ OPEN = f"SELECT * REPLACE (CASE WHEN actual_arrival_ts <= {RECEIVED_UNTIL} THEN
 DUE = f"SELECT * FROM open_shipments WHERE actual_arrival_ts IS NULL AND expected_arrival_ts <= {RUN_AT}"
 REQUESTS = """SELECT order_id, sku_id, dc_id, order_ts, sum(requested_qty)::BIGINT AS requested_qty
 FROM orders_fact GROUP BY ALL"""
-FULFILLED = """SELECT order_id, sku_id, dc_id, requested_qty, order_ts, filled AS fulfilled_qty,
- requested_qty - filled AS lost_sales_qty, requested_qty > filled AS lost_sale_flag
-FROM (SELECT *, greatest(0, least(requested_qty, coalesce(on_hand_qty, 0) - prior))::BIGINT AS filled
- FROM (SELECT r.*, s.on_hand_qty, coalesce(sum(requested_qty) OVER (PARTITION BY r.sku_id, r.dc_id ORDER BY order_ts, order_id
-   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior
-  FROM requests r LEFT JOIN inventory_state s ON r.sku_id = s.sku_id AND r.dc_id = s.dc_id))"""
+# Opening stock, receipts and orders in one sequence whose level never falls below zero: with running sum and
+# least running sum (at most 0), the level is their difference.
+MOVES = """SELECT sku_id, dc_id, NULL::TIMESTAMP AS moved_ts, 0 AS step, NULL::BIGINT AS order_id, '' AS movement_id, NULL::BIGINT AS requested_qty,
+ greatest(0, on_hand_qty)::BIGINT AS asked FROM inventory_state
+UNION ALL SELECT sku_id, destination_dc_id, actual_arrival_ts, 1, NULL, shipment_id, NULL, quantity::BIGINT FROM open_shipments WHERE actual_arrival_ts IS NOT NULL
+UNION ALL SELECT sku_id, dc_id, order_ts, 2, order_id, order_id::VARCHAR, requested_qty, -requested_qty FROM requests"""
+IN_ORDER = "PARTITION BY sku_id, dc_id ORDER BY moved_ts NULLS FIRST, step, order_id NULLS FIRST, movement_id"
+RUNS = f"SELECT *, sum(asked) OVER ({IN_ORDER} ROWS UNBOUNDED PRECEDING)::BIGINT AS run FROM moves"
+LEVELS = f"SELECT *, run - least(0, min(run) OVER ({IN_ORDER} ROWS UNBOUNDED PRECEDING)) AS balance_after FROM runs"
+BALANCES = f"""SELECT *, balance_after - balance_before AS units
+FROM (SELECT *, lag(balance_after, 1, 0) OVER ({IN_ORDER}) AS balance_before FROM levels)"""
+FULFILLED = """SELECT order_id, sku_id, dc_id, requested_qty, moved_ts AS order_ts, -units AS fulfilled_qty,
+ requested_qty + units AS lost_sales_qty, requested_qty + units > 0 AS lost_sale_flag FROM balances WHERE step = 2"""
+LEDGER = dict(requests=REQUESTS, open_shipments=OPEN, moves=MOVES, runs=RUNS, levels=LEVELS, balances=BALANCES, fulfilled=FULFILLED)
+LEDGER_VIEWS = "orders_fact shipments_fact inventory_state"
+
+
+def ledger(v: RetailViews):
+    """Opening stock, received shipments and order requests of every pair in order."""
+    received = open_shipments(v).where(F.col("actual_arrival_ts").isNotNull())
+    return accounting.ledger(v.inventory_state(), order_requests(v), received)
+
 
 # Receiving ---------------------------------------------------------------------
 
@@ -82,12 +98,11 @@ def receive_shipments(v):
 # Fulfilment ------------------------------------------------------------------------
 
 
-@query("fulfil_orders", "I2 D9 D10", with_views("orders_fact inventory_state", f"""
+@query("fulfil_orders", "I2 D9 D10", with_views(LEDGER_VIEWS, f"""
 SELECT order_id, sku_id, dc_id, requested_qty, {sql_time('order_ts')}, fulfilled_qty, lost_sales_qty, lost_sale_flag
-FROM fulfilled""", requests=REQUESTS, fulfilled=FULFILLED))
+FROM fulfilled""", **LEDGER))
 def fulfil_orders(v):
-    out = accounting.fulfil_orders(order_requests(v), v.inventory_state())
-    return out.withColumn("order_ts", text_time("order_ts"))
+    return accounting.fulfilled_orders(ledger(v)).withColumn("order_ts", text_time("order_ts"))
 
 
 @query("state_after_orders", "I2 B7", with_views("orders_fact inventory_state", f"""
@@ -100,46 +115,29 @@ def state_after_orders(v):
     return out.select("sku_id", "dc_id", "on_hand_qty", text_time("last_updated"))
 
 
-@query("lost_sales_after_fulfilment", "F13 I2", with_views("orders_fact inventory_state skus", """
+@query("lost_sales_after_fulfilment", "F13 I2", with_views(LEDGER_VIEWS + " skus", """
 SELECT dc_id, sum(requested_qty)::BIGINT AS requested_units, sum(fulfilled_qty)::BIGINT AS fulfilled_units,
  sum(lost_sales_qty)::BIGINT AS lost_units, round(sum(lost_sales_qty * unit_cost::DECIMAL(18,2))::DOUBLE, 2) AS lost_revenue,
  round(avg(lost_sale_flag::INT), 6) AS lost_order_rate
-FROM fulfilled LEFT JOIN skus USING (sku_id) GROUP BY dc_id""", requests=REQUESTS, fulfilled=FULFILLED))
+FROM fulfilled LEFT JOIN skus USING (sku_id) GROUP BY dc_id""", **LEDGER))
 def lost_sales_after_fulfilment(v):
-    served = accounting.fulfil_orders(order_requests(v), v.inventory_state())
-    lost = kpis.lost_sales(served, ["dc_id"], v.unit_costs())
+    lost = kpis.lost_sales(accounting.fulfilled_orders(ledger(v)), ["dc_id"], v.unit_costs())
     return rounded(rounded(lost, 2, "lost_revenue"), 6, "lost_order_rate")
 
 
 # Balance -----------------------------------------------------------------------------
 
-MOVES = """SELECT sku_id, dc_id, NULL::TIMESTAMP AS moved_ts, 0 AS step, '' AS movement_id, on_hand_qty::BIGINT AS units FROM inventory_state
-UNION ALL SELECT sku_id, destination_dc_id, actual_arrival_ts, 1, shipment_id, quantity::BIGINT FROM open_shipments WHERE actual_arrival_ts IS NOT NULL
-UNION ALL SELECT sku_id, dc_id, order_ts, 2, order_id::VARCHAR, -fulfilled_qty FROM fulfilled"""
-LEDGER = dict(requests=REQUESTS, fulfilled=FULFILLED, open_shipments=OPEN, moves=MOVES)
 
-
-def moves(v: RetailViews):
-    """Opening stock and fulfilled orders are written once, as the balance reads its movements twice."""
-    opening = materialise(v.inventory_state(), "opening-state")
-    fulfilled = materialise(accounting.fulfil_orders(order_requests(v), opening), "fulfilled")
-    received = open_shipments(v).where(F.col("actual_arrival_ts").isNotNull())
-    return accounting.movements(opening, fulfilled, received)
-
-
-@query("inventory_balance", "I3", with_views("orders_fact shipments_fact inventory_state", """
-SELECT sku_id, dc_id, step, movement_id, units, (after - units)::BIGINT AS balance_before, after::BIGINT AS balance_after
-FROM (SELECT *, sum(units) OVER (PARTITION BY sku_id, dc_id ORDER BY moved_ts NULLS FIRST, step, movement_id
- ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS after FROM moves)""", **LEDGER))
+@query("inventory_balance", "I3", with_views(LEDGER_VIEWS, """
+SELECT sku_id, dc_id, step, movement_id, units, balance_before, balance_after FROM balances""", **LEDGER))
 def inventory_balance(v):
-    return accounting.inventory_balance(moves(v)).drop("moved_ts")
+    return accounting.inventory_balance(ledger(v)).drop("moved_ts")
 
 
-@query("closing_balance", "I3", with_views("orders_fact shipments_fact inventory_state", """
-SELECT sku_id, dc_id, sum(units)::BIGINT AS closing_qty FROM moves GROUP BY ALL""", **LEDGER))
+@query("closing_balance", "I3", with_views(LEDGER_VIEWS, """
+SELECT sku_id, dc_id, sum(units)::BIGINT AS closing_qty FROM balances GROUP BY ALL""", **LEDGER))
 def closing_balance(v):
-    received = open_shipments(v).where(F.col("actual_arrival_ts").isNotNull())
-    return accounting.closing_balance(v.inventory_state(), v.orders_fact(), received)
+    return accounting.closing_balance(ledger(v))
 
 
 # Reorder and policy ----------------------------------------------------------------------

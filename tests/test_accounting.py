@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import data
 from quaymaster.operators import accounting
-from quaymaster.operators.running import running_total
+from quaymaster.operators.running import floored_total, running_total
 
 STATE = "sku_id string, dc_id string, on_hand_qty int, safety_stock int, reorder_point int, last_updated timestamp"
 
@@ -101,13 +101,73 @@ def test_balance_closes_at_opening_plus_received_minus_sold(spark):
     opening = state(spark, ("S", "D", 10))
     received = data.shipments(spark, {"shipment_id": "r", "sku_id": "S", "destination_dc_id": "D", "quantity": 4, "actual_arrival_ts": data.minutes_ago(5)})
     orders = spark.createDataFrame(
-        [(1, "S", "D", data.minutes_ago(9), 6), (2, "S", "D", data.minutes_ago(5), 3)],
+        [(1, "S", "D", data.minutes_ago(9), 6), (2, "S", "D", data.minutes_ago(5), 9), (3, "S", "D", data.minutes_ago(4), 1)],
         "order_id bigint, sku_id string, dc_id string, order_ts timestamp, requested_qty int",
     )
-    moves = accounting.movements(opening, accounting.fulfil_orders(orders, opening), received)
+    moves = accounting.ledger(opening, orders, received)
     steps = accounting.inventory_balance(moves).orderBy("moved_ts", "step").collect()
-    assert [(r["step"], r["units"], r["balance_after"]) for r in steps] == [(0, 10, 10), (2, -6, 4), (1, 4, 8), (2, -3, 5)]
-    assert accounting.closing_balance(opening, orders, received).first()["closing_qty"] == 5
+    assert [(r["step"], r["units"], r["balance_before"], r["balance_after"]) for r in steps] == [
+        (0, 10, 0, 10), (2, -6, 10, 4), (1, 4, 4, 8), (2, -8, 8, 0), (2, 0, 0, 0)]
+    assert accounting.closing_balance(moves).first()["closing_qty"] == 0
+    served = {r["order_id"]: (r["fulfilled_qty"], r["lost_sales_qty"], r["lost_sale_flag"]) for r in accounting.fulfilled_orders(moves).collect()}
+    assert served == {1: (6, 0, False), 2: (8, 1, True), 3: (0, 1, True)}
+
+
+def sequential(stock, events):
+    """Receipts and orders one after the other: fulfilled units by order, balances by movement, closing stock."""
+    left = {p: max(0, q) for p, q in stock.items()}
+    filled, steps = {}, []
+    for when, step, number, pair, units in sorted(events, key=lambda e: e[:3]):
+        before = left.get(pair, 0)
+        moved = units if step == 1 else -max(0, min(units, before))
+        left[pair] = before + moved
+        steps.append((pair, step, number, moved, before, before + moved))
+        if step == 2:
+            filled[number] = -moved
+    return filled, steps, left
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ledger_with_receipts_equals_the_loop(spark, sliced, seed):
+    """Interleaved receipts and orders; one pair holds most of the rows and lies in many slices."""
+    rng = random.Random(seed)
+    pairs = [("hot", "D")] + [(f"s{i}", f"d{j}") for i in range(4) for j in range(3)] + [(None, "D"), ("only-received", "D")]
+    stock = {p: rng.randint(-5, 60) for p in pairs[:-1] if p[0] and rng.random() < 0.9}
+    events = []
+    for i in range(1500):
+        pair = pairs[0] if rng.random() < 0.6 else rng.choice(pairs)
+        step = 1 if rng.random() < 0.3 or pair[0] == "only-received" else 2
+        events.append((data.NOW + timedelta(minutes=rng.randint(0, 60)), step, i, pair, rng.randint(0, 30 if step == 1 else 15)))
+    filled, steps, left = sequential(stock, events)
+    orders = spark.createDataFrame(
+        [(n, *p, when, u) for when, step, n, p, u in events if step == 2],
+        "order_id bigint, sku_id string, dc_id string, order_ts timestamp, requested_qty int")
+    received = data.shipments(spark, *[
+        {"shipment_id": f"{n:05d}", "sku_id": p[0], "destination_dc_id": p[1], "quantity": u, "actual_arrival_ts": when}
+        for when, step, n, p, u in events if step == 1])
+    opening = state(spark, *[(s, d, q) for (s, d), q in stock.items()])
+    moves = accounting.ledger(opening, orders, received).persist()
+    got = {r["order_id"]: r["fulfilled_qty"] for r in accounting.fulfilled_orders(moves).collect()}
+    assert got == filled
+    seen = [((r["sku_id"], r["dc_id"]), r["step"], int(r["movement_id"]), r["units"], r["balance_before"], r["balance_after"])
+            for r in accounting.inventory_balance(moves).where("step > 0").collect()]
+    assert sorted(seen, key=repr) == sorted(steps, key=repr)
+    closing = {(r["sku_id"], r["dc_id"]): r["closing_qty"] for r in accounting.closing_balance(moves).collect()}
+    assert closing == {p: left.get(p, 0) for p in left | stock}
+    moves.unpersist()
+
+
+def test_floored_total_spreads_a_hot_key(spark, sliced):
+    rng = random.Random(9)
+    rows = [("hot" if i % 3 else f"k{i % 40}", i, rng.randint(-20, 18)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "key string, at int, units bigint")
+    got = {r["at"]: (r["before"], r["after"]) for r in floored_total(df, ["key"], ["at"], "units", "before", "after").collect()}
+    level: dict = {}
+    for key, at, units in rows:
+        before = level.get(key, 0)
+        level[key] = max(0, before + units)
+        assert got[at] == (before, level[key])
+    assert df.repartitionByRange("key", "at").where("key = 'hot'").select(F.spark_partition_id()).distinct().count() > 1
 
 
 def test_reorder_at_the_reorder_point(spark, rows):
