@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quaymaster import schemas
 from quaymaster.operators.setops import unify
 from quaymaster.sinks.archive import read_archive
+from quaymaster.sinks.sketches import read_sketches
 from quaymaster.sources.tables import Period, newest_time, recent, scan, scan_archive
 
 
@@ -50,4 +51,5 @@ def window_of(spark: SparkSession, args, table: str, period: Period, cold: str |
     newest = newest_time(archived, ts)
     if newest is None:
         return hot
-    return unify(hot, archived, schemas.FACT_ID[table], ts, newest + timedelta(microseconds=1))
+    sketches = read_sketches(spark, f"{cold}/{table}")
+    return unify(hot, archived, schemas.FACT_ID[table], ts, newest + timedelta(microseconds=1), sketches)

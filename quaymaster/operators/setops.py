@@ -7,25 +7,29 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from quaymaster import schemas
-from quaymaster.functions.scalars import instant
+from quaymaster.functions.scalars import date_parts, instant
+from quaymaster.operators.membership import Sketches, not_archived
+from quaymaster.session import materialise
 
 
-def unify(hot: DataFrame, cold: DataFrame, event_id: str, ts: str, cutoff: datetime | None = None) -> DataFrame:
+def unify(
+    hot: DataFrame, cold: DataFrame, event_id: str, ts: str, cutoff: datetime | None = None, sketches: Sketches | None = None,
+) -> DataFrame:
     """Hot and archived rows by column name, each event once.
 
-    Archiving and deleting are not atomic, so a row may be in both tiers. Rows at
-    or after the archive cutoff can only be hot and pass through unshuffled; only
-    hot rows before it are checked against the archive.
+    Archiving and deleting are not atomic, so a row may be in both tiers. Rows at or after the archive
+    cutoff can only be hot. Hot rows before it are tested against the archive's sketches, and those that may be there are
+    looked up by id in the partitions of their dates. Archived rows pass through as they are scanned, as the archive holds each id
+    once. Without a cutoff nothing is known of the archive, and all rows are deduplicated.
     """
     archived = cold.drop(*[f.name for f in schemas.ARCHIVE_PARTS])
-    if cutoff is not None:
-        archived = archived.dropDuplicates([event_id])
-    else:
+    if cutoff is None:
         return hot.unionByName(archived, allowMissingColumns=True).dropDuplicates([event_id])
     limit = instant(hot, ts, cutoff)
-    late = hot.where(F.col(ts) < limit).join(archived.select(event_id), event_id, "left_anti")
+    late = materialise(hot.where(F.col(ts) < limit).withColumns(date_parts(F.col(ts))), "late-rows")
+    new = not_archived(late, event_id, cold, sketches).select(*hot.columns)
     kept = hot.where((F.col(ts) >= limit) | F.col(ts).isNull())
-    return kept.unionByName(late).unionByName(archived, allowMissingColumns=True)
+    return kept.unionByName(new).unionByName(archived, allowMissingColumns=True)
 
 
 def drop_duplicate_events(df: DataFrame, event_id: str) -> DataFrame:

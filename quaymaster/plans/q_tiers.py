@@ -17,6 +17,7 @@ from quaymaster.plans.sql import with_views
 from quaymaster.session import materialise, scratch_path
 from quaymaster.sinks import archive, serving
 from quaymaster.sinks.archive import ArchiveTable
+from quaymaster.sinks.sketches import read_sketches
 from quaymaster.sources.retail_views import RetailViews
 from quaymaster.sources.tables import Period, scan_archive
 
@@ -77,7 +78,8 @@ def hot_cold_after_archive(v):
     base, cutoff = archived_events(v)
     hot = archive.retained(event_table(v), base, cutoff)
     cold = archive.read_archive(v.spark, f"{base}/events", v.events().schema.fields)
-    return setops.unify(hot, cold, "event_id", "ts", cutoff).select("event_id", "user_id", "event_type", "value")
+    sketches = read_sketches(v.spark, f"{base}/events")
+    return setops.unify(hot, cold, "event_id", "ts", cutoff, sketches).select("event_id", "user_id", "event_type", "value")
 
 
 FACT_COUNTS = """

@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from quaymaster import schemas
 from quaymaster.functions.scalars import MEGABYTE, RECORD_BYTES, date_parts, instant, iso_text
+from quaymaster.operators.membership import count_parts, not_archived
+from quaymaster.session import materialise
+from quaymaster.sinks.sketches import read_sketches, write_sketches
 from quaymaster.sources.tables import older_than
 
 # Archive policy.
@@ -59,23 +62,13 @@ def read_archive(spark: SparkSession, path: str, columns) -> DataFrame | None:
         raise
 
 
-def dates_of(rows: DataFrame) -> tuple | None:
-    """First and last event date, to bound what an archive scan reads; None without rows."""
-    found = rows.agg(F.min("event_date"), F.max("event_date")).first()
-    return None if found[0] is None else (found[0], found[1])
-
-
-def between_dates(archived: DataFrame, dates: tuple) -> DataFrame:
-    return archived.where(F.col("event_date").between(F.lit(dates[0]), F.lit(dates[1])))
-
-
-def spread(due: DataFrame, event_id: str) -> DataFrame:
-    """Rows by partition, a busy hour dealt to as many tasks as its rows fill files.
+def spread(due: DataFrame, event_id: str, counts: DataFrame) -> DataFrame:
+    """Rows by partition, a busy hour dealt to as many tasks as its rows (``counts.ids``) fill files.
 
     The tasks are fixed in number, as merging small partitions would leave the opening of
     their files to one task.
     """
-    files = due.groupBy(*PARTITION_COLUMNS).agg(F.ceil(F.count("*") / FILE_ROWS).alias("_files"))
+    files = counts.select(*PARTITION_COLUMNS, F.ceil(F.col("ids") / FILE_ROWS).alias("_files"))
     part = F.pmod(F.xxhash64(event_id), F.col("_files"))
     tasks = int(due.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return due.join(files, PARTITION_COLUMNS).repartition(tasks, *PARTITION_COLUMNS, part).select(*due.columns)
@@ -84,30 +77,30 @@ def spread(due: DataFrame, event_id: str) -> DataFrame:
 def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
     """Append the due rows that are not archived yet, each id once; their statistics, or None if there are none.
 
-    The date of a row follows from its time, so ids are compared with the archive's partitions
-    between the first and the last due date only. Statistics are observed per written row.
+    The due rows are evaluated and written once; counting, sketches and the archive read what was written. Ids are
+    compared with the sketches of their own partitions, and with the archive only where those do not rule them out.
+    Statistics are observed per written row.
     """
     spark = table.rows.sparkSession
     path = f"{base}/{table.name}"
-    due = with_date_parts(due_rows(table, cutoff), table.ts)
-    dates = dates_of(due)
-    if dates is None:
-        return None
-    due = due.dropDuplicates([table.event_id])
+    due = materialise(with_date_parts(due_rows(table, cutoff), table.ts).dropDuplicates([table.event_id]), "due")
     known = read_archive(spark, path, table.rows.schema.fields)
     if known is not None:
-        due = due.join(between_dates(known, dates).select(table.event_id), table.event_id, "left_anti").select(*due.columns)
+        due = materialise(not_archived(due, table.event_id, known, read_sketches(spark, path)), "new")
+    if due.isEmpty():
+        return None
+    counts = write_sketches(due, table.event_id, path) if known is None or read_sketches(spark, path) else None
+    if counts is None:  # an archive without sketches stays so, as a part of them would hide what is older
+        counts = materialise(count_parts(due, table.event_id, ""), "due-counts")
     seen = Observation(f"archive-{table.name}")
     (
-        spread(due, table.event_id)
+        spread(due, table.event_id, counts)
         .observe(
             seen, F.count("*").alias("records"), iso_text(F.min(table.ts)).alias("first"), iso_text(F.max(table.ts)).alias("last"),
         )
         .write.mode("append").partitionBy(*PARTITION_COLUMNS).option("compression", "snappy").parquet(path)
     )
     stats = seen.get
-    if stats["records"] == 0:
-        return None
     return {
         "collection": table.name,
         "record_count": stats["records"],
@@ -120,12 +113,11 @@ def retained(table: ArchiveTable, base: str, cutoff: datetime) -> DataFrame:
     """What stays hot: rows from the cutoff on, and earlier ones that the archive lacks."""
     limit = instant(table.rows, table.ts, cutoff)
     late = table.rows.where(F.col(table.ts) < limit)
-    known = read_archive(table.rows.sparkSession, f"{base}/{table.name}", table.rows.schema.fields)
-    dated = late.withColumn("event_date", F.to_date(table.ts))
-    dates = None if known is None else dates_of(dated)
-    if dates is not None:
-        before = between_dates(known, dates).select("event_date", table.event_id)
-        late = dated.join(before, ["event_date", table.event_id], "left_anti").select(*table.rows.columns)
+    path = f"{base}/{table.name}"
+    known = read_archive(table.rows.sparkSession, path, table.rows.schema.fields)
+    if known is not None:
+        dated = with_date_parts(late, table.ts)
+        late = not_archived(dated, table.event_id, known, read_sketches(table.rows.sparkSession, path)).select(*table.rows.columns)
     return table.rows.where((F.col(table.ts) >= limit) | F.col(table.ts).isNull()).unionByName(late)
 
 

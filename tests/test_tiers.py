@@ -5,10 +5,12 @@ from pyspark.sql import functions as F, types as T
 
 import data
 from quaymaster import schemas
-from quaymaster.operators import setops
-from quaymaster.session import scratch_path
+from quaymaster.operators import membership, setops
+from quaymaster.session import materialise, scratch_path
 from quaymaster.sinks import archive, serving
 from quaymaster.sinks.archive import ArchiveTable
+from quaymaster.sinks.sketches import read_sketches, sketch_path, write_sketches
+from quaymaster.streaming import pipelines
 from quaymaster.sources.tables import replace_table, scan_archive
 
 CUTOFF = archive.cutoff_of(data.NOW)
@@ -62,6 +64,57 @@ def test_hot_and_cold_hold_every_row_once(spark):
     assert ids(setops.unify(rows, cold, "order_id", "order_ts")) == ids(rows)
 
 
+def dated(spark, ids_of, hour="2025-02-27 05:00:00"):
+    return spark.createDataFrame([(f"id-{i}", "2025-02-27", 5) for i in ids_of], "order_id string, event_date string, event_hour int").withColumn(
+        "event_date", F.col("event_date").cast("date"))
+
+
+def test_sketches_miss_no_id_and_rule_out_nearly_all_others(spark):
+    path = scratch_path(spark, "t")
+    for part in (range(0, 3000), range(3000, 3100)):
+        write_sketches(dated(spark, part), "order_id", path)
+    sketches = read_sketches(spark, path)
+    assert sketches.parts.count() == 2 and sketches.blocks.count() < 3100 * 10 / 512 + 3
+    held = membership.maybe_held(dated(spark, range(3100)), "order_id", sketches)
+    assert held.select("order_id").distinct().count() == 3100
+    others = membership.maybe_held(dated(spark, range(10_000, 20_000)), "order_id", sketches).select("order_id").distinct().count()
+    assert others < 500
+    elsewhere = dated(spark, range(3100)).withColumn("event_hour", F.lit(6))
+    assert membership.maybe_held(elsewhere, "order_id", sketches).count() == 0
+
+
+def test_late_rows_are_looked_up_and_archived_rows_stay_where_they_are(spark):
+    base, rows = scratch_path(spark, "t"), sold(spark, [1, 120, 121, 125, 300, 2000])
+    archive.append_new(table(sold(spark, [121, 300, 2000])), base, CUTOFF)
+    path = f"{base}/orders_fact"
+    cold, sketches = scan_archive(spark, base, "orders_fact"), read_sketches(spark, path)
+    both = setops.unify(rows, cold, "order_id", "order_ts", CUTOFF, sketches)
+    assert ids(both) == ids(rows)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Exchange hashpartitioning" not in plan and "Aggregate" not in plan
+    # Sketches of rows that never came cost a lookup and no row.
+    write_sketches(archive.with_date_parts(sold(spark, [120, 125]), "order_ts"), "order_id", path)
+    assert ids(setops.unify(rows, cold, "order_id", "order_ts", CUTOFF, read_sketches(spark, path))) == ids(rows)
+    assert ids(archive.retained(table(rows), base, CUTOFF)) == ["o1", "o120", "o125"]
+
+
+def test_archive_without_sketches_stays_exact(spark):
+    base = scratch_path(spark, "t")
+    archive.append_new(table(sold(spark, [121, 300])), base, CUTOFF)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sketch_path(f"{base}/orders_fact"))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    assert archive.append_new(table(sold(spark, [121, 130, 300])), base, CUTOFF)["record_count"] == 1
+    assert read_sketches(spark, f"{base}/orders_fact") is None
+    assert ids(archive.retained(table(sold(spark, [5, 121, 130, 140])), base, CUTOFF)) == ["o140", "o5"]
+
+
+def test_stream_does_not_append_to_a_sketched_archive(spark):
+    base = scratch_path(spark, "t")
+    archive.append_new(table(sold(spark, [121])), base, CUTOFF)
+    with pytest.raises(ValueError, match="sketches"):
+        pipelines.to_archive(sold(spark, [500]), "order_ts", "order_id", f"{base}/orders_fact", scratch_path(spark, "c"))
+
+
 def test_busy_partitions_are_split_and_ids_archived_once(spark, monkeypatch):
     monkeypatch.setattr(archive, "FILE_ROWS", 1)
     base = scratch_path(spark, "t")
