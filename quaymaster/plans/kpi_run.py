@@ -51,14 +51,20 @@ def compute_kpis(facts: Facts, dims: Dimensions, period_days: float, keep: bool
     with several actions. ``stock`` gives the stock roll-up where the snapshots have been rolled up before.
     """
     stock = kpis.inventory_rollup(facts.inventory) if stock is None else stock
-    demand = kpis.demand_rollup(facts.orders)
+    return kpis_from(stock, kpis.demand_rollup(facts.orders), kpis.lead_times(facts.shipments), dims, period_days, keep)
+
+
+def kpis_from(
+    stock: DataFrame, demand: DataFrame, leads: DataFrame, dims: Dimensions, period_days: float, keep: bool = False
+) -> KpiSet:
+    """All five KPIs from the roll-ups of the three facts."""
     if keep:
         stock, demand = (df.persist(StorageLevel.MEMORY_AND_DISK) for df in (stock, demand))
     cover = kpis.days_of_cover(stock, demand, period_days)
     return KpiSet(
         inventory=kpis.inventory_level_from(stock, dims.skus, dims.dcs),
         stockouts=kpis.stockout_risk_from(cover, dims.skus, dims.dcs, dims.regions),
-        suppliers=kpis.supplier_scores(facts.shipments, dims.suppliers),
+        suppliers=kpis.supplier_scores_from(leads, dims.suppliers),
         utilization=kpis.dc_utilization_from(stock, dims.skus, dims.dcs),
         regional=kpis.regional_performance_from(demand, dims.dcs, dims.regions),
         rollups=(stock, demand) if keep else (),

@@ -7,10 +7,10 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from quaymaster.functions.scalars import moment
-from quaymaster.plans.kpi_run import Facts, compute_kpis, publish
+from quaymaster.plans.kpi_run import kpis_from, publish
 from quaymaster.plans.q_kpis import (
-    AVG_STOCK, LEVEL, PERFORMANCE, REGIONAL, RISK, USAGE, WI, WO, WS, cover_of, dimensions, window_orders, window_shipments,
-    window_stock,
+    AVG_STOCK, LEVEL, PERFORMANCE, REGIONAL, RISK, USAGE, WI, WO, WS, cover_of, dimensions, window_inventory, window_orders,
+    window_shipments,
 )
 from quaymaster.plans.q_sources import EVENTS
 from quaymaster.plans.registry import DAYS, EVENTS_AS_OF, MINUTES, query, rounded
@@ -18,10 +18,11 @@ from quaymaster.plans.sql import LINE_HASH, with_views
 from quaymaster.session import materialise, scratch_path
 from quaymaster.sinks import serving
 from quaymaster.sinks.archive import read_archive
-from quaymaster.sinks.versions import read_version, write_version
 from quaymaster.sources.retail_views import RetailViews, line_id
 from quaymaster.sources.tables import Period, scan_stream
 from quaymaster.streaming import pipelines
+from quaymaster.streaming.partials import PartialSums, demand_partial, lead_time_partial, stock_partial
+from quaymaster.streaming.state_log import StateLog
 
 CLOSED = f"{EVENTS_AS_OF} - INTERVAL 2 MINUTE"
 
@@ -95,22 +96,29 @@ SELECT region_id, region_name, total_orders, total_units_fulfilled, revenue, (SE
 FROM regional""", wo=WO, wi=WI, ws=WS, levels=LEVEL.format(stock=AVG_STOCK, source="wi"), cover=cover_of(), risk=RISK,
     scored=PERFORMANCE.format(source="ws"), usage=USAGE.format(source="wi"), regional=REGIONAL.format(source="wo")))
 def stream_published_kpis(v):
-    """Orders arrive in several micro-batches; each publishes all five KPIs over what has arrived as a new version."""
+    """The facts arrive in several micro-batches. Each is reduced to partial sums; each batch of orders publishes
+    all five KPIs from the sums of the window as a new version."""
     path = scratch_path(v.spark, "published")
-    orders = materialise(window_orders(v), "arriving-orders")
-    shipments, stock = materialise(window_shipments(v), "sent"), materialise(window_stock(v), "stock")
-    served = f"{path}/serving"
-
-    def publish_kpis(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{path}/landed/batch={batch_id}")
-        landed_orders = v.spark.read.schema(orders.schema).parquet(f"{path}/landed")
-        result = compute_kpis(Facts(landed_orders, None, shipments), dimensions(v), float(DAYS), stock=stock)
-        serving.write_serving(publish(result, Period(v.orders_as_of, MINUTES)), served, batch_id)
+    served, orders_from, stock_from = f"{path}/serving", Period(v.orders_as_of, MINUTES).start, Period(v.inventory_as_of, MINUTES).start
+    arriving = {
+        "shipments": (window_shipments(v), lead_time_partial(), orders_from, "shipment_id"),
+        "inventory": (window_inventory(v), stock_partial(), stock_from, "inventory_event_id"),
+        "orders": (window_orders(v), demand_partial(), orders_from, "order_line_id"),
+    }
+    dealt = {name: materialise(rows, f"arriving-{name}") for name, (rows, *_) in arriving.items()}
+    sums = {name: PartialSums(v.spark, f"{path}/sums/{name}", partial, dealt[name].schema) for name, (_, partial, _, _) in arriving.items()}
+
+    def publish_kpis(version):
+        leads, stock, demand = (sums[name].rollup(arriving[name][2]) for name in arriving)
+        result = kpis_from(stock, demand, leads, dimensions(v), float(DAYS))
+        serving.write_serving(publish(result, Period(v.orders_as_of, MINUTES)), served, version)
 
     for part in range(PARTS):
-        orders.where(F.pmod("order_id", F.lit(PARTS)) == part).write.mode("append").parquet(f"{path}/source")
-        arriving = scan_stream(v.spark, orders.schema, f"{path}/source")
-        pipelines.publish_each_batch(arriving, publish_kpis, f"{path}/checkpoint").awaitTermination()
+        for name, (_, _, start, event_id) in arriving.items():
+            dealt[name].where(F.pmod(F.xxhash64(event_id), F.lit(PARTS)) == part).write.mode("append").parquet(f"{path}/source/{name}")
+            stream = scan_stream(v.spark, dealt[name].schema, f"{path}/source/{name}")
+            pipelines.keep_partials(
+                stream, sums[name], start, f"{path}/checkpoint/{name}", publish_kpis if name == "orders" else None).awaitTermination()
     table = serving.read_serving(v.spark, served)
     schema = "region_id int, region_name string, total_orders bigint, total_units_fulfilled bigint, revenue double"
     count = lambda key: table.where(F.col("kpi_key") == key).agg(F.count("*")).scalar()
@@ -151,7 +159,8 @@ def stream_inventory_state(v):
     centers = v.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("dc_id"))
     initial = v.inventory_state().withColumn("on_hand_qty", F.col("on_hand_qty").cast("bigint"))
     path, start = scratch_path(v.spark, "state"), None
-    write_version(initial, f"{path}/state", 0)
+    log = StateLog(v.spark, f"{path}/state", initial.schema)
+    log.start(initial)
     shipped = F.col("l_shipdate")
     for end in cuts:
         since = F.lit(True) if start is None else shipped >= moment(start, "timestamp_ntz")
@@ -161,8 +170,5 @@ def stream_inventory_state(v):
         moves = pipelines.enriched(scan_stream(v.spark, lines.schema, f"{path}/source"), centers, "l_suppkey").select(
             F.when(F.col("l_linestatus") == "F", "receipt").otherwise("order").alias("kind"), F.col("l_partkey").alias("sku_id"),
             "dc_id", F.col("l_quantity").cast("bigint").alias("units"), "l_shipdate", "line_id")
-        run = pipelines.run_state(
-            v.spark, moves, initial.schema, ["l_shipdate", "line_id"], f"{path}/state", f"{path}/checkpoint", v.inventory_as_of)
-        run.awaitTermination()
-    batches = run.lastProgress["batchId"] + 1
-    return read_version(v.spark, f"{path}/state", batches, initial.schema).select("sku_id", "dc_id", "on_hand_qty")
+        pipelines.run_state(moves, log, ["l_shipdate", "line_id"], f"{path}/checkpoint", v.inventory_as_of).awaitTermination()
+    return log.read().select("sku_id", "dc_id", "on_hand_qty")

@@ -9,14 +9,14 @@ from __future__ import annotations
 from datetime import datetime
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quaymaster.functions.scalars import date_parts, instant
-from quaymaster.operators.accounting import PAIR
-from quaymaster.operators.running import running_total
+from quaymaster.functions.scalars import date_parts
 from quaymaster.sinks.archive import PARTITION_COLUMNS
-from quaymaster.sinks.versions import drop_versions, read_version, write_version
+from quaymaster.sinks.sketches import read_sketches
+from quaymaster.streaming.partials import PartialSums
+from quaymaster.streaming.state_log import StateLog
 
 # Event-time bound and KPI window.
 LATENESS = "2 minutes"
@@ -90,8 +90,11 @@ def to_archive(df: DataFrame, ts: str, event_id: str, path: str, checkpoint: str
     """Streaming archive in the layout of the batch archive, each event once within the lateness bound.
 
     The rows of a partition go to at most ``ARCHIVE_SPREAD`` tasks of a micro-batch, so a busy hour is
-    written in parallel without a file for every task.
+    written in parallel without a file for every task. A stream writes no id sketches, so it is refused for an
+    archive that has some: its rows would be taken for new ones.
     """
+    if read_sketches(df.sparkSession, path) is not None:
+        raise ValueError(f"{path} has id sketches; a stream does not keep them up")
     parted = deduplicated(df, ts, event_id, lateness).withColumns(date_parts(F.col(ts)))
     part = F.pmod(F.xxhash64(event_id), F.lit(ARCHIVE_SPREAD))
     return to_files(parted.repartition(*PARTITION_COLUMNS, part), path, checkpoint, PARTITION_COLUMNS)
@@ -102,39 +105,22 @@ def publish_each_batch(df: DataFrame, publish: Callable[[DataFrame, int], None],
     return df.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def apply_moves(state: DataFrame, moves: DataFrame, order: list[str], as_of: datetime) -> DataFrame:
-    """State after receipts and orders, in their order, none of which takes stock below zero.
+def keep_partials(df: DataFrame, sums: PartialSums, start: datetime, checkpoint: str,
+                  then: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Add every micro-batch to partial sums that begin at ``start``, then call ``then(version)``."""
 
-    With signed units, opening stock q, total t and least running total m of a pair, the stock ends at
-    q + t + max(0, -(q + m)): what could not be served is not missing later. So one state after the other
-    gives the same result, however the moves are cut into batches.
-    """
-    signed = F.when(F.col("kind") == "receipt", F.col("units")).otherwise(-F.col("units"))
-    rows = moves.select(*PAIR, *order, signed.cast("bigint").alias("_units"))
-    run = running_total(rows, PAIR, order, "_units", "_before")
-    change = run.groupBy(*PAIR).agg(F.sum("_units").alias("_total"), F.min(F.col("_before") + F.col("_units")).alias("_least"))
-    stock = F.col("on_hand_qty")
-    moved = stock + F.col("_total") + F.greatest(F.lit(0), -(stock + F.col("_least")))
-    known = F.col("_total").isNotNull()
-    return state.join(change, PAIR, "left").withColumns({
-        "on_hand_qty": F.when(known, moved).otherwise(stock),
-        "last_updated": F.when(known, instant(state, "last_updated", as_of)).otherwise(F.col("last_updated")),
-    }).select(*[F.col(f.name).cast(f.dataType) for f in state.schema])
-
-
-def run_state(
-    spark: SparkSession, moves: DataFrame, schema: T.StructType, order: list[str], base: str, checkpoint: str, as_of: datetime,
-) -> StreamingQuery:
-    """Running stock per pair from a stream of receipts and orders that arrive in event order.
+    def add(batch: DataFrame, batch_id: int) -> None:
+        sums.add(batch, batch_id, start)
+        if then is not None:
+            then(batch_id + 1)
 
-    ``moves`` has ``kind`` ('receipt' or 'order'), the pair, ``units`` and the columns of ``order``. Version 0
-    below ``base`` is the initial state; micro-batch n reads version n and writes n + 1, so a batch that is
-    repeated after a failure rewrites the same version. Only the versions a repeat needs are kept.
-    """
+    return publish_each_batch(df, add, checkpoint)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        before = read_version(spark, base, batch_id, schema)
-        write_version(apply_moves(before, batch, order, as_of), base, batch_id + 1)
-        drop_versions(spark, base, 2)
 
-    return moves.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_state(moves: DataFrame, log: StateLog, order: list[str], checkpoint: str, as_of: datetime) -> StreamingQuery:
+    """Running stock per pair from a stream of receipts and orders that arrive in event order.
+
+    ``moves`` has ``kind`` ('receipt' or 'order'), the pair, ``units`` and the columns of ``order``. The log has been started with
+    the initial state; micro-batch n makes version n + 1 of version n.
+    """
+    return publish_each_batch(moves, lambda batch, batch_id: log.append(batch, batch_id, order, as_of), checkpoint)
