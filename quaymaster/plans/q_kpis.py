@@ -11,8 +11,9 @@ from quaymaster.plans.registry import (
 from quaymaster.plans.sql import with_views
 from quaymaster.sources.retail_views import RetailViews
 from quaymaster.session import scratch_path
-from quaymaster.sinks.archive import ArchiveTable, append_new
-from quaymaster.sources.tables import Period, recent, scan_archive
+from quaymaster.sinks.archive import ArchiveTable, append_new, read_archive
+from quaymaster.sinks.sketches import read_sketches
+from quaymaster.sources.tables import Period, recent
 from pyspark.sql import functions as F
 
 
@@ -228,22 +229,17 @@ def revenue_trend(v):
 # Unified history: hot and cold tiers as one table -------------------------------------------
 
 
-# Archives that this application has written, so that several queries read one.
-_ARCHIVES: dict[tuple[str, str, str], str] = {}
-
-
 def history(v: RetailViews, name: str, facts, as_of):
     """A fact from both tiers: all but the window is archived, and the hot tier still holds a
-    window's length of archived rows, as after a run whose delete did not happen."""
+    window's length of archived rows, as after a run whose delete did not happen. Each call writes its archive."""
     ts, event_id, cutoff = schemas.FACT_TIME[name], HISTORY_ID[name], Period(as_of, MINUTES).start
-    written = (v.spark.sparkContext.applicationId, v.folder, name)
-    if written not in _ARCHIVES:
-        base = scratch_path(v.spark, f"archive-{name}")
-        append_new(ArchiveTable(name, facts, ts, event_id), base, cutoff)
-        _ARCHIVES[written] = base
-    base = _ARCHIVES[written]
+    base = scratch_path(v.spark, f"archive-{name}")
+    append_new(ArchiveTable(name, facts, ts, event_id), base, cutoff)
     hot = recent(facts, ts, Period(as_of, 2 * MINUTES))
-    return setops.unify(hot, scan_archive(v.spark, base, name, schema=facts.schema), event_id, ts, cutoff)
+    cold = read_archive(v.spark, f"{base}/{name}", facts.schema.fields)
+    if cold is None:
+        return hot
+    return setops.unify(hot, cold, event_id, ts, cutoff, read_sketches(v.spark, f"{base}/{name}"))
 
 
 HISTORY_ID = {"orders_fact": "order_line_id", "inventory_fact": "inventory_event_id", "shipments_fact": "shipment_id"}
@@ -353,18 +349,77 @@ def _history_cover(v):
     return kpis.days_of_cover(v.stock_rollup(), kpis.demand_rollup(v.orders_fact()), history_days(v))
 
 
-@query("inventory_rebalance", "F16", with_views("inventory_fact orders_fact", """
-SELECT sku_id, dc_id, role, row_number() OVER (PARTITION BY sku_id, role ORDER BY abs(surplus) DESC, dc_id)::INT AS "rank",
- round(current_stock, 9) AS current_stock, round(units_per_day, 9) AS units_per_day, abs(surplus) AS gap_units
+ENDS = """SELECT sku_id, dc_id, role, row_number() OVER (PARTITION BY sku_id, role ORDER BY abs(surplus) DESC, dc_id)::INT AS "rank",
+ current_stock, units_per_day, abs(surplus) AS gap_units
 FROM (SELECT *, count(*) FILTER (role = 'donor') OVER (PARTITION BY sku_id) AS dn,
-  count(*) FILTER (role = 'receiver') OVER (PARTITION BY sku_id) AS rc
- FROM (SELECT *, CASE WHEN surplus > 0 AND haste < 0 THEN 'donor' WHEN surplus < 0 AND haste > 0 THEN 'receiver' END AS role
-  FROM (SELECT *, round(current_stock - avg(current_stock) OVER (PARTITION BY sku_id), 9) AS surplus,
-   round(units_per_day - avg(units_per_day) OVER (PARTITION BY sku_id), 9) AS haste FROM cover)))
-WHERE role IS NOT NULL AND dn > 0 AND rc > 0""", cover=HISTORY_COVER))
+ count(*) FILTER (role = 'receiver') OVER (PARTITION BY sku_id) AS rc FROM placed)
+WHERE role IS NOT NULL AND dn > 0 AND rc > 0"""
+PLACED = """SELECT *, CASE WHEN surplus > 0 AND haste < 0 THEN 'donor' WHEN surplus < 0 AND haste > 0 THEN 'receiver' END AS role
+FROM (SELECT *, round(current_stock - avg(current_stock) OVER (PARTITION BY sku_id), 9) AS surplus,
+ round(units_per_day - avg(units_per_day) OVER (PARTITION BY sku_id), 9) AS haste FROM cover)"""
+SHOW_ENDS = """SELECT sku_id, dc_id, role, "rank", round(current_stock, 9) AS current_stock, round(units_per_day, 9) AS units_per_day, gap_units FROM ends"""
+# Donors and receivers as intervals, joined where they overlap.
+TRANSFERS = """SELECT d.sku_id, d.dc_id AS from_dc_id, r.dc_id AS to_dc_id, (least(d.hi, r.hi) - greatest(d.lo, r.lo))::BIGINT AS units
+FROM sized d JOIN sized r ON d.sku_id = r.sku_id AND d.role = 'donor' AND r.role = 'receiver' AND d.lo < r.hi AND r.lo < d.hi"""
+SIZED = """SELECT sku_id, dc_id, role, hi - gap AS lo, hi FROM (
+ SELECT *, sum(gap) OVER (PARTITION BY sku_id, role ORDER BY "rank" ROWS UNBOUNDED PRECEDING) AS hi
+ FROM (SELECT *, floor(gap_units)::BIGINT AS gap FROM ends) WHERE gap > 0)"""
+
+
+def rebalance_ends(v):
+    return kpis.inventory_rebalance(v.stock_rollup(), kpis.demand_rollup(v.orders_fact()), history_days(v))
+
+
+@query("inventory_rebalance", "F16", with_views(
+    "inventory_fact orders_fact", SHOW_ENDS, cover=HISTORY_COVER, placed=PLACED, ends=ENDS))
 def inventory_rebalance(v):
-    out = kpis.inventory_rebalance(v.stock_rollup(), kpis.demand_rollup(v.orders_fact()), history_days(v))
-    return rounded(out, 9, "current_stock", "units_per_day", "gap_units")
+    return rounded(rebalance_ends(v), 9, "current_stock", "units_per_day", "gap_units")
+
+
+@query("transfer_plan", "F16", with_views(
+    "inventory_fact orders_fact", TRANSFERS, cover=HISTORY_COVER, placed=PLACED, ends=ENDS, sized=SIZED))
+def transfer_plan(v):
+    """Which center gives how many units to which, for every SKU with both ends."""
+    return kpis.transfer_plan(rebalance_ends(v))
+
+
+POSITIONS = """SELECT region_id, region_name, revenue, stock_units,
+ CASE WHEN revenue > avg(revenue) OVER () AND stock_units < avg(stock_units) OVER () THEN 'receiver'
+  WHEN revenue < avg(revenue) OVER () AND stock_units > avg(stock_units) OVER () THEN 'donor' END AS role
+FROM regional JOIN (SELECT region_id, sum(on_hand_qty)::BIGINT AS stock_units FROM inventory_state JOIN dcs USING (dc_id) GROUP BY region_id)
+ USING (region_id)"""
+REGIONAL_PLACED = """SELECT *, CASE WHEN surplus > 0 AND side = 'donor' THEN 'donor' WHEN surplus < 0 AND side = 'receiver' THEN 'receiver' END AS role
+FROM (SELECT c.*, p.role AS side, round(current_stock - avg(current_stock) OVER (PARTITION BY sku_id), 9) AS surplus
+ FROM cover c LEFT JOIN dcs USING (dc_id) LEFT JOIN positions p USING (region_id))"""
+REGION_VIEWS = "inventory_fact inventory_state orders_fact dcs regions"
+REGION_CTES = dict(regional=REGIONAL.format(source="orders_fact"), positions=POSITIONS)
+
+
+def regional_revenue(v):
+    return kpis.regional_performance_from(kpis.by_center(v.orders_fact()), v.dcs(), v.regions())
+
+
+def regional_ends(v):
+    return kpis.regional_rebalance(
+        v.stock_rollup(), kpis.demand_rollup(v.orders_fact()), history_days(v), regional_revenue(v), v.dcs())
+
+
+@query("regional_positions", "F16 F5", with_views(REGION_VIEWS, "SELECT * FROM positions", **REGION_CTES))
+def regional_positions(v):
+    """Regions of high demand and low stock, and the reverse."""
+    return kpis.regional_positions(v.stock_rollup(), regional_revenue(v), v.dcs())
+
+
+@query("regional_rebalance", "F16", with_views(
+    REGION_VIEWS, SHOW_ENDS, **REGION_CTES, cover=HISTORY_COVER, placed=REGIONAL_PLACED, ends=ENDS))
+def regional_rebalance(v):
+    return rounded(regional_ends(v), 9, "current_stock", "units_per_day", "gap_units")
+
+
+@query("regional_transfers", "F16", with_views(
+    REGION_VIEWS, TRANSFERS, **REGION_CTES, cover=HISTORY_COVER, placed=REGIONAL_PLACED, ends=ENDS, sized=SIZED))
+def regional_transfers(v):
+    return kpis.transfer_plan(regional_ends(v))
 
 
 @query("overloaded_transfers", "F16 F4", with_views("inventory_fact skus dcs", """
