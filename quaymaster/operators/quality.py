@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quaymaster.functions import bands
 from quaymaster.functions.scalars import age_seconds, is_uuid, moment, ratio, size_mb
@@ -69,19 +69,64 @@ def check_rules(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Reference:
+    """A key of a fact that has to be in a dimension."""
+
+    key: str
+    dimension: DataFrame
+    dimension_key: str | None = None
+
+    @property
+    def rule(self) -> str:
+        return f"{self.key}_exists"
+
+
+def check_references(fact: DataFrame, table: str, references: list[Reference]) -> DataFrame:
+    """(table, rule, checked, violations) for all keys of a fact: rows whose key its dimension lacks.
+
+    One pass over the fact and one exchange: every row gives one (rule, key) for each reference, which are counted on the map
+    side, so a hot key reaches the exchange as one row a task. The keys of all dimensions are one table, joined once.
+    """
+    spark = fact.sparkSession
+    text = lambda column: F.col(column).cast("string")
+    pairs = F.array(*[F.struct(F.lit(r.rule).alias("rule"), text(r.key).alias("key")) for r in references])
+    counted = fact.select(F.explode(pairs).alias("r")).select("r.*").where("key IS NOT NULL").groupBy("rule", "key").agg(
+        F.count("*").alias("rows"))
+    known = reduce(DataFrame.unionByName, [
+        r.dimension.select(F.lit(r.rule).alias("rule"), text(r.dimension_key or r.key).alias("key")) for r in references
+    ]).distinct().withColumn("known", F.lit(True))
+    checked = counted.join(known, ["rule", "key"], "left").groupBy("rule").agg(
+        F.sum("rows").alias("checked"), F.sum(F.when(F.col("known").isNull(), F.col("rows"))).alias("violations"))
+    rules = spark.range(1).select(F.explode(F.array(*[F.lit(r.rule) for r in references])).alias("rule"))
+    nought = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+    return rules.join(checked, "rule", "left").select(F.lit(table).alias("table_name"), "rule", nought("checked"), nought("violations"))
+
+
 def check_reference(
     fact: DataFrame, table: str, dimension: DataFrame, key: str, dimension_key: str | None = None
 ) -> DataFrame:
-    """Rows of a fact whose key its dimension lacks.
+    """``check_references`` for one key."""
+    return check_references(fact, table, [Reference(key, dimension, dimension_key)])
 
-    One pass over the fact: it is counted per key, and the join sees one row per key.
-    """
-    known = dimension.select(F.col(dimension_key or key).alias(key)).distinct().withColumn("known", F.lit(True))
-    counted = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows")).join(known, key, "left")
-    missing = F.sum(F.when(F.col("known").isNull(), F.col("rows")))
-    return counted.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("checked"), F.coalesce(missing, F.lit(0)).alias("violations")
-    ).select(F.lit(table).alias("table_name"), F.lit(f"{key}_exists").alias("rule"), "checked", "violations")
+
+# Rules inside a pass that writes -------------------------------------------------------
+
+
+def observed_rules(rules: list[Rule]) -> list[Column]:
+    """Measures for ``DataFrame.observe``: rows, and rows that break each rule. They cost no scan of their own."""
+    return [F.count(F.lit(1)).alias("checked"), *[F.count_if(r.violated).alias(r.name) for r in rules]]
+
+
+def broken_rules(rules: list[Rule]) -> Column:
+    """Names of the rules that a row breaks; empty for a sound row."""
+    return F.array_compact(F.array(*[F.when(r.violated, F.lit(r.name)) for r in rules]))
+
+
+def rule_report(spark: SparkSession, table: str, measures: dict, rules: list[Rule]) -> DataFrame:
+    """(table, rule, checked, violations) from the measures of ``observed_rules``: one row for each rule."""
+    rows = [(table, r.name, measures.get("checked", 0), measures.get(r.name, 0)) for r in rules]
+    return spark.createDataFrame(rows, "table_name string, rule string, checked bigint, violations bigint")
 
 
 def quality_report(parts: list[DataFrame]) -> DataFrame:

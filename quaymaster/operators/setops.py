@@ -44,3 +44,8 @@ def orphans(fact: DataFrame, dimension: DataFrame, key: str, dimension_key: str
     known = dimension.select(F.col(dimension_key or key).alias(key))
     counted = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
     return counted.join(known, key, "left_anti")
+
+
+def missing_rows(fact: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a fact whose keys the other table lacks, for keys that are nearly unique: grouping first would save nothing."""
+    return fact.join(other.select(*keys), keys, "left_anti")

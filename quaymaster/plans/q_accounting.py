@@ -6,10 +6,12 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from quaymaster.functions.scalars import moment
 from quaymaster.operators import accounting, kpis
 from quaymaster.plans.registry import DAYS, INVENTORY_AS_OF, ORDERS_AS_OF, query, rounded, sql_time, text_time
 from quaymaster.plans.sql import with_views
-from quaymaster.session import materialise
+from quaymaster.session import materialise, scratch_path
+from quaymaster.sinks.warehouse import Warehouse
 from quaymaster.sources.retail_views import RetailViews
 
 # Shipments that arrive after this many days before the newest snapshot are still open,
@@ -95,6 +97,21 @@ def receive_shipments(v):
     return out.select("sku_id", "dc_id", "on_hand_qty", text_time("last_updated"))
 
 
+@query("receive_committed", "I1 B7", with_views("shipments_fact inventory_state", f"""
+SELECT s.sku_id, s.dc_id, (on_hand_qty + coalesce(units, 0))::BIGINT AS on_hand_qty, (SELECT count(*) FROM due) AS received_now
+FROM inventory_state s LEFT JOIN (SELECT sku_id, destination_dc_id AS dc_id, sum(quantity) AS units FROM due GROUP BY ALL) d
+ ON s.sku_id = d.sku_id AND s.dc_id = d.dc_id""", open_shipments=OPEN, due=DUE))
+def receive_committed(v):
+    """Due shipments are received in one commit with their arrival times; a second run finds nothing to receive."""
+    sent, state = open_shipments(v), v.inventory_state().withColumn("on_hand_qty", F.col("on_hand_qty").cast("bigint"))
+    warehouse = Warehouse(v.spark, scratch_path(v.spark, "warehouse"), sent.schema, state.schema)
+    warehouse.start(sent, state)
+    for _ in range(2):
+        warehouse.receive(run_at(v))
+    arrived = warehouse.shipments().where(F.col("actual_arrival_ts") == moment(run_at(v), "timestamp_ntz")).agg(F.count("*")).scalar()
+    return warehouse.state().select("sku_id", "dc_id", "on_hand_qty", arrived.alias("received_now"))
+
+
 # Fulfilment ------------------------------------------------------------------------
 
 

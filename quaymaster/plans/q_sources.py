@@ -14,6 +14,7 @@ from quaymaster.plans.registry import (
     sql_time, text_time,
 )
 from quaymaster.plans.sql import with_views
+from quaymaster.sources.retail_views import LINE_KEYS, line_id
 from quaymaster.session import scratch_path
 from quaymaster.sources import tables
 from quaymaster.sources.tables import Period, recent
@@ -151,7 +152,10 @@ def deduplicated_events(v):
 SELECT order_line_id, count(*) AS "rows" FROM orders_fact
 WHERE order_line_id NOT IN (SELECT shipment_id FROM shipments_fact) GROUP BY ALL"""))
 def unshipped_order_lines(v):
-    return setops.orphans(v.orders_fact(), v.shipments_fact(), "order_line_id", "shipment_id")
+    """Lines are matched by their own columns; ids are made for those that are left."""
+    lines = v.order_lines().select(*LINE_KEYS, "o_orderdate")
+    left = setops.missing_rows(lines, lines.where(F.col("l_shipdate") > F.col("o_orderdate")), LINE_KEYS)
+    return left.groupBy(line_id().alias("order_line_id")).agg(F.count("*").alias("rows"))
 
 
 # Scalar functions ---------------------------------------------------------------------

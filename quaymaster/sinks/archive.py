@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 from typing import Callable
 
 from pyspark.errors import AnalysisException
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from quaymaster import schemas
 from quaymaster.functions.scalars import MEGABYTE, RECORD_BYTES, date_parts, instant, iso_text
 from quaymaster.operators.membership import count_parts, not_archived
+from quaymaster.operators.quality import Rule, broken_rules, observed_rules, rule_report
 from quaymaster.session import materialise
 from quaymaster.sinks.sketches import read_sketches, write_sketches
 from quaymaster.sources.tables import older_than
@@ -30,13 +32,14 @@ FILE_ROWS = 1_000_000  # rows of a partition that one task writes
 
 @dataclass(frozen=True)
 class ArchiveTable:
-    """A fact to archive. ``closed`` limits it to rows that will not change any more."""
+    """A fact to archive. ``closed`` limits it to rows that will not change any more; ``rules`` are checked as rows are written."""
 
     name: str
     rows: DataFrame
     ts: str
     event_id: str
     closed: Column | None = None
+    rules: tuple[Rule, ...] = ()
 
 
 def cutoff_of(as_of: datetime, minutes: int = OLDER_THAN_MINUTES) -> datetime:
@@ -52,16 +55,20 @@ def due_rows(table: ArchiveTable, cutoff: datetime) -> DataFrame:
     return due if table.closed is None else due.where(table.closed)
 
 
-def read_archive(spark: SparkSession, path: str, columns) -> DataFrame | None:
-    """The archive of one fact, or None before its first run."""
+def _read(spark: SparkSession, path: str, fields) -> DataFrame | None:
     try:
-        return spark.read.schema(schemas.T.StructType(list(columns) + schemas.ARCHIVE_PARTS.fields)).parquet(path)
+        return spark.read.schema(schemas.T.StructType(list(fields))).parquet(path)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" in str(missing):
             return None
         raise
 
 
+def read_archive(spark: SparkSession, path: str, columns) -> DataFrame | None:
+    """The archive of one fact, or None before its first run."""
+    return _read(spark, path, list(columns) + schemas.ARCHIVE_PARTS.fields)
+
+
 def spread(due: DataFrame, event_id: str, counts: DataFrame) -> DataFrame:
     """Rows by partition, a busy hour dealt to as many tasks as its rows (``counts.ids``) fill files.
 
@@ -79,7 +86,7 @@ def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
 
     The due rows are evaluated and written once; counting, sketches and the archive read what was written. Ids are
     compared with the sketches of their own partitions, and with the archive only where those do not rule them out.
-    Statistics are observed per written row.
+    Statistics and broken rules are observed per written row; rows that break a rule are also set apart (``read_broken``).
     """
     spark = table.rows.sparkSession
     path = f"{base}/{table.name}"
@@ -92,11 +99,15 @@ def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
     counts = write_sketches(due, table.event_id, path) if known is None or read_sketches(spark, path) else None
     if counts is None:  # an archive without sketches stays so, as a part of them would hide what is older
         counts = materialise(count_parts(due, table.event_id, ""), "due-counts")
+    if table.rules:
+        broken = due.withColumn("broken_rules", broken_rules(table.rules)).where(F.size("broken_rules") > 0)
+        broken.write.mode("append").parquet(broken_path(path))
     seen = Observation(f"archive-{table.name}")
     (
         spread(due, table.event_id, counts)
         .observe(
             seen, F.count("*").alias("records"), iso_text(F.min(table.ts)).alias("first"), iso_text(F.max(table.ts)).alias("last"),
+            *observed_rules(table.rules),
         )
         .write.mode("append").partitionBy(*PARTITION_COLUMNS).option("compression", "snappy").parquet(path)
     )
@@ -106,9 +117,25 @@ def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
         "record_count": stats["records"],
         "size_mb": round(stats["records"] * RECORD_BYTES / MEGABYTE, 2),
         "date_range": {"min": stats["first"], "max": stats["last"]},
+        "measures": {k: stats[k] for k in ["checked", *[r.name for r in table.rules]]},
     }
 
 
+def broken_path(archive_path: str) -> str:
+    """Beside the partitions, where readers of the data do not look."""
+    return f"{archive_path}/_broken"
+
+
+def read_broken(spark: SparkSession, archive_path: str, columns, event_id: str) -> DataFrame | None:
+    """Rows that broke a rule when they were archived, with ``broken_rules``; None if no rules were checked.
+
+    They are written before the archive, so an append that failed and was repeated has left them twice.
+    """
+    rules = schemas.T.StructField("broken_rules", schemas.T.ArrayType(schemas.T.StringType()))
+    found = _read(spark, broken_path(archive_path), [*columns, *schemas.ARCHIVE_PARTS.fields, rules])
+    return None if found is None else found.dropDuplicates([event_id])
+
+
 def retained(table: ArchiveTable, base: str, cutoff: datetime) -> DataFrame:
     """What stays hot: rows from the cutoff on, and earlier ones that the archive lacks."""
     limit = instant(table.rows, table.ts, cutoff)
@@ -123,7 +150,21 @@ def retained(table: ArchiveTable, base: str, cutoff: datetime) -> DataFrame:
 
 def stats_frame(spark: SparkSession, stats: list[dict]) -> DataFrame:
     """Statistics of a run: one row per archived table."""
-    return spark.createDataFrame(stats, schemas.ARCHIVE_STATS)
+    return spark.createDataFrame([{k: s[k] for k in schemas.ARCHIVE_STATS.names} for s in stats], schemas.ARCHIVE_STATS)
+
+
+def write_rule_report(spark: SparkSession, tables: list[ArchiveTable], stats: list[dict], base: str) -> None:
+    """Append (table, rule, checked, violations) of the rows that a run has archived."""
+    measured = {s["collection"]: s["measures"] for s in stats}
+    reports = [rule_report(spark, t.name, measured[t.name], t.rules) for t in tables if t.rules and t.name in measured]
+    if reports:
+        reduce(DataFrame.unionByName, reports).write.mode("append").json(f"{base}/rules")
+
+
+def read_rule_report(spark: SparkSession, base: str) -> DataFrame:
+    """Checked rows and violations of all runs."""
+    rows = spark.read.schema("table_name string, rule string, checked bigint, violations bigint").json(f"{base}/rules")
+    return rows.groupBy("table_name", "rule").agg(F.sum("checked").alias("checked"), F.sum("violations").alias("violations"))
 
 
 def totals(stats: DataFrame) -> DataFrame:
@@ -184,6 +225,7 @@ def run_archive(
     frame = stats_frame(spark, stats)
     if stats:
         write_manifest(manifest(frame, base, as_of, minutes), base)
+        write_rule_report(spark, tables, stats, base)
     if keep is not None:
         for table in tables:
             try:

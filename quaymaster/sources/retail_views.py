@@ -28,9 +28,13 @@ def priority_level(priority: Column) -> Column:
     )
 
 
+# What identifies an order line; order and line number alone are not unique.
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
+
+
 def line_id() -> Column:
-    """Identifier of an order line; order and line number alone are not unique."""
-    keys = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    """Identifier of an order line, from its keys."""
+    keys = [F.col(c) for c in LINE_KEYS[:4]]
     return stable_id(*keys, F.col("l_quantity").cast("int"), F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
@@ -81,7 +85,7 @@ class RetailViews:
 
     # Facts ----------------------------------------------------------------
 
-    def _order_lines(self) -> DataFrame:
+    def order_lines(self) -> DataFrame:
         lines, orders, customers = self.table("lineitem"), self.table("orders"), self.table("customer")
         return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
             customers, F.col("o_custkey") == F.col("c_custkey")
@@ -90,7 +94,7 @@ class RetailViews:
     def orders_fact(self) -> DataFrame:
         requested = F.col("l_quantity").cast("int")
         lost = F.greatest(requested - LINE_LIMIT, F.lit(0))
-        return self._order_lines().select(
+        return self.order_lines().select(
             line_id().alias(
                 "order_line_id"
             ),
@@ -115,7 +119,7 @@ class RetailViews:
         else:
             actual = arrival
         return (
-            self._order_lines()
+            self.order_lines()
             .where(F.col("l_shipdate") > F.col("o_orderdate"))
             .select(
                 line_id().alias(

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 import data
 from quaymaster.operators import accounting
 from quaymaster.operators.running import floored_total, running_total
+from quaymaster.session import scratch_path
+from quaymaster.sinks.segments import SegmentTable
+from quaymaster.sinks.warehouse import Warehouse
 
 STATE = "sku_id string, dc_id string, on_hand_qty int, safety_stock int, reorder_point int, last_updated timestamp"
 
@@ -113,6 +116,70 @@ def test_balance_closes_at_opening_plus_received_minus_sold(spark):
     assert served == {1: (6, 0, False), 2: (8, 1, True), 3: (0, 1, True)}
 
 
+def sent(spark, *rows):
+    return data.shipments(spark, *[
+        {"shipment_id": i, "sku_id": s, "destination_dc_id": "D", "quantity": q, "expected_arrival_ts": data.minutes_ago(m)} for i, s, q, m in rows])
+
+
+def stocked(spark):
+    return state(spark, ("S", "D", 3), ("T", "D", -4)).withColumn("on_hand_qty", F.col("on_hand_qty").cast("bigint"))
+
+
+@pytest.fixture
+def warehouse(spark):
+    shipments = sent(spark, ("a", "S", 5, 20), ("b", "T", 6, 10), ("c", "S", 7, 0), ("d", "X", 1, 30))
+    house = Warehouse(spark, scratch_path(spark, "warehouse"), shipments.schema, stocked(spark).schema)
+    house.start(shipments, stocked(spark))
+    return house
+
+
+def seen(house):
+    arrived = {r["shipment_id"]: r["actual_arrival_ts"] for r in house.shipments().collect()}
+    return {r["sku_id"]: r["on_hand_qty"] for r in house.state().collect()}, {k for k, t in arrived.items() if t is not None}
+
+
+def test_receiving_twice_receives_once(warehouse, spark):
+    assert seen(warehouse) == ({"S": 3, "T": -4}, set())
+    assert warehouse.receive(data.minutes_ago(10)) == 3
+    assert seen(warehouse) == ({"S": 8, "T": 2}, {"a", "b", "d"})
+    assert warehouse.receive(data.minutes_ago(10)) == 0
+    warehouse.add_shipments(sent(spark, ("e", "S", 100, 5)))
+    assert warehouse.receive(data.NOW, limit=1) == 1 and seen(warehouse) == ({"S": 108, "T": 2}, {"a", "b", "d", "e"})
+    assert warehouse.receive(data.NOW) == 1 and seen(warehouse) == ({"S": 115, "T": 2}, {"a", "b", "c", "d", "e"})
+
+
+@pytest.mark.parametrize("writes", [1, 2])
+def test_receiving_that_fails_between_its_writes_changes_nothing(warehouse, monkeypatch, writes):
+    """The run fails after one write, or after both and before the commit; its repeat gives what one run gives."""
+    real, done = SegmentTable.write, []
+
+    def write(self, *args, **more):
+        if len(done) == writes:
+            raise OSError("lost")
+        done.append(1)
+        return real(self, *args, **more)
+
+    monkeypatch.setattr(SegmentTable, "write", write)
+    if writes == 2:
+        monkeypatch.setattr(SegmentTable, "publish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        warehouse.receive(data.minutes_ago(10))
+    monkeypatch.undo()
+    assert seen(warehouse) == ({"S": 3, "T": -4}, set())
+    assert warehouse.receive(data.minutes_ago(10)) == 3
+    assert seen(warehouse) == ({"S": 8, "T": 2}, {"a", "b", "d"})
+
+
+def test_many_runs_are_folded(warehouse, spark, monkeypatch):
+    monkeypatch.setattr("quaymaster.sinks.warehouse.MOST_DELTAS", 2)
+    for i in range(6):
+        warehouse.add_shipments(sent(spark, (f"n{i}", "S", 1, 0)))
+        warehouse.receive(data.NOW)
+    assert seen(warehouse)[0] == {"S": 3 + 12 + 6, "T": 2} and len(seen(warehouse)[1]) == 10
+    kinds = [s["kind"] for s in warehouse.table.segments(warehouse.table.newest())]
+    assert kinds.count("arrivals") <= 2 and kinds.count("state") == 1
+
+
 def sequential(stock, events):
     """Receipts and orders one after the other: fulfilled units by order, balances by movement, closing stock."""
     left = {p: max(0, q) for p, q in stock.items()}

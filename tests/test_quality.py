@@ -1,7 +1,11 @@
 from datetime import timedelta
 
+from pyspark.sql import functions as F
+
 import data
 from quaymaster.operators import quality, setops
+from quaymaster.session import scratch_path
+from quaymaster.sinks import archive
 from quaymaster.sources.tables import keep_latest, latest_record
 
 GOOD = "0b9e4f0a-5f4c-4f4e-9a53-0d2f4b8f0c11"
@@ -43,6 +47,43 @@ def test_reference_check_counts_rows(spark):
     assert [tuple(r) for r in setops.orphans(sold, skus, "sku_id").collect()] == [("X", 2)]
 
 
+def test_all_references_of_a_fact_in_one_pass(spark):
+    sold = data.orders(spark, *[{"sku_id": s, "dc_id": d} for s, d in [("S", "D"), ("X", "D"), ("X", None), (None, "E"), ("S", "E")]])
+    references = [quality.Reference("sku_id", data.skus(spark, {"sku_id": "S"}, {"sku_id": "S"})),
+                  quality.Reference("dc_id", data.dcs(spark, {"dc_id": "D"})),
+                  quality.Reference("order_id", data.skus(spark), "sku_id")]
+    report = quality.check_references(sold, "orders_fact", references)
+    assert violations(report) == {"sku_id_exists": (4, 2), "dc_id_exists": (4, 2), "order_id_exists": (0, 0)}
+    # One exchange of the fact's counted keys, whatever the number of references.
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode(array(struct") == 1
+    assert violations(quality.check_references(sold.limit(0), "orders_fact", references)) == {
+        "sku_id_exists": (0, 0), "dc_id_exists": (0, 0), "order_id_exists": (0, 0)}
+
+
+def test_rows_without_their_match(spark):
+    sold = data.orders(spark, {"sku_id": "S", "dc_id": "D"}, {"sku_id": "S", "dc_id": "E"}, {"sku_id": None, "dc_id": "D"})
+    left = setops.missing_rows(sold, sold.where("dc_id = 'D'"), ["sku_id", "dc_id"])
+    assert sorted((r["sku_id"] or "", r["dc_id"]) for r in left.collect()) == [("", "D"), ("S", "E")]
+
+
+def test_rules_are_counted_while_rows_are_archived(spark):
+    rows = data.shipments(spark, *[
+        {"shipment_id": GOOD if i else "bad id", "quantity": i - 1, "shipment_ts": data.minutes_ago(300 + i), "supplier_id": f"s{i}",
+         "sku_id": f"k{i}", "lead_time_days": float(i)} for i in range(4)]).withColumn("shipment_id", F.concat("shipment_id", F.lit("")))
+    table = archive.ArchiveTable("shipments_fact", rows, "shipment_ts", "sku_id", None, tuple(quality.shipments_rules()))
+    base = scratch_path(spark, "rules")
+    for _ in range(2):  # the second run archives nothing and counts nothing
+        stats, errors = archive.run_archive(spark, [table], base, data.NOW)
+        assert errors == {}
+    report = archive.read_rule_report(spark, base)
+    assert violations(report) == {"arrival_not_before_expected": (4, 0), "quantity_positive": (4, 2), "shipment_id_is_uuid": (4, 1)}
+    broken = archive.read_broken(spark, f"{base}/shipments_fact", rows.schema.fields, "sku_id")
+    assert {r["sku_id"]: r["broken_rules"] for r in broken.collect()} == {"k0": ["quantity_positive", "shipment_id_is_uuid"], "k1": ["quantity_positive"]}
+    assert archive.read_archive(spark, f"{base}/shipments_fact", rows.schema.fields).count() == 4
+    assert archive.read_broken(spark, f"{base}/elsewhere", rows.schema.fields, "sku_id") is None
+
+
 def test_volumes_and_archive_decision(spark):
     volumes = quality.volume_report({"a": spark.range(1_000_000), "b": spark.range(10)})
     got = {r["table_name"]: tuple(r)[1:] for r in volumes.collect()}
