@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import re
 import shutil
+import sys
 import tempfile
 from typing import Callable, Iterable, Iterator
 
@@ -13,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Arrow batches are worked on in blocks of about this many characters.
 BLOCK_CHARS = 1_000_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +32,16 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package: those of a job that was not started with it on its path get a copy from the driver."""
+    """Prepare a session for Python workers that import this package.
+
+    Those of a job that was not started with it on its path get a copy from the driver. Arrow batches of texts are kept
+    to ``BATCH_BYTES``: an executor holds two copies of a batch for every task.
+    """
     import quaymaster
 
+    if BATCH_BYTES < _bytes(spark.conf.get(BATCH_SETTING, "64m")):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
     root = os.path.dirname(os.path.dirname(os.path.abspath(quaymaster.__file__)))
     on_path = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     sc = spark.sparkContext
@@ -39,6 +51,22 @@ def ship_package(spark: SparkSession) -> None:
     sc._quaymaster_shipped = True
 
 
+def _bytes(text: str) -> int:
+    """A size as Spark writes it, such as 64m or 67108864b."""
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", text.strip().lower()).groups()
+    value = int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+    return value if value > 0 else sys.maxsize
+
+
+def tidy() -> None:
+    """Return freed memory to the system: an idle worker would keep what its largest batch needed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 _HELD: dict = {}
 
 
@@ -71,6 +99,7 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]],
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], type=f.type) for f in target], schema=target
                 )
+        tidy()
 
     return df.mapInArrow(run, schema)
 

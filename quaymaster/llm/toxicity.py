@@ -33,11 +33,11 @@ import pyarrow.compute
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymaster.llm.common import blocks_of, held, map_batches, release, ship_package, texts_of
+from quaymaster.llm.common import blocks_of, held, map_batches, release, ship_package, texts_of, tidy
 from quaymaster.session import materialise
 
 SAMPLE_ROWS = 20_000  # labelled rows to learn from, at most
-CHANCE_FEATURES = 12  # that the bar for a feature lets through, if none of all told anything
+CHANCE_FEATURES = 1  # that the bar for a feature lets through, if none of all told anything
 THRESHOLD = 0.7
 
 # Letters that a digit or sign may stand for, and letters of other scripts that look alike.
@@ -107,6 +107,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 total += np.bincount(grams[(c0 > 0) | (c1 > 0)], minlength=SIZE**4)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["gram", "n"])
+        tidy()
 
     ship_package(docs.sparkSession)
     return texts_of(docs).select("text").mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -141,13 +142,13 @@ def fold(text: str) -> str:
 
 def drawn_out(part: str) -> bool:
     """Whether a letter stands three times in a row, or three letters stand twice."""
-    return bool(REPEATED.search(part)) or len(DOUBLES.findall(part)) > 2
+    return bool(DOUBLES.search(part)) and (bool(REPEATED.search(part)) or len(DOUBLES.findall(part)) > 2)
 
 
 class Restorer:
     """Viterbi decoder of disguised words; what it has decoded it remembers, up to a number of characters."""
 
-    REMEMBERED = 1_000_000  # characters in each of two generations; an entry takes about 40 bytes a character
+    REMEMBERED = 1_500_000  # characters in each of two generations; an entry takes about 30 bytes a character
     LONGEST = 64
 
     def __init__(self, log_probability: np.ndarray) -> None:
@@ -231,9 +232,9 @@ class Restorer:
         if found is None:
             words: list[str] = []
             plain = fold(token)
-            if plain != token:
+            if not token.isascii():
                 words += [p for p in PART.findall(token.casefold()) if p.isalpha() and not p.isascii()]
-            for part in PART.findall(plain):
+            for part in [plain] if plain.isalpha() else PART.findall(plain):
                 if part.isalpha():
                     words += [part] if not drawn_out(part) else self.decode(part)
                 elif any(c.isalpha() for c in part) or len(part) > 2 and len(set(part)) > 1 and not part.isdigit():
@@ -244,9 +245,10 @@ class Restorer:
     def words(self, text: str) -> set[str]:
         """Distinct restored words of a text."""
         out: set[str] = set()
-        token = self.token
+        known, token = self.memo.get, self.token
         for t in set(text.split()):
-            out.update(token(t))
+            found = known(t)
+            out.update(token(t) if found is None else found)
         for m in SPACED.finditer(text):
             letters = fold(re.sub(r"[\s.\-_/,]+", "", m.group()))
             if any(c.isalpha() for c in letters):
