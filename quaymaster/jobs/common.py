@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quaymaster import schemas
 from quaymaster.operators.setops import unify
+from quaymaster.session import build_session, scratch_scope
 from quaymaster.sinks.archive import read_archive
 from quaymaster.sinks.sketches import read_sketches
 from quaymaster.sources.tables import Period, newest_time, recent, scan, scan_archive
@@ -24,6 +27,14 @@ def parser(description: str) -> argparse.ArgumentParser:
     return out
 
 
+@contextmanager
+def job_session(name: str) -> Iterator[SparkSession]:
+    """Session of a job, whose derived tables are deleted at its end."""
+    spark = build_session(name)
+    with scratch_scope(spark):
+        yield spark
+
+
 def run_time(args) -> datetime:
     """Time of the run in UTC, without zone."""
     value = args.as_of or datetime.now(timezone.utc)

@@ -17,13 +17,15 @@ from quaymaster.plans.registry import DAYS, EVENTS_AS_OF, MINUTES, query, rounde
 from quaymaster.plans.sql import LINE_HASH, with_views
 from quaymaster.session import materialise, scratch_path
 from quaymaster.sinks import serving
-from quaymaster.sinks.archive import read_archive
+from quaymaster.sinks.archive import archive_folder, compact, read_archive
+from quaymaster.sinks.compaction import file_sizes, merges
 from quaymaster.sources.retail_views import RetailViews, line_id
 from quaymaster.sources.tables import Period, scan_stream
 from quaymaster.streaming import pipelines
 from quaymaster.streaming.partials import PartialSums, demand_partial, lead_time_partial, stock_partial
 from quaymaster.streaming.state_log import StateLog
 
+LONG = "100 days"  # lateness of a stream whose batches hold rows of all times
 CLOSED = f"{EVENTS_AS_OF} - INTERVAL 2 MINUTE"
 
 
@@ -142,6 +144,28 @@ def stream_archive(v):
     return rounded(out, 2, "total_value")
 
 
+@query("stream_archive_compacted", "S8 B1", """
+SELECT strftime(ts, '%Y-%m-%d') AS event_date, hour(ts)::INT AS event_hour, count(*) AS events, round(sum(value), 2) AS total_value,
+ true AS fewer_files FROM events GROUP BY ALL""")
+def stream_archive_compacted(v):
+    """Events are archived by several micro-batches, whose small files are then merged; readers see every row once."""
+    path = scratch_path(v.spark, "stream-archive")
+    events, columns = v.events(), [f for f in EVENTS.fields if f.name != "ts"]
+    for part in range(PARTS):
+        events.where(F.pmod("event_id", F.lit(PARTS)) == part).write.mode("append").parquet(f"{path}/source")
+    arriving = scan_stream(v.spark, EVENTS, f"{path}/source", maxFilesPerTrigger="1")
+    pipelines.to_archive(arriving, "ts", "event_id", f"{path}/events", f"{path}/checkpoint", LONG, spread=1).awaitTermination()
+    base = f"{path}/events"
+    files = lambda: file_sizes(archive_folder(v.spark, base, columns)).agg(F.count("*")).first()[0]
+    before = files()
+    replaced = compact(v.spark, base, columns, "event_id")
+    merged = file_sizes(merges(v.spark, base).read(merges(v.spark, base).segments(0), read_archive(v.spark, base, columns).schema)).agg(F.count("*")).first()[0]
+    rows = read_archive(v.spark, base, columns)
+    out = rows.groupBy(F.col("event_date").cast("string").alias("event_date"), "event_hour").agg(
+        F.count("*").alias("events"), F.sum("value").alias("total_value"))
+    return rounded(out, 2, "total_value").withColumn("fewer_files", F.lit(before - replaced + merged < before))
+
+
 @query("stream_inventory_state", "S7 B7 I1 I2", with_views("inventory_state", """
 SELECT sku_id, dc_id, (on_hand_qty + coalesce(total + greatest(0, -(on_hand_qty + least_total)), 0))::BIGINT AS on_hand_qty
 FROM inventory_state

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # An archive has a folder for every hour; listing them takes a task for each by default.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
 }
 
 
@@ -50,15 +55,34 @@ def run_root(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/quaymaster/{spark.sparkContext.applicationId}"
 
 
+_SCOPE: ContextVar[str] = ContextVar("scope", default="")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the folder of this run, never used before."""
-    return f"{run_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below the folder of this run and scope, never used before."""
+    return f"{run_root(spark)}{_SCOPE.get()}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is written to the shared folder inside is deleted at the end; for a job whose results are elsewhere by then."""
+    token = _SCOPE.set(f"{_SCOPE.get()}/scope-{uuid.uuid4().hex}")
+    folder = run_root(spark) + _SCOPE.get()
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        delete_folder(spark, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this run has written to the shared folder; for the end of a run, when its results are out."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_folder(spark, run_root(spark))
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -20,6 +20,8 @@ from quaymaster.functions.scalars import MEGABYTE, RECORD_BYTES, date_parts, ins
 from quaymaster.operators.membership import count_parts, not_archived
 from quaymaster.operators.quality import Rule, broken_rules, observed_rules, rule_report
 from quaymaster.session import materialise
+from quaymaster.sinks import compaction
+from quaymaster.sinks.compaction import TARGET_BYTES, visible
 from quaymaster.sinks.sketches import read_sketches, write_sketches
 from quaymaster.sources.tables import older_than
 
@@ -65,7 +67,13 @@ def _read(spark: SparkSession, path: str, fields) -> DataFrame | None:
 
 
 def read_archive(spark: SparkSession, path: str, columns) -> DataFrame | None:
-    """The archive of one fact, or None before its first run."""
+    """The archive of one fact with its published merges, or None before its first run."""
+    folder = archive_folder(spark, path, columns)
+    return None if folder is None else visible(spark, path, folder)
+
+
+def archive_folder(spark: SparkSession, path: str, columns) -> DataFrame | None:
+    """The files below an archive's partitions, merged or not."""
     return _read(spark, path, list(columns) + schemas.ARCHIVE_PARTS.fields)
 
 
@@ -235,11 +243,13 @@ def run_archive(
     return frame, errors
 
 
-def compact(spark: SparkSession, path: str, columns, start: datetime, end: datetime, target: str) -> None:
-    """Rewrite the small files of whole dates ``[start, end)`` into ``target`` with even file sizes."""
-    rows = spark.read.schema(schemas.T.StructType(list(columns) + schemas.ARCHIVE_PARTS.fields)).parquet(path)
-    (
-        rows.where((F.col("event_date") >= F.lit(start.date())) & (F.col("event_date") < F.lit(end.date())))
-        .hint("rebalance", *PARTITION_COLUMNS)
-        .write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(target)
-    )
+def compact(spark: SparkSession, path: str, columns, event_id: str, target_bytes: int = TARGET_BYTES) -> int:
+    """Merge the small files of an archive; returns how many files were replaced."""
+    folder = archive_folder(spark, path, columns)
+    return 0 if folder is None else compaction.compact(folder, path, event_id, target_bytes)
+
+
+def expire_replaced(spark: SparkSession, path: str, columns) -> int:
+    """Delete the files that merges have replaced; returns how many."""
+    folder = archive_folder(spark, path, columns)
+    return 0 if folder is None else compaction.expire(spark, path, folder)

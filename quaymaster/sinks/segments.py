@@ -15,6 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 
+# Segments lie side by side as partitions of one folder, so that several with partitions of their own are one scan.
+SEGMENT = "_segment"
+
+
 @dataclass(frozen=True)
 class SegmentTable:
     spark: SparkSession
@@ -30,7 +34,7 @@ class SegmentTable:
         return f"{self.base}/versions/v{version:012d}.json"
 
     def segment_path(self, segment: dict) -> str:
-        return f"{self.base}/segments/{segment['name']}"
+        return f"{self.base}/segments/{SEGMENT}={segment['name']}"
 
     def versions(self) -> list[int]:
         """Published versions, oldest first."""
@@ -48,7 +52,9 @@ class SegmentTable:
         """The list of a version: a few entries of some hundred bytes."""
         return json.loads(self.spark.read.text(self._list_path(version), wholetext=True).first()[0])
 
-    def write(self, rows: DataFrame, version: int, measures: dict[str, Column] | None = None, **attributes) -> dict:
+    def write(
+        self, rows: DataFrame, version: int, measures: dict[str, Column] | None = None, partition_by: list[str] | None = None, **attributes,
+    ) -> dict:
         """Write a segment for a version that is to be published.
 
         Its entry holds ``attributes``, the number of rows, and ``measures`` of them, which are taken while they are written.
@@ -56,7 +62,7 @@ class SegmentTable:
         entry = {"name": f"v{version:012d}-{uuid.uuid4().hex}", **attributes}
         seen = Observation(entry["name"])
         found = [F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (measures or {}).items()]]
-        rows.observe(seen, *found).write.parquet(self.segment_path(entry))
+        rows.observe(seen, *found).write.partitionBy(*(partition_by or [])).parquet(self.segment_path(entry))
         return {**entry, **seen.get}
 
     def publish(self, version: int, segments: list[dict]) -> None:
@@ -72,10 +78,12 @@ class SegmentTable:
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(target).toUri(), self.spark._jsc.hadoopConfiguration())
         context.rename(self._path(aside), self._path(target), how)
 
-    def read(self, segments: list[dict], schema: T.StructType) -> DataFrame:
+    def read(self, segments: list[dict], schema: T.StructType, *more: str) -> DataFrame:
+        """Rows of segments; ``more`` are columns of the scan itself, such as the name of the file."""
         if not segments:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[self.segment_path(s) for s in segments])
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.base}/segments")
+        return reader.parquet(*[self.segment_path(s) for s in segments]).select(*schema.names, *more)
 
     def clean(self, keep: int = 2) -> None:
         """Delete all but the newest ``keep`` versions, and the segments written for deleted or kept versions that none of the kept lists.
@@ -89,6 +97,6 @@ class SegmentTable:
         for old in found[:-keep]:
             self._files().delete(self._path(self._list_path(old)), False)
         for folder in self._files().listStatus(self._path(f"{self.base}/segments")):
-            name = folder.getPath().getName()
+            name = folder.getPath().getName().removeprefix(f"{SEGMENT}=")
             if name not in listed and int(name[1:13]) <= found[-1]:
                 self._files().delete(folder.getPath(), True)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from quaymaster import schemas
 from quaymaster.functions.scalars import instant
+from quaymaster.sinks.compaction import visible
 
 # Analysis window and lookback of the KPI job, in minutes.
 ANALYSIS_MINUTES = 15
@@ -54,7 +55,7 @@ def scan_archive(
     """
     ts = ts or schemas.FACT_TIME[table]
     full = schemas.archived(schema or schemas.TABLES[table])
-    df = spark.read.schema(full).parquet(f"{base}/{table}")
+    df = visible(spark, f"{base}/{table}", spark.read.schema(full).parquet(f"{base}/{table}"))
     if start is not None:
         df = df.where((F.col("event_date") >= F.lit(start.date())) & (F.col(ts) >= instant(df, ts, start)))
     if end is not None:

@@ -23,7 +23,7 @@ LATENESS = "2 minutes"
 WINDOW = "15 minutes"
 SLIDE = "1 minute"
 
-ARCHIVE_SPREAD = 8  # tasks that may write one partition in a micro-batch
+ARCHIVE_SPREAD = 8  # tasks that may write one partition in a micro-batch, by default
 
 
 def event_time(df: DataFrame, ts: str) -> DataFrame:
@@ -86,17 +86,18 @@ def to_files(df: DataFrame, path: str, checkpoint: str, partitions: list[str] |
     return writer.trigger(availableNow=True).start(path)
 
 
-def to_archive(df: DataFrame, ts: str, event_id: str, path: str, checkpoint: str, lateness: str = LATENESS) -> StreamingQuery:
+def to_archive(df: DataFrame, ts: str, event_id: str, path: str, checkpoint: str, lateness: str = LATENESS,
+               spread: int = ARCHIVE_SPREAD) -> StreamingQuery:
     """Streaming archive in the layout of the batch archive, each event once within the lateness bound.
 
-    The rows of a partition go to at most ``ARCHIVE_SPREAD`` tasks of a micro-batch, so a busy hour is
-    written in parallel without a file for every task. A stream writes no id sketches, so it is refused for an
+    The rows of a partition go to at most ``spread`` tasks of a micro-batch, so a busy hour is
+    written in parallel; ``archive.compact`` merges the files of many micro-batches. A stream writes no id sketches, so it is refused for an
     archive that has some: its rows would be taken for new ones.
     """
     if read_sketches(df.sparkSession, path) is not None:
         raise ValueError(f"{path} has id sketches; a stream does not keep them up")
     parted = deduplicated(df, ts, event_id, lateness).withColumns(date_parts(F.col(ts)))
-    part = F.pmod(F.xxhash64(event_id), F.lit(ARCHIVE_SPREAD))
+    part = F.pmod(F.xxhash64(event_id), F.lit(spread))
     return to_files(parted.repartition(*PARTITION_COLUMNS, part), path, checkpoint, PARTITION_COLUMNS)
 
 

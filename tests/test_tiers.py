@@ -9,6 +9,9 @@ from quaymaster.operators import membership, setops
 from quaymaster.session import materialise, scratch_path
 from quaymaster.sinks import archive, serving
 from quaymaster.sinks.archive import ArchiveTable
+from quaymaster.sinks.compaction import file_sizes, plan
+from quaymaster.sinks.hot import HotTable
+from quaymaster.sinks.segments import SegmentTable
 from quaymaster.sinks.sketches import read_sketches, sketch_path, write_sketches
 from quaymaster.streaming import pipelines
 from quaymaster.sources.tables import replace_table, scan_archive
@@ -115,6 +118,24 @@ def test_stream_does_not_append_to_a_sketched_archive(spark):
         pipelines.to_archive(sold(spark, [500]), "order_ts", "order_id", f"{base}/orders_fact", scratch_path(spark, "c"))
 
 
+def test_hot_scan_opens_only_files_of_its_time(spark):
+    schema = schemas.ORDERS_FACT
+    hot = HotTable(spark, scratch_path(spark, "hot"), schema, "order_ts")
+    assert hot.scan().count() == 0 and hot.files() == []
+    hot.append(sold(spark, range(1, 200)), files=10)
+    hot.append(sold(spark, [5, 500]).unionByName(data.orders(spark, {"order_id": "timeless", "order_ts": None})))
+    every = sorted([f"o{a}" for a in range(1, 200)] + ["o5", "o500", "timeless"])
+    assert ids(hot.scan()) == every
+    recent_rows = hot.scan(data.minutes_ago(15))
+    assert ids(recent_rows) == sorted([f"o{a}" for a in range(1, 16)] + ["o5"])
+    assert len(recent_rows.inputFiles()) < len(hot.files()) / 2
+    assert ids(hot.scan(data.minutes_ago(20), data.minutes_ago(10))) == [f"o{a}" for a in range(11, 21)]
+    assert ids(hot.scan(data.NOW + timedelta(days=1))) == []
+    gone = hot.retire(data.minutes_ago(100))
+    assert gone > 0 and set(ids(hot.scan())) >= {f"o{a}" for a in range(1, 101)} | {"o5", "timeless"}
+    assert len(hot.files()) + gone >= 11 and hot.retire(data.minutes_ago(100)) == 0
+
+
 def test_busy_partitions_are_split_and_ids_archived_once(spark, monkeypatch):
     monkeypatch.setattr(archive, "FILE_ROWS", 1)
     base = scratch_path(spark, "t")
@@ -170,16 +191,56 @@ def test_run_without_due_rows_writes_nothing(spark):
         spark.read.json(f"{base}/metadata")
 
 
-def test_compaction_keeps_the_rows(spark):
+def data_files(spark, base):
+    rows = archive.archive_folder(spark, f"{base}/orders_fact", schemas.ORDERS_FACT.fields)
+    return {r["file"] for r in file_sizes(rows).collect()}
+
+
+def test_compaction_swaps_files_for_readers(spark):
     base = scratch_path(spark, "t")
-    for ages in ([121, 130], [140, 2000]):
+    path, columns = f"{base}/orders_fact", schemas.ORDERS_FACT.fields
+    for ages in ([121, 2000], [130, 131], [140, 3000]):
         archive.append_new(table(sold(spark, ages)), base, CUTOFF)
-    target = scratch_path(spark, "t")
-    archive.compact(
-        spark, f"{base}/orders_fact", schemas.ORDERS_FACT.fields, data.NOW - timedelta(days=2), data.NOW + timedelta(days=1),
-        f"{target}/orders_fact",
-    )
-    assert ids(scan_archive(spark, target, "orders_fact")) == ["o121", "o130", "o140", "o2000"]
+    every = ["o121", "o130", "o131", "o140", "o2000", "o3000"]
+    small = data_files(spark, base)
+    early = scan_archive(spark, base, "orders_fact")  # a reader that has listed the old files
+    assert archive.compact(spark, path, columns, "order_id") == 3  # the hour that three runs have written
+    assert ids(scan_archive(spark, base, "orders_fact")) == every == ids(early) == ids(archive.read_archive(spark, path, columns))
+    assert ids(scan_archive(spark, base, "orders_fact", data.minutes_ago(200))) == ["o121", "o130", "o131", "o140"]
+    opened = {r[0] for r in archive.read_archive(spark, path, columns).select(F.input_file_name()).distinct().collect()}
+    assert len(opened) == 3  # one merged file and the two hours of one file
+    # Later rows of a merged hour are read beside it, and merged by the next run.
+    archive.append_new(table(sold(spark, [121, 150, 151])), base, CUTOFF)
+    archive.append_new(table(sold(spark, [152])), base, CUTOFF)
+    every = sorted([*every, "o150", "o151", "o152"])
+    assert ids(scan_archive(spark, base, "orders_fact")) == every
+    assert archive.compact(spark, path, columns, "order_id") == 2 and archive.compact(spark, path, columns, "order_id") == 0
+    assert ids(scan_archive(spark, base, "orders_fact")) == every
+    assert archive.expire_replaced(spark, path, columns) == 5 and archive.expire_replaced(spark, path, columns) == 0
+    assert len(data_files(spark, base)) == 2 and len(small & data_files(spark, base)) == 2
+    assert ids(scan_archive(spark, base, "orders_fact")) == every
+    assert ids(archive.retained(table(sold(spark, [1, 121, 150, 160])), base, CUTOFF)) == ["o1", "o160"]
+
+
+def test_compaction_that_is_not_published_changes_nothing(spark, monkeypatch):
+    base = scratch_path(spark, "t")
+    path, columns = f"{base}/orders_fact", schemas.ORDERS_FACT.fields
+    for ages in ([121], [130]):
+        archive.append_new(table(sold(spark, ages)), base, CUTOFF)
+    monkeypatch.setattr(SegmentTable, "publish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        archive.compact(spark, path, columns, "order_id")
+    monkeypatch.undo()
+    assert ids(scan_archive(spark, base, "orders_fact")) == ["o121", "o130"]
+    assert archive.compact(spark, path, columns, "order_id") == 2
+    assert ids(scan_archive(spark, base, "orders_fact")) == ["o121", "o130"]
+    assert archive.compact(spark, f"{base}/nothing", columns, "order_id") == 0
+
+
+def test_plan_takes_many_small_files_only(spark):
+    rows = [("2025-01-01", 1, f"a{i}", 10) for i in range(5)] + [("2025-01-01", 2, "b", 5)] + [("2025-01-01", 3, f"c{i}", 100) for i in range(2)]
+    files = spark.createDataFrame(rows, "event_date string, event_hour int, file string, bytes bigint")
+    assert [(r["event_hour"], r["merged"], sorted(r["names"])) for r in plan(files, 40).collect()] == [(1, 2, [f"a{i}" for i in range(5)])]
 
 
 def test_serving_records_expire_and_parse(spark):
