@@ -1,7 +1,7 @@
 """Which rows an archive already holds, without moving the archive.
 
 When rows are appended to an archive partition, their ids go into a sketch: the range of the ids and a Bloom filter in
-blocks of 512 bits. A row that may be in the archive is tested against the sketches of its own partition, one
+blocks of eight words, of which an id marks one. A row that may be in the archive is tested against the sketches of its own partition, one
 equality join for its block. The few that pass are looked up by id in the archive's partitions of their dates,
 so the answer is exact; the rest are known to be new. Sketches hold about 1.3 bytes for each archived id.
 """
@@ -18,7 +18,7 @@ from quaymaster.session import materialise
 PARTITION = ["event_date", "event_hour"]
 WORDS = 8  # of 64 bits, to a block
 BITS_OF_ID = 10  # of the filter, for each id
-PROBES = 6  # bits that an id sets in its block
+PROBES = 6  # bits that an id sets in its word
 
 
 @dataclass(frozen=True)
@@ -34,11 +34,13 @@ def _place(event_id: str) -> Column:
     return F.pmod(F.xxhash64(F.col(event_id).cast("string")), F.col("blocks"))
 
 
-def _probes(event_id: str) -> list[tuple[Column, Column]]:
-    """Word and bit of every probe of an id."""
-    spread = F.xxhash64(F.lit("probe"), F.col(event_id).cast("string"))
-    slots = [F.shiftrightunsigned(spread, 9 * k).bitwiseAND(F.lit(64 * WORDS - 1).cast("bigint")).cast("int") for k in range(PROBES)]
-    return [(F.shiftright(s, 6), s.bitwiseAND(F.lit(63))) for s in slots]
+def _bits(event_id: str) -> tuple[Column, Column]:
+    """The word of its block that an id marks, and the bits that it sets there."""
+    spread = F.xxhash64(F.lit("bits"), F.col(event_id).cast("string"))
+    field = lambda k, n: F.shiftrightunsigned(spread, k).bitwiseAND(F.lit(n - 1).cast("bigint")).cast("int")
+    one = F.lit(1).cast("bigint")
+    mask = reduce(lambda m, bit: m.bitwiseOR(bit), [F.call_function("shiftleft", one, field(3 + 6 * k, 64)) for k in range(PROBES)])
+    return field(0, WORDS), mask
 
 
 def count_parts(rows: DataFrame, event_id: str, run: str) -> DataFrame:
@@ -52,16 +54,14 @@ def count_parts(rows: DataFrame, event_id: str, run: str) -> DataFrame:
 
 def fill_blocks(rows: DataFrame, event_id: str, parts: DataFrame) -> DataFrame:
     """The filters of ``rows``: (partition, run, block, words)."""
-    one = F.lit(1).cast("bigint")
-    masks = []
-    for w in range(WORDS):
-        hits = [F.when(word == w, F.call_function("shiftleft", one, bit)).otherwise(F.lit(0).cast("bigint")) for word, bit in _probes(event_id)]
-        masks.append(reduce(lambda a, b: a.bitwiseOR(b), hits))
+    word, mask = _bits(event_id)
     placed = rows.select(*PARTITION, event_id).join(parts.select(*PARTITION, "run", "blocks"), PARTITION).select(
-        *PARTITION, "run", _place(event_id).alias("block"), *[m.alias(f"w{i}") for i, m in enumerate(masks)])
-    words = [f"w{i}" for i in range(WORDS)]
-    return placed.groupBy(*PARTITION, "run", "block").agg(*[F.bit_or(w).alias(w) for w in words]).select(
-        *PARTITION, "run", "block", F.array(*words).alias("words"))
+        *PARTITION, "run", _place(event_id).alias("block"), word.alias("word"), mask.alias("mask"))
+    names = [f"w{i}" for i in range(WORDS)]
+    nothing = F.lit(0).cast("bigint")
+    return placed.groupBy(*PARTITION, "run", "block").agg(
+        *[F.bit_or(F.when(F.col("word") == i, F.col("mask")).otherwise(nothing)).alias(n) for i, n in enumerate(names)]
+    ).select(*PARTITION, "run", "block", F.array(*names).alias("words"))
 
 
 def maybe_held(rows: DataFrame, event_id: str, sketches: Sketches) -> DataFrame:
@@ -69,8 +69,8 @@ def maybe_held(rows: DataFrame, event_id: str, sketches: Sketches) -> DataFrame:
     text = F.col(event_id).cast("string")
     near = rows.select(*PARTITION, event_id).join(sketches.parts, PARTITION).where(text.between(F.col("low"), F.col("high")))
     filters = near.withColumn("block", _place(event_id)).join(sketches.blocks, [*PARTITION, "run", "block"])
-    held = [F.call_function("getbit", F.get("words", word), bit) == 1 for word, bit in _probes(event_id)]
-    return filters.where(reduce(lambda a, b: a & b, held)).select(*PARTITION, event_id)
+    word, mask = _bits(event_id)
+    return filters.where(F.get("words", word).bitwiseAND(mask) == mask).select(*PARTITION, event_id)
 
 
 def dates_of(rows: DataFrame) -> tuple | None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from quaymaster import schemas
 from quaymaster.operators import kpis, setops
 from quaymaster.plans.kpi_run import Dimensions, Facts, compute_kpis, dashboard
@@ -10,7 +12,7 @@ from quaymaster.plans.registry import (
 )
 from quaymaster.plans.sql import with_views
 from quaymaster.sources.retail_views import RetailViews
-from quaymaster.session import scratch_path
+from quaymaster.session import folder_exists, move_folder, run_root, scratch_path
 from quaymaster.sinks.archive import ArchiveTable, append_new, read_archive
 from quaymaster.sinks.sketches import read_sketches
 from quaymaster.sources.tables import Period, recent
@@ -231,10 +233,9 @@ def revenue_trend(v):
 
 def history(v: RetailViews, name: str, facts, as_of):
     """A fact from both tiers: all but the window is archived, and the hot tier still holds a
-    window's length of archived rows, as after a run whose delete did not happen. Each call writes its archive."""
+    window's length of archived rows, as after a run whose delete did not happen."""
     ts, event_id, cutoff = schemas.FACT_TIME[name], HISTORY_ID[name], Period(as_of, MINUTES).start
-    base = scratch_path(v.spark, f"archive-{name}")
-    append_new(ArchiveTable(name, facts, ts, event_id), base, cutoff)
+    base = standing_archive(v, ArchiveTable(name, facts, ts, event_id), cutoff)
     hot = recent(facts, ts, Period(as_of, 2 * MINUTES))
     cold = read_archive(v.spark, f"{base}/{name}", facts.schema.fields)
     if cold is None:
@@ -242,6 +243,21 @@ def history(v: RetailViews, name: str, facts, as_of):
     return setops.unify(hot, cold, event_id, ts, cutoff, read_sketches(v.spark, f"{base}/{name}"))
 
 
+def standing_archive(v: RetailViews, table: ArchiveTable, cutoff) -> str:
+    """The archive of a fact, as a run before the query has left it: written where this application has none of these files yet.
+
+    It goes by the name, size and time of the files that the fact is read from, so a changed table gets another
+    one, and it is written aside and renamed, so what stands there is whole. ``archive_run`` measures the writing.
+    """
+    key = hashlib.md5(repr((v.file_versions(), table.name, cutoff)).encode()).hexdigest()
+    base = f"{run_root(v.spark)}/archives/{key}"
+    if not folder_exists(v.spark, base):
+        aside = scratch_path(v.spark, f"archive-{table.name}")
+        append_new(table, aside, cutoff)
+        move_folder(v.spark, aside, base)
+    return base
+
+
 HISTORY_ID = {"orders_fact": "order_line_id", "inventory_fact": "inventory_event_id", "shipments_fact": "shipment_id"}
 
 

@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from quaymaster.functions.scalars import moment
+from quaymaster.operators.quality import Rule, fails, range_rule
 from quaymaster.plans.kpi_run import kpis_from, publish
 from quaymaster.plans.q_kpis import (
     AVG_STOCK, LEVEL, PERFORMANCE, REGIONAL, RISK, USAGE, WI, WO, WS, cover_of, dimensions, window_inventory, window_orders,
@@ -166,6 +167,28 @@ def stream_archive_compacted(v):
     return rounded(out, 2, "total_value").withColumn("fewer_files", F.lit(before - replaced + merged < before))
 
 
+EVENT_RULES = [
+    Rule("value_not_negative", F.col("value") < 0), range_rule("value_range", "value", 10, 90),
+    Rule("user_known", fails(F.col("user_id").isNotNull())),
+]
+
+
+@query("stream_rule_report", "Q11 S8", """
+SELECT 'events' AS table_name, rule, checked, violations FROM (
+ SELECT 'value_not_negative' AS rule, count(*) AS checked, count(*) FILTER (value < 0) AS violations FROM events
+ UNION ALL SELECT 'value_range', count(*), count(*) FILTER (value NOT BETWEEN 10 AND 90) FROM events
+ UNION ALL SELECT 'user_known', count(*), count(*) FILTER (user_id IS NULL) FROM events)""")
+def stream_rule_report(v):
+    """Violations among the rows that a stream has written in several micro-batches, counted by the pass that writes them."""
+    path = scratch_path(v.spark, "checked")
+    for part in range(PARTS):
+        v.events().where(F.pmod("event_id", F.lit(PARTS)) == part).coalesce(1).write.mode("append").parquet(f"{path}/source")
+    stream = pipelines.checked(scan_stream(v.spark, EVENTS, f"{path}/source", maxFilesPerTrigger="1"), EVENT_RULES)
+    run = pipelines.to_files(stream.select("event_id", "value"), f"{path}/data", f"{path}/checkpoint")
+    run.awaitTermination()
+    return pipelines.stream_rule_report(run, "events", EVENT_RULES)
+
+
 @query("stream_inventory_state", "S7 B7 I1 I2", with_views("inventory_state", """
 SELECT sku_id, dc_id, (on_hand_qty + coalesce(total + greatest(0, -(on_hand_qty + least_total)), 0))::BIGINT AS on_hand_qty
 FROM inventory_state

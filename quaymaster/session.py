@@ -80,6 +80,21 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def move_folder(spark: SparkSession, folder: str, target: str) -> None:
+    """Rename a folder, unless another writer has put the target there first; an empty folder stands for one never written."""
+    source, path = (spark._jvm.org.apache.hadoop.fs.Path(f) for f in (folder, target))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path.getParent())
+    files.mkdirs(source)
+    if not files.exists(path):
+        files.rename(source, path)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this run has written to the shared folder; for the end of a run, when its results are out."""
     delete_folder(spark, run_root(spark))

@@ -78,15 +78,16 @@ def archive_folder(spark: SparkSession, path: str, columns) -> DataFrame | None:
 
 
 def spread(due: DataFrame, event_id: str, counts: DataFrame) -> DataFrame:
-    """Rows by partition, a busy hour dealt to as many tasks as its rows (``counts.ids``) fill files.
+    """Rows by partition, each id once, a busy hour dealt to as many tasks as its rows (``counts.ids``) fill files.
 
     The tasks are fixed in number, as merging small partitions would leave the opening of
-    their files to one task.
+    their files to one task. Rows of one id meet in a task, so they are deduplicated without a further exchange.
     """
     files = counts.select(*PARTITION_COLUMNS, F.ceil(F.col("ids") / FILE_ROWS).alias("_files"))
-    part = F.pmod(F.xxhash64(event_id), F.col("_files"))
+    dealt = due.join(files, PARTITION_COLUMNS).withColumn("_part", F.pmod(F.xxhash64(event_id), F.col("_files")))
     tasks = int(due.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return due.join(files, PARTITION_COLUMNS).repartition(tasks, *PARTITION_COLUMNS, part).select(*due.columns)
+    by_task = [*PARTITION_COLUMNS, "_part"]
+    return dealt.repartition(tasks, *by_task).dropDuplicates([*by_task, event_id]).select(*due.columns)
 
 
 def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
@@ -98,7 +99,7 @@ def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
     """
     spark = table.rows.sparkSession
     path = f"{base}/{table.name}"
-    due = materialise(with_date_parts(due_rows(table, cutoff), table.ts).dropDuplicates([table.event_id]), "due")
+    due = materialise(with_date_parts(due_rows(table, cutoff), table.ts), "due")
     known = read_archive(spark, path, table.rows.schema.fields)
     if known is not None:
         due = materialise(not_archived(due, table.event_id, known, read_sketches(spark, path)), "new")
@@ -108,7 +109,7 @@ def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
     if counts is None:  # an archive without sketches stays so, as a part of them would hide what is older
         counts = materialise(count_parts(due, table.event_id, ""), "due-counts")
     if table.rules:
-        broken = due.withColumn("broken_rules", broken_rules(table.rules)).where(F.size("broken_rules") > 0)
+        broken = due.withColumn("broken_rules", broken_rules(list(table.rules))).where(F.size("broken_rules") > 0)
         broken.write.mode("append").parquet(broken_path(path))
     seen = Observation(f"archive-{table.name}")
     (

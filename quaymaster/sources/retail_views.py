@@ -48,6 +48,15 @@ class RetailViews:
     def table(self, name: str) -> DataFrame:
         return scan(self.spark, schemas.BENCHMARK[name], f"{self.folder}/{name}.parquet")
 
+    def file_versions(self) -> list[tuple]:
+        """Name, size and time of the files of the fact tables: metadata only."""
+        found = []
+        for name in ("lineitem", "orders", "customer", "supplier", "part"):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}.parquet")
+            for f in path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path):
+                found.append((name, f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        return sorted(found)
+
     # Dimensions -----------------------------------------------------------
 
     def regions(self) -> DataFrame:

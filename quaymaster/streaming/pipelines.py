@@ -9,10 +9,11 @@ from __future__ import annotations
 from datetime import datetime
 from typing import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quaymaster.functions.scalars import date_parts
+from quaymaster.operators.quality import Rule, observed_rules, rule_report
 from quaymaster.sinks.archive import PARTITION_COLUMNS
 from quaymaster.sinks.sketches import read_sketches
 from quaymaster.streaming.partials import PartialSums
@@ -101,6 +102,18 @@ def to_archive(df: DataFrame, ts: str, event_id: str, path: str, checkpoint: str
     return to_files(parted.repartition(*PARTITION_COLUMNS, part), path, checkpoint, PARTITION_COLUMNS)
 
 
+def checked(df: DataFrame, rules: list[Rule], name: str = "rules") -> DataFrame:
+    """A stream whose rows are counted against rules on their way to its sink, for ``stream_rule_report``."""
+    return df.observe(name, *observed_rules(rules))
+
+
+def stream_rule_report(run: StreamingQuery, table: str, rules: list[Rule], name: str = "rules") -> DataFrame:
+    """(table, rule, checked, violations) over the micro-batches whose progress the query still holds: a few numbers each."""
+    seen = [p.observedMetrics[name].asDict() for p in run.recentProgress if name in p.observedMetrics]
+    totals = {k: sum(m[k] for m in seen) for k in ["checked", *[r.name for r in rules]]}
+    return rule_report(SparkSession.active(), table, totals, rules)
+
+
 def publish_each_batch(df: DataFrame, publish: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Call ``publish(frame, batch_id)`` for each micro-batch; it must overwrite by batch id."""
     return df.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
