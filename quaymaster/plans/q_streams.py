@@ -167,10 +167,11 @@ def stream_archive_compacted(v):
     return rounded(out, 2, "total_value").withColumn("fewer_files", F.lit(before - replaced + merged < before))
 
 
-EVENT_RULES = [
-    Rule("value_not_negative", F.col("value") < 0), range_rule("value_range", "value", 10, 90),
-    Rule("user_known", fails(F.col("user_id").isNotNull())),
-]
+def event_rules() -> list[Rule]:
+    return [
+        Rule("value_not_negative", F.col("value") < 0), range_rule("value_range", "value", 10, 90),
+        Rule("user_known", fails(F.col("user_id").isNotNull())),
+    ]
 
 
 @query("stream_rule_report", "Q11 S8", """
@@ -181,12 +182,13 @@ SELECT 'events' AS table_name, rule, checked, violations FROM (
 def stream_rule_report(v):
     """Violations among the rows that a stream has written in several micro-batches, counted by the pass that writes them."""
     path = scratch_path(v.spark, "checked")
+    rules = event_rules()
     for part in range(PARTS):
         v.events().where(F.pmod("event_id", F.lit(PARTS)) == part).coalesce(1).write.mode("append").parquet(f"{path}/source")
-    stream = pipelines.checked(scan_stream(v.spark, EVENTS, f"{path}/source", maxFilesPerTrigger="1"), EVENT_RULES)
+    stream = pipelines.checked(scan_stream(v.spark, EVENTS, f"{path}/source", maxFilesPerTrigger="1"), rules)
     run = pipelines.to_files(stream.select("event_id", "value"), f"{path}/data", f"{path}/checkpoint")
     run.awaitTermination()
-    return pipelines.stream_rule_report(run, "events", EVENT_RULES)
+    return pipelines.stream_rule_report(run, "events", rules)
 
 
 @query("stream_inventory_state", "S7 B7 I1 I2", with_views("inventory_state", """
