@@ -75,6 +75,26 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         delete_folder(spark, folder)
 
 
+_STAGES: dict[str, str] = {}
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """For a chain of stages that each write their result: what a stage writes inside is deleted when the next stage begins.
+
+    The frame that a stage returns may read it until then.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _STAGES:
+        delete_folder(spark, _STAGES.pop(app))
+    token = _SCOPE.set(f"{_SCOPE.get()}/stage-{uuid.uuid4().hex}")
+    _STAGES[app] = run_root(spark) + _SCOPE.get()
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
