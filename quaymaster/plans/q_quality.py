@@ -7,10 +7,9 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from quaymaster import schemas
-from quaymaster.functions.scalars import moment
 from quaymaster.operators import quality
 from quaymaster.operators.quality import Rule
-from quaymaster.plans.registry import DAYS, INVENTORY_AS_OF, ORDERS_AS_OF, query, rounded
+from quaymaster.plans.registry import DAYS, INVENTORY_AS_OF, ORDERS_AS_OF, query
 from quaymaster.plans.sql import LINE_HASH, ROW_ID, with_views
 from quaymaster.session import scratch_path
 from quaymaster.sinks.archive import ArchiveTable, append_new, read_broken, read_rule_report, retained, run_archive

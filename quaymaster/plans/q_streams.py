@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import functions as F
 
 from quaymaster.functions.scalars import moment

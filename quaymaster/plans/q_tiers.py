@@ -10,11 +10,11 @@ from quaymaster import schemas
 from quaymaster.operators import setops
 from quaymaster.plans.kpi_run import publish
 from quaymaster.plans.q_kpis import (
-    DIMS, LEVEL, AVG_STOCK, PERFORMANCE, REGIONAL, RISK, TOTALS_VIEWS, USAGE, WI, WO, WS, cover_of, kpi_set,
+    DIMS, LEVEL, AVG_STOCK, PERFORMANCE, REGIONAL, RISK, USAGE, WI, WO, WS, cover_of, kpi_set,
 )
-from quaymaster.plans.registry import DAYS, EVENTS_AS_OF, MINUTES, query, rounded
+from quaymaster.plans.registry import EVENTS_AS_OF, MINUTES, query, rounded
 from quaymaster.plans.sql import with_views
-from quaymaster.session import materialise, scratch_path
+from quaymaster.session import scratch_path
 from quaymaster.sinks import archive, serving
 from quaymaster.sinks.archive import ArchiveTable
 from quaymaster.sinks.hot import HotTable

@@ -3,8 +3,7 @@ from datetime import timedelta
 import pytest
 
 import data
-from quaymaster import schemas
-from quaymaster.jobs import archive, kpis, monitor
+from quaymaster.jobs import archive, compact, kpis, monitor
 from quaymaster.session import scratch_path
 from quaymaster.sinks import serving
 from quaymaster.sources.tables import scan_archive
@@ -87,3 +86,17 @@ def test_monitor_job_writes_reports(spark, tables):
     rules = {r["rule"]: r["violations"] for r in spark.read.json(f"{out}/quality").collect()}
     assert rules["order_id_is_uuid"] == 2 and rules["supplier_id_exists"] == 0
     assert {r["table_name"]: r["age_seconds"] for r in spark.read.json(f"{out}/freshness").collect()}["orders_fact"] == 60
+
+
+def test_compaction_job_merges_and_expires(spark, tables):
+    cold = scratch_path(spark, "cold")
+    for minutes in (280, 120):
+        archive.main(["--tables", tables, "--archive", cold, "--threshold-mb", "-1", "--older-than-minutes", str(minutes), *AS_OF])
+    extra = data.orders(spark, {**PAIR, "order_id": "late", "order_ts": data.minutes_ago(299)})
+    extra.write.mode("append").parquet(f"{tables}/orders_fact")
+    archive.main(["--tables", tables, "--archive", cold, "--threshold-mb", "-1", *AS_OF])
+    for expire in ([], ["--expire"], []):
+        compact.main(["--archive", cold, *expire])
+        assert sorted(r["order_id"] for r in scan_archive(spark, cold, "orders_fact").collect()) == ["late", "old"]
+    rules = {r["rule"]: r["violations"] for r in spark.read.json(f"{cold}/rules").where("table_name = 'orders_fact'").collect()}
+    assert rules["order_id_is_uuid"] >= 1
