@@ -148,6 +148,36 @@ def test_a_third_of_the_rows_are_copies(docs, words):
     assert {got[i] for i in range(51)} == {0} and all(got[i] == i for i in got if i >= 100)
 
 
+def test_document_frequencies_against_counting(docs, words):
+    line = words(8, 1)
+    texts = [words(30, 10 + i) + (" " + line if i % 3 else "") + (" " + words(20, 2)) * (i > 36) for i in range(40)]
+    counted = [i % 4 > 0 for i in range(40)]
+    df = Counter(s for t, c in zip(texts, counted) if c for s in set(minhash.shingles(t).view(np.int64).tolist()))
+    spark = docs((1, "a")).sparkSession
+    rows = spark.createDataFrame([(i % 3, t, c) for i, (t, c) in enumerate(zip(texts, counted))], "block long, text string, counted boolean")
+    got = {}
+    for r in minhash.common_shingles(rows, sum(counted), 3, 4).collect():
+        for shingle, idf in zip(r["shingles"], r["idf"]):
+            assert (r["block"], shingle) not in got
+            got[r["block"], shingle] = idf
+    held = {(i % 3, s) for i, t in enumerate(texts) for s in minhash.shingles(t).view(np.int64).tolist()}
+    want = {(b, s): np.log1p(sum(counted) / df[s]) / np.log1p(sum(counted)) for b, s in held if df[s] > 1}
+    assert set(got) == set(want) and max(abs(got[k] - want[k]) for k in want) < 1e-6
+    assert len(set(want.values())) > 1 and max(df.values()) > 1 and min(n for n in df.values() if n > 1) <= sum(counted) / 20 * 2
+
+
+def test_a_passage_of_few_documents_counts_less(docs, words):
+    """It stands in 4 of some 100 documents, which are fewer than a twentieth."""
+    passage, own = words(104, 1), words(70, 2)
+    rows = [(i, f"{passage} {own} {words(20, 3 + i)}") for i in range(2)]
+    a, b = (set(minhash.shingles(t).tolist()) for _, t in rows)
+    assert len(a & b) / len(a | b) >= 0.8
+    rows += [(10 + i, f"{passage} {words(100, 10 + i)}") for i in range(3)]
+    rows += [(100 + i, words(60, 100 + i)) for i in range(100)]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_copies(docs(*rows)).collect()}
+    assert all(got[i] == i for i, _ in rows)
+
+
 def test_near_copies_of_an_empty_table(docs):
     empty = docs((1, "a")).limit(0)
     assert minhash.near_copies(empty).collect() == [] and minhash.one_of_each(empty).collect() == []
