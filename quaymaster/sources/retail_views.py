@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quaymaster import schemas
 from quaymaster.functions.scalars import moment, ratio, stable_id
+from quaymaster.session import size_tasks
 from quaymaster.sources.tables import newest_time, scan
 
 LINE_LIMIT = 40
@@ -44,6 +45,7 @@ class RetailViews:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        size_tasks(spark, sum(size for _, _, size, _ in self.file_versions()))
 
     def table(self, name: str) -> DataFrame:
         return scan(self.spark, schemas.BENCHMARK[name], f"{self.folder}/{name}.parquet")
@@ -53,7 +55,8 @@ class RetailViews:
         found = []
         for name in ("lineitem", "orders", "customer", "supplier", "part"):
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}.parquet")
-            for f in path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path):
+            files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            for f in files.listStatus(path) if files.exists(path) else []:
                 found.append((name, f.getPath().toString(), f.getLen(), f.getModificationTime()))
         return sorted(found)
 
