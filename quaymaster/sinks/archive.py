@@ -30,6 +30,7 @@ OLDER_THAN_MINUTES = 120
 PARTITION_COLUMNS = ["event_date", "event_hour"]
 
 FILE_ROWS = 1_000_000  # rows of a partition that one task writes
+TASK_ROWS = 200_000  # mean rows of a task that sorts rows by partition and id
 
 
 @dataclass(frozen=True)
@@ -80,12 +81,13 @@ def archive_folder(spark: SparkSession, path: str, columns) -> DataFrame | None:
 def spread(due: DataFrame, event_id: str, counts: DataFrame) -> DataFrame:
     """Rows by partition, each id once, a busy hour dealt to as many tasks as its rows (``counts.ids``) fill files.
 
-    The tasks are fixed in number, as merging small partitions would leave the opening of
+    The tasks are fixed in number by the rows, as merging small partitions would leave the opening of
     their files to one task. Rows of one id meet in a task, so they are deduplicated without a further exchange.
     """
     files = counts.select(*PARTITION_COLUMNS, F.ceil(F.col("ids") / FILE_ROWS).alias("_files"))
     dealt = due.join(files, PARTITION_COLUMNS).withColumn("_part", F.pmod(F.xxhash64(event_id), F.col("_files")))
-    tasks = int(due.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = counts.agg(F.sum("ids")).first()[0] or 0
+    tasks = max(int(due.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
     by_task = [*PARTITION_COLUMNS, "_part"]
     return dealt.repartition(tasks, *by_task).dropDuplicates([*by_task, event_id]).select(*due.columns)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 import data
 from quaymaster import schemas
 from quaymaster.operators import membership, setops
-from quaymaster.session import scratch_path
+from quaymaster.session import materialise, scratch_path
 from quaymaster.sinks import archive, serving
 from quaymaster.sinks.archive import ArchiveTable
 from quaymaster.sinks.compaction import file_sizes, plan
@@ -270,3 +270,39 @@ def test_replaced_table_has_the_new_rows_only(spark):
     for n in (3, 2):
         replace_table(spark.range(n).select(F.col("id").cast("string").alias("region_id")), path, T.StructType([T.StructField("region_id", T.StringType())]))
     assert spark.read.parquet(path).count() == 2
+
+
+def test_tasks_of_an_archive_run_follow_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(archive, "TASK_ROWS", 10)
+    day = F.lit("2025-03-01").cast("date").alias("event_date")
+    due = spark.range(300).select(
+        F.col("id").alias("event_id"), F.col("id").cast("string").alias("text"), day, F.pmod("id", F.lit(24)).cast("int").alias("event_hour"))
+    counts = due.groupBy("event_date", "event_hour").agg(F.count("*").alias("ids"))
+    path = scratch_path(spark, "spread")
+    archive.spread(materialise(due, "due"), "event_id", materialise(counts, "counts")).write.parquet(path)
+    out = spark.read.parquet(path)
+    assert out.count() == 300 and len(out.inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_partitions_follow_the_input(spark):
+    from quaymaster import session
+
+    names = [session.INITIAL_PARTITIONS, session.SPLIT_SETTING]
+    before = [spark.conf.get(n, None) for n in names]
+    try:
+        session.size_tasks(spark, 1 << 30)
+        assert spark.range(10).repartitionByRange("id").rdd.getNumPartitions() <= 256 == int(spark.conf.get(names[0]))
+        session.size_tasks(spark, 1)
+        assert spark.conf.get(names[0]) == "256"
+        assert spark.conf.get(names[1]) == session.SPLIT_BYTES
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_a_written_table_leaves_no_shuffle_setting(spark):
+    from quaymaster import session
+
+    out = session.materialise(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert out.count() == 7 and spark.conf.get(session.SHUFFLE_CLEANUP, "false") == "false"
+    assert all(f.endswith(".zstd.parquet") for f in out.inputFiles())
