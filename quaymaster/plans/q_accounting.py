@@ -30,15 +30,8 @@ def run_at(v: RetailViews):
 
 
 def order_requests(v: RetailViews):
-    """Requested units per order and pair: the lines of an order are one request.
-
-    Written once, as a running total reads its rows twice and the joins behind them cost
-    more than the write.
-    """
-    requests = v.orders_fact().groupBy("order_id", "sku_id", "dc_id", "order_ts").agg(
-        F.sum("requested_qty").alias("requested_qty")
-    )
-    return materialise(requests, "order-requests")
+    """Requested units per order and pair: the lines of an order are one request."""
+    return v.orders_fact().groupBy("order_id", "sku_id", "dc_id", "order_ts").agg(F.sum("requested_qty").alias("requested_qty"))
 
 
 OPEN = f"SELECT * REPLACE (CASE WHEN actual_arrival_ts <= {RECEIVED_UNTIL} THEN actual_arrival_ts END AS actual_arrival_ts) FROM shipments_fact"

@@ -98,10 +98,10 @@ class RetailViews:
     # Facts ----------------------------------------------------------------
 
     def order_lines(self) -> DataFrame:
+        """Lines with their order and customer. Customers join the orders, which are fewer, so lines move once."""
         lines, orders, customers = self.table("lineitem"), self.table("orders"), self.table("customer")
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-            customers, F.col("o_custkey") == F.col("c_custkey")
-        )
+        placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        return lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
 
     def orders_fact(self) -> DataFrame:
         requested = F.col("l_quantity").cast("int")

@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import data
-from quaymaster.operators import accounting
-from quaymaster.operators.running import floored_total, running_total
+from quaymaster.operators import accounting, running
+from quaymaster.operators.running import floored_total, net_change, running_total
 from quaymaster.session import scratch_path
 from quaymaster.sinks.segments import SegmentTable
 from quaymaster.sinks.warehouse import Warehouse
@@ -237,6 +237,52 @@ def test_floored_total_spreads_a_hot_key(spark, sliced):
     assert df.repartitionByRange("key", "at").where("key = 'hot'").select(F.spark_partition_id()).distinct().count() > 1
 
 
+def moved(spark, seed):
+    """Rows of a hot key, of a hot null key and of small ones."""
+    rng = random.Random(seed)
+    rows = [((None if i % 3 == 1 else "hot") if i % 3 else f"k{i % 40}", i, rng.randint(-20, 18)) for i in range(3000)]
+    return rows, spark.createDataFrame(rows, "key string, at int, units bigint")
+
+
+@pytest.mark.parametrize("buckets", [1, 1 << 16])
+def test_hot_keys_are_sliced_and_the_others_are_not(spark, sliced, monkeypatch, buckets):
+    monkeypatch.setattr(running, "HOT_ROWS", 100)
+    monkeypatch.setattr(running, "BUCKETS", buckets)
+    rows, df = moved(spark, 5)
+    cold, hot = running.by_heat(df, ["key"])
+    assert {r["key"] for r in hot.select("key").distinct().collect()} == {"hot", None}
+    assert cold.count() + hot.count() == 3000 and cold.where("key is null or key = 'hot'").isEmpty()
+    got = {r["at"]: (r["before"], r["after"]) for r in floored_total(df, ["key"], ["at"], "units", "before", "after").collect()}
+    level: dict = {}
+    for key, at, units in rows:
+        before = level.get(key, 0)
+        level[key] = max(0, before + units)
+        assert got[at] == (before, level[key])
+
+
+def test_keys_of_a_full_bucket_need_not_be_hot(spark, monkeypatch):
+    monkeypatch.setattr(running, "HOT_ROWS", 100)
+    monkeypatch.setattr(running, "BUCKETS", 1)
+    assert running.by_heat(spark.range(300).select((F.col("id") % 20).alias("key")), ["key"])[1] is None
+
+
+@pytest.mark.parametrize("most", [100, 10_000])
+def test_net_change_equals_the_loop(spark, sliced, monkeypatch, most):
+    monkeypatch.setattr(running, "HOT_ROWS", most)
+    rows, df = moved(spark, 6)
+    sums: dict = {}
+    for key, _, units in rows:
+        total, least = sums.get(key, (0, None))
+        sums[key] = (total + units, total + units if least is None else min(least, total + units))
+    assert {r["key"]: (r["total"], r["least"]) for r in net_change(df, ["key"], ["at"], "units").collect()} == sums
+
+
+def test_small_keys_are_moved_by_one_exchange(spark):
+    _, df = moved(spark, 7)
+    plan = floored_total(df, ["key"], ["at"], "units", "before", "after")._jdf.queryExecution().toString()
+    assert plan.partition("== Physical Plan ==")[2].count("Exchange") == 1 and "Join" not in plan
+
+
 def test_reorder_at_the_reorder_point(spark, rows):
     skus = data.skus(spark, {"sku_id": "S", "demand_base_lambda": 10}, {"sku_id": "T", "demand_base_lambda": 1})
     low = accounting.reorder_candidates(state(spark, ("S", "D", 10), ("T", "D", 9), ("S", "E", 11), ("X", "D", 0)), skus)
