@@ -202,7 +202,8 @@ def stream_inventory_state(v):
     orders, at the supplier's center."""
     first, last = v.table("lineitem").agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
     cuts = [first + (last - first) * i / PARTS for i in range(1, PARTS)] + [None]
-    lines = v.table("lineitem").withColumn("line_id", line_id())
+    lines = v.table("lineitem").select(
+        "l_partkey", "l_suppkey", "l_quantity", "l_linestatus", "l_shipdate", line_id().alias("line_id"))
     centers = v.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("dc_id"))
     initial = v.inventory_state().withColumn("on_hand_qty", F.col("on_hand_qty").cast("bigint"))
     path, start = scratch_path(v.spark, "state"), None

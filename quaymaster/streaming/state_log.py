@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quaymaster.functions.scalars import moment
 from quaymaster.operators.accounting import PAIR
-from quaymaster.operators.running import running_total
+from quaymaster.operators.running import net_change
 from quaymaster.sinks.segments import SegmentTable
 
 MOST_DELTAS = 8
@@ -27,10 +27,8 @@ def change_of(moves: DataFrame, order: list[str], seq: int, as_of: datetime, sta
     """What receipts and orders, in their order, do to every pair: (pair, seq, total, least, moved_at)."""
     signed = F.when(F.col("kind") == "receipt", F.col("units")).otherwise(-F.col("units"))
     rows = moves.select(*PAIR, *order, signed.cast("bigint").alias("_units"))
-    run = running_total(rows, PAIR, order, "_units", "_before")
-    return run.groupBy(*PAIR).agg(
-        F.sum("_units").alias("total"), F.min(F.col("_before") + F.col("_units")).alias("least")
-    ).select(*PAIR, F.lit(seq).cast("bigint").alias("seq"), "total", "least", moment(as_of, stamp).alias("moved_at"))
+    return net_change(rows, PAIR, order, "_units").select(
+        *PAIR, F.lit(seq).cast("bigint").alias("seq"), "total", "least", moment(as_of, stamp).alias("moved_at"))
 
 
 def composed(changes: DataFrame) -> DataFrame:
@@ -84,7 +82,10 @@ class StateLog:
     def _read(self, segments: list[dict]) -> DataFrame:
         deltas = [s for s in segments if s["kind"] == "delta"]
         base = self.table.read([s for s in segments if s["kind"] == "base"], self.schema)
-        return applied(base, composed(self.table.read(deltas, self.changes))) if deltas else base
+        if not deltas:
+            return base
+        changes = self.table.read(deltas, self.changes)
+        return applied(base, composed(changes) if len(deltas) > 1 else changes)
 
     def read(self, version: int | None = None) -> DataFrame:
         """The state of a version, the newest by default."""
