@@ -120,7 +120,13 @@ def observed_rules(rules: list[Rule]) -> list[Column]:
 
 def broken_rules(rules: list[Rule]) -> Column:
     """Names of the rules that a row breaks; empty for a sound row."""
-    return F.array_compact(F.array(*[F.when(r.violated, F.lit(r.name)) for r in rules]))
+    none = F.array().cast("array<string>")
+    return F.concat(none, *[F.when(r.violated, F.array(F.lit(r.name))).otherwise(none) for r in rules])
+
+
+def breaks_any(rules: list[Rule]) -> Column:
+    """Whether a row breaks one of the rules."""
+    return reduce(Column.__or__, [F.coalesce(r.violated, F.lit(False)) for r in rules], F.lit(False))
 
 
 def rule_report(spark: SparkSession, table: str, measures: dict, rules: list[Rule]) -> DataFrame:

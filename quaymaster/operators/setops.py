@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quaymaster import schemas
 from quaymaster.functions.scalars import date_parts, instant
@@ -49,3 +49,9 @@ def orphans(fact: DataFrame, dimension: DataFrame, key: str, dimension_key: str
 def missing_rows(fact: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of a fact whose keys the other table lacks, for keys that are nearly unique: grouping first would save nothing."""
     return fact.join(other.select(*keys), keys, "left_anti")
+
+
+def one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each key, whichever, by a sort of whole rows; ``dropDuplicates`` aggregates every column besides."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[-1]))
+    return df.withColumn("_nth", nth).where(F.col("_nth") == 1).drop("_nth")

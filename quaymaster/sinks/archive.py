@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from quaymaster import schemas
 from quaymaster.functions.scalars import MEGABYTE, RECORD_BYTES, date_parts, instant, iso_text
 from quaymaster.operators.membership import count_parts, not_archived
-from quaymaster.operators.quality import Rule, broken_rules, observed_rules, rule_report
+from quaymaster.operators.quality import Rule, breaks_any, broken_rules, observed_rules, rule_report
+from quaymaster.operators.setops import one_of_each
 from quaymaster.session import materialise
 from quaymaster.sinks import compaction
 from quaymaster.sinks.compaction import TARGET_BYTES, visible
@@ -89,7 +90,7 @@ def spread(due: DataFrame, event_id: str, counts: DataFrame) -> DataFrame:
     rows = counts.agg(F.sum("ids")).first()[0] or 0
     tasks = max(int(due.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
     by_task = [*PARTITION_COLUMNS, "_part"]
-    return dealt.repartition(tasks, *by_task).dropDuplicates([*by_task, event_id]).select(*due.columns)
+    return one_of_each(dealt.repartition(tasks, *by_task), [*by_task, event_id]).select(*due.columns)
 
 
 def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
@@ -111,7 +112,7 @@ def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
     if counts is None:  # an archive without sketches stays so, as a part of them would hide what is older
         counts = materialise(count_parts(due, table.event_id, ""), "due-counts")
     if table.rules:
-        broken = due.withColumn("broken_rules", broken_rules(list(table.rules))).where(F.size("broken_rules") > 0)
+        broken = due.where(breaks_any(list(table.rules))).withColumn("broken_rules", broken_rules(list(table.rules)))
         broken.write.mode("append").parquet(broken_path(path))
     seen = Observation(f"archive-{table.name}")
     (

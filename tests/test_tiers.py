@@ -6,6 +6,8 @@ from pyspark.sql import functions as F, types as T
 import data
 from quaymaster import schemas
 from quaymaster.operators import membership, setops
+from quaymaster.operators.quality import Rule, breaks_any, broken_rules
+from quaymaster.operators.setops import one_of_each
 from quaymaster.session import materialise, scratch_path
 from quaymaster.sinks import archive, serving
 from quaymaster.sinks.archive import ArchiveTable
@@ -284,6 +286,25 @@ def test_tasks_of_an_archive_run_follow_its_rows(spark, monkeypatch):
     assert out.count() == 300 and len(out.inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@pytest.mark.parametrize("late", [None, False, True])
+def test_broken_rows_have_each_id_once(spark, late):
+    rules = [Rule("late", F.col("late")), Rule("small", F.col("n") < 2)]
+    rows = spark.createDataFrame([(1, late, 1), (1, late, 1), (None, late, 1), (None, late, 1), (3, late, 5)], "id int, late boolean, n int")
+    broken = one_of_each(rows.where(breaks_any(rules)).withColumn("names", broken_rules(rules)), ["id"])
+    names = ["late", "small"] if late else ["small"]
+    expected = [(None, names), (1, names)] + ([(3, ["late"])] if late else [])
+    assert sorted([(r["id"], r["names"]) for r in broken.collect()], key=str) == sorted(expected, key=str)
+
+
+def test_archived_ids_are_sorted_once_and_not_aggregated(spark):
+    due = spark.range(30).select(
+        F.col("id").alias("event_id"), F.col("id").cast("string").alias("text"), F.lit("2025-03-01").cast("date").alias("event_date"),
+        F.lit(1).alias("event_hour"))
+    counts = materialise(due.groupBy("event_date", "event_hour").agg(F.count("*").alias("ids")), "counts")
+    plan = archive.spread(materialise(due, "due"), "event_id", counts)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count(" Sort ") == 1
+
+
 def test_partitions_follow_the_input(spark):
     from quaymaster import session
 
