@@ -1,4 +1,4 @@
-"""Removal of every byte that a repeated 200-byte string covers, by suffix arrays of shards.
+"""Removal of every byte that a repeated 200-byte string covers, by sparse suffix arrays of shards.
 
 1. Anchors. Of the 64-byte grams inside every 200-byte window the one of least hash (the leftmost, if
    equal) is an anchor. It depends on the window's bytes only, so two equal windows have
@@ -6,10 +6,11 @@
 2. An anchor that occurs once proves its windows unique. Occurrences of equal contexts prove all
    their windows repeated: what copies and the insides of shared passages come down to. Both
    follow from counts of hashes. Left are anchors with several contexts, at the edges.
-3. The different contexts of those anchors go into shards of bounded size, by anchor. A shard's
-   suffix array is built by Larsson-Sadakane refinement (order by 7 bytes, then double the
-   compared length, sorting again only what is still tied), its common prefixes by Kasai's rule. Windows
-   of one anchor and offset whose suffixes share 200 bytes are repeated.
+3. The different contexts of those anchors go into shards of bounded size, by anchor. A shard sorts, in place of
+   all its suffixes, those that begin at anchors, and the texts before anchors, read backwards; common
+   prefixes of neighbours in the two orders say which windows of one anchor and offset share 200 bytes. (The
+   suffix array of a whole shard, by Larsson-Sadakane refinement with Kasai's prefixes, is kept as a
+   reference: tests compare the two.)
 4. An anchor with too many contexts for one shard has several. Each hands over its sorted
    distinct windows as hashes, cut into ranges; a merging task finds by binary search which windows of
    one shard occur in another.
@@ -206,33 +207,57 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, fences: np.ndarray, mos
     return shared[order]
 
 
+def ordered_parts(parts: list[bytes], width: int, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the parts by anchor, then by their bytes, and the common prefix of each with the one before it.
+
+    Parts are filled up with zeros to ``width``; with the part before of another anchor there is none (-1).
+    """
+    filled = np.array(parts, f"S{width}")
+    order = np.argsort(filled, kind="stable")
+    order = order[np.argsort(anchors[order], kind="stable")]
+    data = filled.view(np.uint8).reshape(len(parts), width)[order]
+    differ = data[1:] != data[:-1]
+    shared = np.full(len(parts), -1, np.int64)
+    shared[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    shared[1:][anchors[order][1:] != anchors[order][:-1]] = -1
+    return order, shared
+
+
 def repeated_windows(bodies: list[bytes], anchors: np.ndarray, lefts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All windows of a shard's contexts by their group of equals.
 
     Returns, for each window, its context, its start there, its group (windows of one anchor and one offset
-    that share 200 bytes) and the group's size; windows in suffix order.
+    that share 200 bytes) and the group's size; windows by group.
+
+    A window that begins ``o`` bytes before its anchor is ``o`` bytes before it and 200 - o from it on. Sorted are, in
+    place of all suffixes of the shard, those that begin at an anchor, and the texts before anchors, read
+    backwards: what shares k bytes is a run of either order, cut where a common prefix is below k.
     """
-    lengths = np.fromiter(map(len, bodies), np.int64, len(bodies))
-    ends = np.cumsum(lengths)
-    starts = ends - lengths
-    data = np.frombuffer(b"".join(bodies), np.uint8)
-    order = suffix_array(data)
-    shared = common_prefixes(data, order, starts, int(lengths.max()) + SPAN)
-    run = np.cumsum(shared < SPAN)
-    ctx = np.searchsorted(starts, order, "right") - 1
-    start = order - starts[ctx]
-    is_window = start + SPAN <= lengths[ctx]
-    run, ctx, start = run[is_window], ctx[is_window], start[is_window]
+    m = len(bodies)
+    none = np.zeros(0, np.int64)
+    if not m:
+        return none, none, none, none
+    lengths = np.fromiter(map(len, bodies), np.int64, m)
     _, anchor = np.unique(anchors, return_inverse=True)
-    offset = lefts[ctx] - start + SPAN  # of the anchor in the window, kept positive
-    place = np.lexsort((offset, anchor[ctx], run))
-    run, ctx, start, offset = run[place], ctx[place], start[place], offset[place]
-    a = anchor[ctx]
-    new = np.ones(len(run), bool)
-    new[1:] = (run[1:] != run[:-1]) | (a[1:] != a[:-1]) | (offset[1:] != offset[:-1])
+    after = ordered_parts([b[n:] for b, n in zip(bodies, lefts)], SPAN, anchor)
+    before = ordered_parts([b[:n][::-1] for b, n in zip(bodies, lefts)], REACH, anchor)
+    keys, found = [], []
+    rank = np.empty((2, m), np.int64)
+    for o in range(REACH + 1):
+        at = np.flatnonzero((lefts >= o) & (lengths - lefts >= SPAN - o))
+        if len(at):
+            for side, (order, shared), k in ((0, after, SPAN - o), (1, before, o)):
+                rank[side, order] = np.cumsum(shared < k)
+            keys.append((o * (m + 1) + rank[0, at]) * (m + 1) + rank[1, at])
+            found.append(np.stack([at, lefts[at] - o]))
+    if not keys:
+        return none, none, none, none
+    key, (ctx, start) = np.concatenate(keys), np.concatenate(found, axis=1)
+    place = np.argsort(key)
+    key, ctx, start = key[place], ctx[place], start[place]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
     group = np.cumsum(new) - 1
-    size = np.bincount(group, minlength=1)[group] if len(group) else group
-    return ctx, start, group, size
+    return ctx, start, group, np.bincount(group)[group]
 
 
 def as_intervals(ctx: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

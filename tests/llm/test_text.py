@@ -63,6 +63,51 @@ def test_repeats_against_counting(docs, words, monkeypatch, shard):
     assert got == Counter((row[0], *want) for row, want in zip(rows, covered(texts)))
 
 
+def anchored_contexts(n, seed=0):
+    """Contexts of a few anchors with changed bytes, some cut off at an end: (bodies, anchors, lefts)."""
+    r = random.Random(seed)
+    bases = [bytes(r.choices(b"\0ab", k=336)) for _ in range(4)]
+    bodies, anchors, lefts = [], [], []
+    for _ in range(n):
+        anchor = r.randrange(3)
+        body = bytearray(bases[r.choice([anchor, 3])])
+        body[136:200] = bases[anchor][136:200]
+        for p in r.choices([*range(136), *range(200, 336)], k=r.randrange(3)):
+            body[p] ^= 1
+        left, right = r.choice([136, r.randrange(137)]), r.choice([200, 64 + r.randrange(137)])
+        bodies.append(bytes(body[136 - left : 136 + right]))
+        anchors.append(anchor * 1000 - 7)
+        lefts.append(left)
+    return bodies, np.array(anchors, np.int64), np.array(lefts, np.int64)
+
+
+@pytest.mark.parametrize("n", [1, 2, 60])
+def test_windows_of_a_shard_against_all_suffixes(monkeypatch, n):
+    """Groups of equal windows are those of the whole suffix array, which is not built for them."""
+    bodies, anchors, lefts = anchored_contexts(n)
+    data = np.frombuffer(b"".join(bodies), np.uint8)
+    lengths = np.array([len(b) for b in bodies])
+    starts = np.cumsum(lengths) - lengths
+    order = suffix_dedup.suffix_array(data)
+    runs = np.cumsum(suffix_dedup.common_prefixes(data, order, starts, 10**4) < 200)
+    want = defaultdict(set)
+    for at, run in zip(order.tolist(), runs.tolist()):
+        c = int(np.searchsorted(starts, at, "right")) - 1
+        if at - starts[c] + 200 <= lengths[c] and at - starts[c] <= lefts[c]:
+            want[run, anchors[c], lefts[c] - (at - starts[c])].add((c, int(at - starts[c])))
+
+    def whole(data):
+        raise AssertionError("all suffixes of a shard are sorted")
+
+    monkeypatch.setattr(suffix_dedup, "suffix_array", whole)
+    got, sizes = defaultdict(set), {}
+    for c, start, group, size in zip(*(x.tolist() for x in suffix_dedup.repeated_windows(bodies, anchors, lefts))):
+        got[group].add((c, start))
+        sizes[group] = size
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert all(len(got[g]) == sizes[g] for g in got) and list(got) == sorted(got)
+
+
 def test_cut_texts_keep_whole_characters(docs, words):
     p = "é" * 120
     rows = [(1, "a" + p + "tail"), (2, "b" + p + "end"), (3, None), (4, "short")]
