@@ -24,7 +24,7 @@ import math
 import re
 import unicodedata
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from statistics import NormalDist
 
 import numpy as np
@@ -291,9 +291,19 @@ class Classifier:
     intercept: float
     weights: dict[str, float]
 
+    @cached_property
+    def known(self) -> tuple[frozenset[str], frozenset[str]]:
+        """The features that have a weight, and the first four letters that some of them mark."""
+        return frozenset(self.weights), frozenset(f.lstrip("^") for f in self.weights if f.startswith("^"))
+
     def score(self, words: set[str]) -> float:
-        weights = self.weights
-        total = self.intercept + sum(weights[f] for f in sorted(features(words) & weights.keys()))
+        """Score from the ``features`` of the words; only those with a weight are looked up."""
+        weights, (known, starts) = self.weights, self.known
+        shared: dict[str, int] = {}
+        for start in [w[:4] for w in words if w[:4] in starts and len(w) > 4]:
+            shared[start] = shared.get(start, 0) + 1
+        marks = {"^" * k + start for start, n in shared.items() for k in range(1, min(n, 4) + 1)}
+        total = self.intercept + sum(weights[f] for f in sorted((words | marks if marks else words) & known))
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, total))))
 
 

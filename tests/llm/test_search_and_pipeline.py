@@ -1,10 +1,14 @@
 """Nearest neighbours and the corpus pipeline."""
 
+import gc
+import weakref
+
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quaymaster.llm import ann, toxicity
+from quaymaster.session import stage_scope
 
 
 def exact(rows, k):
@@ -72,3 +76,22 @@ def test_pipeline_stages(spark, tmp_path, words):
     last = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in last} == set(seen["source_mix"]) and all(r["ids"][-1] == 2 for r in last)
     assert toxicity.THRESHOLD == 0.7
+
+
+def test_the_driver_frees_what_a_stage_left(spark):
+    """What only a cycle of references holds of a stage is gone when the next one begins."""
+
+    class Frame:
+        pass
+
+    frame = Frame()
+    frame.itself, left = frame, weakref.ref(frame)
+    gc.disable()
+    try:
+        with stage_scope(spark):
+            del frame
+        assert left() is not None
+        with stage_scope(spark):
+            assert left() is None
+    finally:
+        gc.enable()

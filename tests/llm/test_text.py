@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaymaster.llm import compact_windows, minhash, piece, suffix_dedup, toxicity
+from quaymaster.llm.common import mix64
 from quaymaster.llm.components import components
 
 # Repeated strings --------------------------------------------------------------------
@@ -137,6 +139,49 @@ def test_components(spark):
     assert got == {x: find(x) for x in root}
 
 
+def peak_bytes(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_quantiles_are_made_in_steps(monkeypatch):
+    """The whole grid of the distribution took over 100 MB in every worker of an executor at once."""
+    made = []
+    assert peak_bytes(lambda: made.append(minhash.gamma_tables.__wrapped__())) < 16 << 20
+    monkeypatch.setattr(minhash, "GRID", 4_000_000)
+    assert all(np.array_equal(x, y) for x, y in zip(made[0], minhash.gamma_tables.__wrapped__()))
+
+
+def test_samples_do_not_depend_on_how_sets_are_drawn(monkeypatch):
+    """What is held for a sample does not grow with the sets; weights of 1, few others and many others draw by one rule."""
+    rng = np.random.default_rng(2)
+    sets = []
+    for n in [1, 3, 20_000, *rng.integers(50, 400, 300).tolist()]:
+        weights, changed = np.ones(n), rng.random(n) < rng.choice([0, 0.05, 1])
+        weights[changed] = rng.random(changed.sum()) * 3 + 0.01
+        sets.append((np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64)), weights))
+    got = []
+    minhash.gamma_tables()
+    assert peak_bytes(lambda: got.append(minhash.signatures(sets))) < 5 << 20
+    monkeypatch.setattr(minhash, "DRAWN", 1)
+    assert np.array_equal(got[0], minhash.signatures(sets))
+    r_of, inverse_of, log_of = minhash.gamma_tables()
+    for k in (0, 63):
+        for row in (0, 1, 5, 200):
+            elements, weights = sets[row]
+            h = mix64(elements + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+            i, c, b = (((h >> np.uint64(shift)) & np.uint64(0xFFFF)).astype(np.int64) for shift in (0, 16, 32))
+            beta = b.astype(np.float32) / np.float32(65536)
+            t = np.floor(np.log(weights).astype(np.float32) * inverse_of[i] + beta)
+            least = int(np.argmin(log_of[c] - r_of[i] * (t + np.float32(1) - beta)))
+            drawn = (int(h[least]) >> 20 ^ int(t[least]) * int(minhash.MULTIPLIERS[0])) & 0xFFFFFFFF
+            assert int(got[0][row, k]) & 0xFFFFFFFF == drawn
+
+
 def near_classes(rows):
     """Classes by comparing all pairs of texts."""
     texts = list(dict.fromkeys(t or "" for _, t in rows))
@@ -404,3 +449,19 @@ def test_scores_find_held_out_toxic_texts(spark, docs, words):
     assert all(0 <= x["_score"] <= 1 for x in out)
     none = toxicity.with_scores(docs(*rows).select("doc_id", "text"), frame.limit(0)).collect()
     assert {x["_score"] for x in none} == {0.5}
+
+
+def test_score_looks_up_features_with_a_weight_only(monkeypatch):
+    r = random.Random(4)
+    vocabulary = ["".join(r.choices("abc", k=r.randint(1, 7))) for _ in range(60)]
+    texts = [set(r.choices(vocabulary, k=r.randint(0, 40))) for _ in range(50)]
+    every = sorted(set().union(*map(toxicity.features, texts)))
+    weights = {f: r.uniform(-1, 1) for f in every if r.random() < 0.3}
+    want = [-0.2 + sum(weights[f] for f in sorted(toxicity.features(t) & weights.keys())) for t in texts]
+
+    def whole(words):
+        raise AssertionError("all features of a text are made")
+
+    monkeypatch.setattr(toxicity, "features", whole)
+    classifier = toxicity.Classifier(-0.2, weights)
+    assert [classifier.score(t) for t in texts] == [1 / (1 + np.exp(-w)) for w in want]
