@@ -182,6 +182,30 @@ def test_samples_do_not_depend_on_how_sets_are_drawn(monkeypatch):
             assert int(got[0][row, k]) & 0xFFFFFFFF == drawn
 
 
+def test_shingles_of_many_texts_are_those_of_each():
+    """A word is what ``split`` gives, in lower case, wherever it stands; long ones are hashed too."""
+    texts = ["", None, " \t", "a", "A b c d", "a b c d e", "  a\tb\x1cc\u3000d e\xa0f ", "\u0130 \u03a3\u03c2 \xdf \u212a x y z", "w " * 40_000, "x" * 70_000 + " y z a b c"]
+    for text, found in zip(texts, minhash.shingles_of(texts)):
+        every = [int(minhash.word_hashes(w.encode())[1][0]) for w in (text or "").lower().split()]
+        runs = [every[i : i + 5] for i in range(max(1, len(every) - 4))] if every else []
+        want = [sum(h * int(m) for h, m in zip(run, minhash.MULTIPLIERS)) & (1 << 64) - 1 for run in runs]
+        assert np.array_equal(found, mix64(np.array(want, np.uint64))) and np.array_equal(found, minhash.shingles(text))
+    words = [f"{a}{b}" for a in range(300) for b in ("", "x", "xx", "yx", "xy")]
+    assert len({int(h) for h in minhash.word_hashes(" ".join(words).encode())[1]}) == len(set(words))
+
+
+def test_few_elements_are_drawn_from_in_full(monkeypatch):
+    """All were, in each of 64 samples. A set of which none of the few is least is drawn from as a whole."""
+    rng, seen, ranked = np.random.default_rng(6), [0], minhash._ranked
+    sets = [(rng.integers(0, 1 << 63, n).astype(np.uint64), rng.choice([0.3, 1, 1, 1], n)) for n in rng.integers(300, 900, 60)]
+    monkeypatch.setattr(minhash, "_ranked", lambda h, w: (seen.__setitem__(0, seen[0] + len(h)), ranked(h, w))[1])
+    drawn = minhash.signatures(sets)
+    assert seen[0] < sum(len(w) for _, w in sets) * minhash.SAMPLES / 5
+    for likely in (0.1, 1e9):
+        monkeypatch.setattr(minhash, "LIKELY", likely)
+        assert np.array_equal(drawn, minhash.signatures(sets))
+
+
 def near_classes(rows):
     """Classes by comparing all pairs of texts."""
     texts = list(dict.fromkeys(t or "" for _, t in rows))
