@@ -351,6 +351,45 @@ def test_passage_whose_least_runs_are_frequent_elsewhere(docs, words):
     assert all(r["links"] == 0 for i, r in got.items() if i >= 100)
 
 
+def test_places_that_no_passage_can_cover(monkeypatch):
+    """Scattered common runs were walked through in ever smaller surroundings for every window."""
+    rng, width = np.random.default_rng(8), compact_windows.SHORTEST
+    for n in (10, width, 70, 150):
+        for p in (0.7, 0.85, 0.9):
+            hits = rng.random(n) < p
+            want = np.zeros(n, bool)
+            for i in range(n):
+                for j in range(i + width, n + 1):
+                    if hits[i:j].sum() >= compact_windows.SHARED * (j - i) - 1e-9:
+                        want[i:j] = True
+            assert np.array_equal(compact_windows.around(hits, compact_windows.SHARED), want)
+    a = rng.integers(0, 2**60, 600).astype(np.uint64)
+    b = a.copy()
+    b[::6] = rng.integers(0, 2**60, 100)
+    calls = []
+    monkeypatch.setattr(compact_windows, "stretch", lambda *x: calls.append(x) or (0, 0))
+    assert compact_windows.shared_passage(a, b, 301, 301) is None and not calls
+
+
+def test_agreeing_windows_against_all_pairs(docs, monkeypatch):
+    rng, width = np.random.default_rng(12), compact_windows.SHORTEST
+    names = ("f", "lu", "cu", "ru", "lv", "cv", "rv")
+    rows = []
+    for k, n in enumerate((1, 2, 40, 3, 25)):
+        lo, long, shift = rng.integers(0, 400, n), rng.integers(0, 150, n), rng.integers(-40, 40, n)
+        rows.append((k, 100 + k, [(int(f), int(x), int(x), int(x + w), int(x + d), int(x + d), int(x + d + w)) for f, x, w, d in zip(rng.integers(0, 3, n), lo + 50, long, shift)]))
+    spark = docs((1, "a")).sparkSession
+    frame = spark.createDataFrame(rows, "u long, v long, windows array<struct<" + ",".join(f"{n}: {'tinyint' if n == 'f' else 'int'}" for n in names) + ">>")
+    overlap = lambda x, y: x[0] != y[0] and all(min(x[e], y[e]) - max(x[b], y[b]) + 1 >= width for b, e in ((1, 3), (4, 6)))
+    want = {u: [w for w in ws if any(overlap(w, x) for x in ws)] for u, _, ws in rows}
+    for at_once in (1, 7, 1 << 18):
+        monkeypatch.setattr(compact_windows, "JOINED", at_once)
+        got = {r["u"]: [tuple(w) for w in r["windows"]] for r in compact_windows.agreeing(frame.coalesce(1)).collect()}
+        assert got == {u: ws for u, ws in want.items() if ws} and got
+    starts = [x for at, near in compact_windows.joined(3, np.array([5])) for x in zip(at.tolist(), near.tolist())]
+    assert starts == [(3, x) for x in range(4, 9)]
+
+
 def test_stray_repeats_do_not_hide_an_edited_passage():
     rng = np.random.default_rng(9)
     p = rng.integers(0, 2**60, 50).astype(np.uint64)
