@@ -351,6 +351,22 @@ def test_passage_whose_least_runs_are_frequent_elsewhere(docs, words):
     assert all(r["links"] == 0 for i, r in got.items() if i >= 100)
 
 
+def test_passage_whose_own_windows_are_frequent_elsewhere(docs, words):
+    """As above, by the hashes that windows are made from."""
+    p = words(60, 1)
+    rows = [(i, words(50, 210 + i) + " " + p + " " + words(50, 230 + i)) for i in range(2)]
+    a, b = (compact_windows.run_hashes(t) for _, t in rows)
+    for f in range(compact_windows.FUNCTIONS):
+        least = [set(x[compact_windows.compact_windows(x, np.array([0]), np.array([len(x)]), f)[3]].tolist()) for x in (a, b)]
+        for run in sorted(least[0] & least[1]):
+            at = a.tolist().index(run)
+            quoted = " ".join(rows[0][1].split()[at : at + minhash.WORDS])
+            rows += [(100 + i, words(60, 1000 + i) + " " + quoted + " " + words(60, 3000 + i)) for i in range(len(rows), len(rows) + 30)]
+    got = {r["doc_id"]: r for r in compact_windows.shared_passages(docs(*rows)).collect()}
+    assert [(got[i]["class_id"], got[i]["class_rows"], got[i]["links"]) for i in range(2)] == [(0, 2, 1)] * 2
+    assert all(r["links"] == 0 for i, r in got.items() if i >= 100)
+
+
 def test_places_that_no_passage_can_cover(monkeypatch):
     """Scattered common runs were walked through in ever smaller surroundings for every window."""
     rng, width = np.random.default_rng(8), compact_windows.SHORTEST
