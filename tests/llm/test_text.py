@@ -320,6 +320,63 @@ def test_compact_windows_cover_every_passage_once():
             assert holds.sum() == 1
 
 
+@pytest.mark.parametrize("period", [1, 2, 7, 46, 60])
+def test_a_stretch_that_repeats_itself_has_few_windows(period):
+    """A word that stands hundreds of times in a row had a window for each time, all of the same runs."""
+    rng, width = np.random.default_rng(6), compact_windows.SHORTEST
+    far = lambda n: rng.integers(0, 2**60, n).astype(np.uint64)
+    runs = np.concatenate([far(50), np.resize(far(period), 400), far(50), np.resize(far(period), 30), far(20)])
+    n, count = len(runs), 0
+    for f in range(3):
+        _, _, lo, c, hi = compact_windows.compact_windows(runs, np.array([0]), np.array([n]), f)
+        count += len(c)
+        for start in range(0, n - width + 1, 5):
+            for stop in range(start + width - 1, n, 9):
+                first = np.where((lo <= start) & (c <= stop) & (stop <= hi), np.minimum(start, c), n)
+                assert any(set(runs[x : stop + 1].tolist()) == set(runs[start : stop + 1].tolist()) for x in set(first[first < n].tolist()))
+    assert count < 3 * (30 if period <= width else 60)
+
+
+def test_texts_that_repeat_a_word_share_passages(docs, words):
+    again = ["the"] * 300
+    rows = [(i, " ".join([words(30 + i, 10 + i), *again[: 60 + 40 * i], words(30, 20 + i)])) for i in range(4)]
+    rows += [(9, " ".join([words(40, 5), *again[:40], words(40, 6)]))]
+    got = {r["doc_id"]: r for r in compact_windows.shared_passages(docs(*rows)).collect()}
+    for i in range(4):
+        assert got[i]["class_id"] == 0 and got[i]["links"] >= 1 and len(got[i]["spans"]) == 1
+        assert got[i]["spans"][0]["lo"] <= 30 + i and got[i]["spans"][0]["hi"] >= 90 + 41 * i
+    assert got[9]["class_id"] == 9 and got[9]["links"] == 0
+
+
+def test_partners_of_a_window_against_all_pairs():
+    rng, width = np.random.default_rng(14), compact_windows.SHORTEST
+    whole = [rng.integers(0, 2**60, 91).astype(np.uint64) for _ in range(3)]
+    whole[1][:60] = whole[0][20:80]
+    each, at, nodes = [], [], []
+    for i in range(60):
+        x = whole[i % 3].copy()
+        hit = rng.random(91) < rng.choice([0.0, 0.03, 0.15, 0.3])
+        x[hit] = rng.integers(0, 2**60, hit.sum())
+        x[45] = 7
+        lo, hi = int(rng.integers(0, 46)), int(rng.integers(46, 92))
+        each.append(x[lo:hi])
+        at.append(45 - lo)
+        nodes.append(i // 2)
+    lengths, told = np.array([len(x) for x in each]), rng.random(60) < 0.8
+    near = compact_windows.Neighbours(np.concatenate(each), lengths, np.array(at), np.array(nodes))
+    can = np.zeros((60, 60), bool)
+    for i in range(60):
+        for j in range(60):
+            if nodes[i] != nodes[j]:
+                x, y, size = compact_windows.numbered(each[i], each[j])
+                can[i, j] = compact_windows.possible(x, y, size, np.array([at[i]]), np.array([at[j]]))[0]
+    assert 100 < can.sum() < 3000 and (near.alive() | ~can.any(axis=1)).all() and not near.alive().all()
+    for i in range(60):
+        others, shared = near.partners(i, told)
+        assert others.tolist() == np.flatnonzero(can[i] & told).tolist()
+        assert all(np.array_equal(s, np.isin(each[i], each[j])) for j, s in zip(others, shared))
+
+
 def test_shared_passages(docs, words):
     p = words(70, 1)
     rows = [(i, words(60, 10 + i) + " " + p + " " + words(40, 50 + i)) for i in range(8)]
