@@ -20,7 +20,7 @@ from quaymaster.functions.scalars import MEGABYTE, RECORD_BYTES, date_parts, ins
 from quaymaster.operators.membership import count_parts, not_archived
 from quaymaster.operators.quality import Rule, breaks_any, broken_rules, observed_rules, rule_report
 from quaymaster.operators.setops import one_of_each
-from quaymaster.session import materialise
+from quaymaster.session import materialise, scratch_scope, shuffles_deleted
 from quaymaster.sinks import compaction
 from quaymaster.sinks.compaction import TARGET_BYTES, visible
 from quaymaster.sinks.sketches import read_sketches, write_sketches
@@ -32,6 +32,7 @@ PARTITION_COLUMNS = ["event_date", "event_hour"]
 
 FILE_ROWS = 1_000_000  # rows of a partition that one task writes
 TASK_ROWS = 200_000  # mean rows of a task that sorts rows by partition and id
+SLICE_ROWS = 40_000_000  # mean rows that are shuffled at once, as shuffle files lie on disk beside the due rows and the archive
 
 
 @dataclass(frozen=True)
@@ -79,28 +80,41 @@ def archive_folder(spark: SparkSession, path: str, columns) -> DataFrame | None:
     return _read(spark, path, list(columns) + schemas.ARCHIVE_PARTS.fields)
 
 
-def spread(due: DataFrame, event_id: str, counts: DataFrame) -> DataFrame:
+def spread(due: DataFrame, event_id: str, counts: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
     """Rows by partition, each id once, a busy hour dealt to as many tasks as its rows (``counts.ids``) fill files.
 
     The tasks are fixed in number by the rows, as merging small partitions would leave the opening of
-    their files to one task. Rows of one id meet in a task, so they are deduplicated without a further exchange.
+    their files to one task. Rows of one id meet in a task, so they are deduplicated without a further exchange. Of
+    several ``parts``, one has the rows of some files, wholly.
     """
     files = counts.select(*PARTITION_COLUMNS, F.ceil(F.col("ids") / FILE_ROWS).alias("_files"))
     dealt = due.join(files, PARTITION_COLUMNS).withColumn("_part", F.pmod(F.xxhash64(event_id), F.col("_files")))
-    rows = counts.agg(F.sum("ids")).first()[0] or 0
-    tasks = max(int(due.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
     by_task = [*PARTITION_COLUMNS, "_part"]
+    if parts > 1:
+        dealt = dealt.where(F.pmod(F.xxhash64(F.lit("part"), *by_task), F.lit(parts)) == part)
+    tasks = max(int(due.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows_of(counts) // (TASK_ROWS * parts)))
     return one_of_each(dealt.repartition(tasks, *by_task), [*by_task, event_id]).select(*due.columns)
 
 
+def rows_of(counts: DataFrame) -> int:
+    return counts.agg(F.sum("ids")).first()[0] or 0
+
+
 def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
     """Append the due rows that are not archived yet, each id once; their statistics, or None if there are none.
 
     The due rows are evaluated and written once; counting, sketches and the archive read what was written. Ids are
     compared with the sketches of their own partitions, and with the archive only where those do not rule them out.
     Statistics and broken rules are observed per written row; rows that break a rule are also set apart (``read_broken``).
+    What is written on the way is deleted at the end, so a run has it for one table at a time; a large append is shuffled and
+    written in parts. One that fails between them has archived the files of some, and the next run appends the rest.
     """
     spark = table.rows.sparkSession
+    with scratch_scope(spark), shuffles_deleted(spark):
+        return _append_new(spark, table, base, cutoff)
+
+
+def _append_new(spark: SparkSession, table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
     path = f"{base}/{table.name}"
     due = materialise(with_date_parts(due_rows(table, cutoff), table.ts), "due")
     known = read_archive(spark, path, table.rows.schema.fields)
@@ -114,16 +128,18 @@ def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
     if table.rules:
         broken = due.where(breaks_any(list(table.rules))).withColumn("broken_rules", broken_rules(list(table.rules)))
         broken.write.mode("append").parquet(broken_path(path))
-    seen = Observation(f"archive-{table.name}")
-    (
-        spread(due, table.event_id, counts)
-        .observe(
-            seen, F.count("*").alias("records"), iso_text(F.min(table.ts)).alias("first"), iso_text(F.max(table.ts)).alias("last"),
-            *observed_rules(table.rules),
+    seen, parts = [], max(1, -(-rows_of(counts) // SLICE_ROWS))
+    for part in range(parts):
+        seen.append(Observation(f"archive-{table.name}-{part}"))
+        (
+            spread(due, table.event_id, counts, part, parts)
+            .observe(
+                seen[-1], F.count("*").alias("records"), iso_text(F.min(table.ts)).alias("first"), iso_text(F.max(table.ts)).alias("last"),
+                *observed_rules(table.rules),
+            )
+            .write.mode("append").partitionBy(*PARTITION_COLUMNS).option("compression", "snappy").parquet(path)
         )
-        .write.mode("append").partitionBy(*PARTITION_COLUMNS).option("compression", "snappy").parquet(path)
-    )
-    stats = seen.get
+    stats = together([s.get for s in seen])
     return {
         "collection": table.name,
         "record_count": stats["records"],
@@ -133,6 +149,13 @@ def append_new(table: ArchiveTable, base: str, cutoff: datetime) -> dict | None:
     }
 
 
+def together(seen: list[dict]) -> dict:
+    """The measures of all parts of an append: first and last times, and the sums of what is counted."""
+    times = {"first": min, "last": max}
+    every = {k: [s[k] for s in seen if s[k] is not None] for k in seen[0]}
+    return {k: times.get(k, sum)(found) if found or k not in times else None for k, found in every.items()}
+
+
 def broken_path(archive_path: str) -> str:
     """Beside the partitions, where readers of the data do not look."""
     return f"{archive_path}/_broken"

@@ -286,6 +286,55 @@ def test_tasks_of_an_archive_run_follow_its_rows(spark, monkeypatch):
     assert out.count() == 300 and len(out.inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_an_append_in_parts_is_the_same(spark, monkeypatch):
+    """All rows were shuffled at once, beside the due rows and the archive; with a part for each row some parts are empty."""
+    rows, found = sold(spark, [1, *range(121, 129), 200, 2000]), []
+    for at_once in (archive.SLICE_ROWS, 3, 1):
+        monkeypatch.setattr(archive, "SLICE_ROWS", at_once)
+        base = scratch_path(spark, "t")
+        rules = (Rule("far", F.col("order_ts") < F.lit(data.minutes_ago(1000))),)
+        fact = ArchiveTable("orders_fact", rows.unionByName(rows), "order_ts", "order_id", None, rules)
+        stats = archive.append_new(fact, base, CUTOFF)
+        cold = scan_archive(spark, base, "orders_fact")
+        found.append((stats, ids(cold), len(cold.inputFiles())))
+        assert archive.append_new(fact, base, CUTOFF) is None
+    assert found[0] == found[1] == found[2]
+    assert found[0][0]["record_count"] == len(found[0][1]) == 10 and found[0][0]["measures"] == {"checked": 10, "far": 1}
+
+
+def test_an_append_that_failed_between_parts_is_made_up_for(spark, monkeypatch):
+    monkeypatch.setattr(archive, "SLICE_ROWS", 1)
+    whole, ages = archive.spread, [1, 121, 200, 500, 900, 1500, 2000]
+
+    def broken(due, event_id, counts, part=0, parts=1):
+        if part == parts - 2:
+            raise OSError("disk")
+        return whole(due, event_id, counts, part, parts)
+
+    base = scratch_path(spark, "t")
+    monkeypatch.setattr(archive, "spread", broken)
+    with pytest.raises(OSError):
+        archive.append_new(table(sold(spark, ages)), base, CUTOFF)
+    monkeypatch.setattr(archive, "spread", whole)
+    assert ids(archive.retained(table(sold(spark, ages)), base, CUTOFF)) > ["o1"]
+    archive.append_new(table(sold(spark, ages)), base, CUTOFF)
+    assert ids(scan_archive(spark, base, "orders_fact")) == sorted(f"o{a}" for a in ages[1:])
+
+
+def test_an_append_leaves_its_archive_only(spark):
+    import glob
+
+    from quaymaster import session
+
+    base = scratch_path(spark, "t")
+    archive.append_new(table(sold(spark, [121, 200])), base, CUTOFF)
+    before = set(glob.glob(f"{session.run_root(spark).removeprefix('file:')}/**/*", recursive=True))
+    archive.append_new(table(sold(spark, [1, 121, 130, 2000])), base, CUTOFF)
+    after = set(glob.glob(f"{session.run_root(spark).removeprefix('file:')}/**/*", recursive=True)) - before
+    assert after and all(f.startswith(base.removeprefix("file:")) for f in after)
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, "false") == "false"
+
+
 @pytest.mark.parametrize("late", [None, False, True])
 def test_broken_rows_have_each_id_once(spark, late):
     rules = [Rule("late", F.col("late")), Rule("small", F.col("n") < 2)]
