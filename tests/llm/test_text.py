@@ -6,6 +6,7 @@ import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -348,6 +349,16 @@ def test_texts_that_repeat_a_word_share_passages(docs, words):
     assert got[9]["class_id"] == 9 and got[9]["links"] == 0
 
 
+def test_texts_are_exchanged_compressed_and_whole(docs, words):
+    texts = ["", "a", "éa  b\n的🙂\x00 c", words(5000, 3)]
+    frame = docs(*enumerate(texts)).selectExpr("doc_id AS node", "text")
+    packed = {r["node"]: bytes(r["packed"]) for r in compact_windows.packed_texts(frame).collect()}
+    assert [compact_windows.unpack(packed[i]) for i in range(4)] == texts and len(packed[3]) < len(texts[3].encode()) / 1.5
+    blocks = list(compact_windows.unpacked(pa.array([packed[i] for i in range(4)] * 100)))
+    assert [t for _, block in blocks for t in block] == texts * 100 and len(blocks) > 1
+    assert [start for start, _ in blocks] == np.cumsum([0, *[len(b) for _, b in blocks]])[:-1].tolist()
+
+
 def test_partners_of_a_window_against_all_pairs():
     rng, width = np.random.default_rng(14), compact_windows.SHORTEST
     whole = [rng.integers(0, 2**60, 91).astype(np.uint64) for _ in range(3)]
